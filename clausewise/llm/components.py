@@ -24,7 +24,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     before = None
     for _ in range(max_rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        least = both.groupBy("u").agg(F.min("v").alias("least")).select("u", F.least("least", "u").alias("m"))
         large = (
             both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .where("u <> v").distinct()

@@ -26,7 +26,16 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import hex16, near_duplicates
+
+    return near_duplicates(read_table(spark, sf_dir, "documents"), words=4, radius=4).select(
+        "doc_id", hex16("fp").alias("fingerprint"), "component_id"
+    )
+
+
 QUERIES = {
+    "op4_simhash": op4_simhash,
     "op5_token_files": op5_token_files,
     "op6_packing": op6_packing,
 }
