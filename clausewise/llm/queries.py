@@ -26,6 +26,17 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import fold, score, train
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(docs, read_table(spark, sf_dir, "labels"))
+    return score(docs, model, threshold=0.3).select(
+        "doc_id", (fold(F.col("doc_id")) == 2).alias("held_out"), F.col("toxicity").alias("score"),
+        F.col("toxic").alias("predicted"),
+    )
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import hex16, near_duplicates
 
@@ -35,6 +46,7 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
     "op4_simhash": op4_simhash,
     "op5_token_files": op5_token_files,
     "op6_packing": op6_packing,
