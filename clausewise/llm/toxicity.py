@@ -116,12 +116,16 @@ def beginnings(word: str) -> list[str]:
 
 
 class Model:
-    """Lexicon (term -> weight; a term ending in * is a beginning), trie and logistic weights."""
+    """Words and beginnings of words with their weights, and the logistic weights.
 
-    def __init__(self, lexicon: dict[str, float], weights: list[float] | None = None, base: float = 0.0, window: int = 6):
-        self.lexicon, self.weights, self.base, self.window = lexicon, weights, base, window
-        self.words = {t: w for t, w in lexicon.items() if not t.endswith("*")}
-        self.stems = {t[:-1]: w for t, w in lexicon.items() if t.endswith("*")}
+    ``strong`` words leave no doubt and are also found misspelled; ``weak`` ones and the forms of
+    ``stems`` count by the number of different ones that a document holds.
+    """
+
+    def __init__(self, strong: dict[str, float], weak: dict[str, float], stems: dict[str, float],
+                 weights: list[float] | None = None, base: float = 0.0, window: int = 6):
+        self.strong, self.weak, self.stems = strong, weak, stems
+        self.weights, self.base, self.window = weights, base, window
         self.trie: FuzzyTrie | None = None
         self.known: dict[str, tuple[str, int, float] | None] = {}
 
@@ -129,24 +133,21 @@ class Model:
         return {**self.__dict__, "trie": None, "known": {}}
 
     def verdict(self, token: str) -> tuple[str, int, float] | None:
-        """(term, kind, weight): kind 0 exact, 1 beginning, 2 misspelled."""
+        """(term, kind, weight): kind 0 strong, 1 weak or a form of a stem, 2 misspelled."""
         try:
             return self.known[token]
         except KeyError:
             pass
         if self.trie is None:
-            self.trie = FuzzyTrie(self.words)
-        word, out = word_of(token), None
-        if word in self.words:
-            out = (word, 0, self.words[word])
-        else:
-            for k in (6, 5, 4):
-                if len(word) > k and word[:k] in self.stems:
-                    out = (word[:k], 1, self.stems[word[:k]])
-                    break
-            else:
-                if len(word) >= 4 and (near := self.trie.match(word)):
-                    out = (near[0], 2, self.words[near[0]])
+            self.trie = FuzzyTrie(self.strong)
+        word = word_of(token)
+        out = (word, 0, self.strong[word]) if word in self.strong else None
+        if out is None:
+            families = [self.stems[word[:k]] for k in (4, 5, 6) if len(word) > k and word[:k] in self.stems]
+            if word in self.weak or families:
+                out = (word, 1, max([self.weak.get(word, 0.0), *families]))
+            elif len(word) >= 4 and (near := self.trie.match(word)):
+                out = (near[0], 2, self.strong[near[0]])
         if len(self.known) > 400_000:
             self.known.clear()
         self.known[token] = out
@@ -252,17 +253,22 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_terms:
     counts = materialize(rows.where(fold(F.col("doc_id")) < 2).select("text", "toxic").mapInArrow(
         count, "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")), "terms")
     n_terms = counts.count()
-    found = counts.where("term = '\\0' or (toxic >= 3 and toxic >= 4 * clean)").orderBy(
-        F.desc(F.col("term") == "\0"), F.desc(F.col("toxic") - 4 * F.col("clean")), "term").limit(max_terms + 1).collect()
+    found = counts.where(
+        "term = '\\0' or (toxic >= 3 and toxic >= 4 * clean) or (term like '%*' and toxic >= 5 and 3 * toxic >= clean)"
+    ).orderBy(F.desc(F.col("term") == "\0"), F.desc(F.col("toxic") - F.col("clean") / 4), "term").limit(max_terms + 1).collect()
     total = {r["term"]: (r["toxic"], r["clean"]) for r in found}
     n_toxic, n_clean = total.pop("\0", (0, 0))
     base = n_toxic / (n_toxic + n_clean) if n_toxic + n_clean else 0.0
     if not n_toxic or not n_clean:
-        return Model({}, None, base)
+        return Model({}, {}, {}, None, base)
     # so many toxic documents that chance alone is not to give one such term among all terms
-    need = max(3, n_toxic // 100, math.ceil((math.log(n_terms + 1) + 2) / math.log(1 / base)))
-    lexicon = {t: math.log((a + 0.5) / (n_toxic + 1) * (n_clean + 1) / (b + 0.5)) for t, (a, b) in total.items() if a >= need}
-    model = Model({t: w for t, w in lexicon.items() if w > 2})
+    sure = max(3, n_toxic // 100, math.ceil((math.log(n_terms + 1) + 2) / math.log(1 / base)))
+    weight = {t: math.log((a + 0.5) / (n_toxic + 1) * (n_clean + 1) / (b + 0.5)) for t, (a, b) in total.items()}
+    words = {t: w for t, w in weight.items() if not t.endswith("*") and w > 2}
+    model = Model(
+        strong={t: w for t, w in words.items() if total[t][0] >= sure},
+        weak={t: w for t, w in words.items() if total[t][0] >= max(3, n_toxic // 100)},
+        stems={t[:-1]: w for t, w in weight.items() if t.endswith("*") and w > 1.5 and total[t][0] >= sure})
 
     def evidence(batches):
         import pyarrow as pa
@@ -274,7 +280,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_terms:
     held = rows.where(fold(F.col("doc_id")) == 3).select("text", "toxic").mapInArrow(evidence, "x array<double>, y long").collect()
     y = np.array([r["y"] for r in held], dtype=float)
     if not len(y) or y.min() == y.max():
-        return Model(model.lexicon, [0.5] * FEATURES + [math.log(base / (1 - base)) - 1], base)
+        model.weights, model.base = [0.5] * FEATURES + [math.log(base / (1 - base)) - 1], base
+        return model
     x = np.array([r["x"] for r in held])
     live = np.ones(FEATURES, dtype=bool)
     while True:  # evidence of a hit never speaks against toxicity
