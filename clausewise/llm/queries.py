@@ -45,7 +45,17 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_dedup import dedup_lines
+
+    return dedup_lines(read_table(spark, sf_dir, "documents"), run=50).select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"),
+        "lines_deleted", "runs_deleted", "words_left",
+    )
+
+
 QUERIES = {
+    "op8_line_dedup": op8_line_dedup,
     "op2_toxicity": op2_toxicity,
     "op4_simhash": op4_simhash,
     "op5_token_files": op5_token_files,
