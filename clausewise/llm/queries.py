@@ -54,8 +54,22 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .fingerprint import fingerprints
+
+    return fingerprints(read_table(spark, sf_dir, "documents"), words=5)
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secrets import report
+
+    return report(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op8_line_dedup": op8_line_dedup,
+    "op9_fingerprints": op9_fingerprints,
+    "op10_secrets": op10_secrets,
     "op2_toxicity": op2_toxicity,
     "op4_simhash": op4_simhash,
     "op5_token_files": op5_token_files,
