@@ -12,6 +12,7 @@ import re
 from array import array
 
 WORD = "\x01"  # mark: this part has no blank before it
+MARKS = ".,;:!?"
 RAW = "\x02"  # mark: this part stands with its own white space
 
 _ADJACENT = re.compile(r"\s\s|[\x01\x02]")
@@ -39,47 +40,47 @@ class ByteBpe:
 
     @staticmethod
     def parts(text: str) -> list[str]:
-        if _ADJACENT.search(text):
-            return [RAW + p for p in _PARTS.findall(text)]
-        return (WORD + text.replace("\n", " \n " + WORD)).split(" ")
+        """Cut ``text``; blanks and line breaks that stand alone are safe places, runs of white
+        space are kept whole (``RAW`` parts)."""
+        if text.replace("\n", "").isprintable() or not _ADJACENT.search(text):
+            parts = (WORD + text.replace("\n", " \n " + WORD)).split(" ")
+            if "" not in parts and "\n\n" not in text:
+                return parts
+        return [RAW + p for p in _PARTS.findall(text)]
 
     @staticmethod
     def _surface(part: str) -> str:
-        head = part[:1]
-        if head == WORD or head == RAW:
+        if part[0] <= RAW:
             return part[1:]
         return part if part == "\n" else " " + part
 
-    def _learn(self, unseen: set[str]) -> None:
-        known = self.known
-        if len(known) + len(unseen) > self.memory:
-            known.clear()
-        stems: dict[str, tuple[str, str] | None] = {}
-        for p in unseen:
+    def _learn(self, fresh: set[str]) -> None:
+        known, todo, derived = self.known, [], []
+        for mark in MARKS:
+            if WORD + mark not in known:
+                todo.append(WORD + mark)
+        for p in fresh:
             # letters then one mark: the pre-tokenizer always cuts between them
-            stems[p] = (p[:-1], p[-1]) if p[-1:] in ".,;:!?" and p[:-1].isalpha() else None
-        ask = {p for p, s in stems.items() if s is None}
-        for s in stems.values():
-            if s:
-                ask.update((s[0], WORD + s[1]))
-        todo = [p for p in ask if p not in known]
+            if p[-1] in MARKS and (q := p[:-1]).isalpha():
+                derived.append((p, q))
+                p = q
+            if p not in known:
+                known[p] = b""
+                todo.append(p)
         done = self.tokenizer.encode_batch_fast([self._surface(p) for p in todo], add_special_tokens=False)
         for p, e in zip(todo, done, strict=True):
             known[p] = array("I", e.ids).tobytes()
-        for p, s in stems.items():
-            if s:
-                known[p] = known[s[0]] + known[WORD + s[1]]
+        for p, q in derived:
+            known[p] = known[q] + known[WORD + p[-1]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [self.parts(t) for t in texts]
-        unseen: set[str] = set()
-        for parts in split:
-            unseen.update(parts)
+        unseen: set[str] = set().union(*split)
         fresh = unseen.difference(self.known)
+        if len(self.known) + len(fresh) > self.memory:
+            self.known.clear()
+            fresh = unseen
         if fresh:
-            if len(self.known) + 2 * len(fresh) > self.memory:
-                self.known.clear()
-                fresh = unseen
             self._learn(fresh)
         get = self.known.__getitem__
         return [b"".join(map(get, parts)) for parts in split]

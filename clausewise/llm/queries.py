@@ -45,6 +45,13 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .topk import quantized, top_k
+
+    vectors = quantized(read_table(spark, sf_dir, "embeddings"), scale=256.0)
+    return top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_dedup import dedup_lines
 
@@ -67,6 +74,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op7_top_k": op7_top_k,
     "op8_line_dedup": op8_line_dedup,
     "op9_fingerprints": op9_fingerprints,
     "op10_secrets": op10_secrets,
@@ -77,4 +85,15 @@ QUERIES = {
 }
 
 #: DuckDB counterparts; queries without one are held against brute force in tests/llm.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT a.vec_id AS query_id, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+            FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+        SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5
+    """,
+}
