@@ -37,6 +37,14 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_text import main_text
+
+    return main_text(read_table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars")
+    )
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import hex16, near_duplicates
 
@@ -79,6 +87,7 @@ QUERIES = {
     "op9_fingerprints": op9_fingerprints,
     "op10_secrets": op10_secrets,
     "op2_toxicity": op2_toxicity,
+    "op3_html_text": op3_html_text,
     "op4_simhash": op4_simhash,
     "op5_token_files": op5_token_files,
     "op6_packing": op6_packing,
