@@ -9,6 +9,17 @@ from pyspark.sql import functions as F
 from .common import read_table, tokenizer_path
 
 BPE = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
+
+
+def op1_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sampling import sample_segmentations
+
+    found = sample_segmentations(read_table(spark, sf_dir, "documents"), tokenizer_path(PIECES), k=2, seed=7)
+    return found.select(
+        "doc_id", "sample", "n_pieces", "log_prob", "perturbed", "inclusion", F.crc32("ids").alias("ids_crc32"),
+        (F.col("decoded_crc32") == F.col("text_crc32")).alias("round_trip"),
+    )
 
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,6 +93,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_sampled_pieces": op1_sampled_pieces,
     "op7_top_k": op7_top_k,
     "op8_line_dedup": op8_line_dedup,
     "op9_fingerprints": op9_fingerprints,
