@@ -28,7 +28,7 @@ def swap_translation(df: DataFrame, content: str = "content", translated: str =
 
 def first_keyword(text: Column, keywords: list[str]) -> Column:
     """The first keyword, in list order, that the text contains in any case; else null."""
-    return F.filter(F.array(*map(F.lit, keywords)), lambda k: F.contains(F.lower(text), F.lower(k)))[0]
+    return F.get(F.filter(F.array(*map(F.lit, keywords)), lambda k: F.contains(F.lower(text), F.lower(k))), 0)
 
 
 def place_overlap(reviews: DataFrame, places: DataFrame) -> DataFrame:
