@@ -106,11 +106,10 @@ def _count(c: Column, mark: str) -> Column:
 
 def sentence_clauses(sentence: Column, lang: Column, min_words: int = 3, semicolons: bool = False) -> Column:
     """Clauses of one sentence: cut at separators outside parentheses, short pieces joined."""
-    base = F.split(lang, "-")[0]
     marked = F.regexp_replace(sentence, separator("en", semicolons), "\x01$0\x02")
     for code in OPENERS:
         if code != "en":
-            marked = F.when(base == code, F.regexp_replace(sentence, separator(code, semicolons), "\x01$0\x02")).otherwise(marked)
+            marked = F.when(lang == code, F.regexp_replace(sentence, separator(code, semicolons), "\x01$0\x02")).otherwise(marked)
     parts = F.transform(F.split(marked, "\x01", -1), lambda p: F.when(
         F.instr(p, "\x02") > 0, F.struct(F.split(p, "\x02", 2)[0].alias("gap"), F.split(p, "\x02", 2)[1].alias("body"))
     ).otherwise(F.struct(F.lit("").alias("gap"), p.alias("body"))))
@@ -159,7 +158,10 @@ def sentence_clauses(sentence: Column, lang: Column, min_words: int = 3, semicol
 
 def split_clauses(text: Column, lang: Column, min_words: int = 3, semicolons: bool = False) -> Column:
     """array<struct<sentence_no, text>>; sentences count from 1 and only if a clause is left."""
-    per = F.filter(F.transform(sentences(text), lambda s: sentence_clauses(s, lang, min_words, semicolons)), lambda c: F.size(c) > 0)
+    # text and language are bound by a one-row lambda, so each is worked out once a review
+    bound = F.transform(F.array(F.struct(sentences(text).alias("s"), F.split(lang, "-")[0].alias("l"))), lambda x: F.filter(
+        F.transform(x["s"], lambda s: sentence_clauses(s, x["l"], min_words, semicolons)), lambda c: F.size(c) > 0))
+    per = F.element_at(bound, 1)
     return F.flatten(F.transform(per, lambda cs, i: F.transform(
         cs, lambda c: F.struct((i + 1).cast("int").alias("sentence_no"), c.alias("text")))))
 
