@@ -19,7 +19,8 @@ def importance(x: Column) -> Column:
     """Rounded half to even, held within 0 and 10; anything else is 0."""
     number = x.try_cast("double")
     number = F.when(F.isnan(number), None).otherwise(number)
-    return F.coalesce(F.greatest(F.lit(0), F.least(F.lit(10), F.bround(number, 0).cast("int"))), F.lit(0))
+    number = F.coalesce(number, F.lit(0.0))
+    return F.greatest(F.lit(0), F.least(F.lit(10), F.bround(F.greatest(F.lit(-1.0), F.least(F.lit(11.0), number)), 0).cast("int")))
 
 
 def parse_issues(raw: Column) -> Column:

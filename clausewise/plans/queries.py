@@ -330,13 +330,13 @@ _REPLIES = "(VALUES " + ", ".join("({}, '{}')".format(i, r.replace("'", "''")) f
 
 @query(f"""WITH b AS (SELECT id, regexp_extract(CASE WHEN contains(raw, '```') THEN string_split(raw, '```')[2] ELSE raw END, '(?s)\\{{.*\\}}') AS body FROM {_REPLIES}),
     i AS (SELECT id, unnest(json_transform(body, '{{"issues":[{{"issue":"VARCHAR","importance":"VARCHAR"}}]}}').issues) AS x FROM b WHERE body <> '')
-    SELECT CAST(id AS BIGINT) AS id, trim(x.issue) AS issue, CAST(coalesce(greatest(0, least(10, round_even(try_cast(x.importance AS DOUBLE), 0))), 0) AS INTEGER) AS importance
+    SELECT CAST(id AS BIGINT) AS id, trim(x.issue) AS issue, CAST(greatest(0, least(10, round_even(coalesce(try_cast(x.importance AS DOUBLE), 0), 0))) AS INTEGER) AS importance
     FROM i WHERE trim(x.issue) <> ''""")
 def llm_json_parse(spark, d):
     return spark.createDataFrame(REPLIES, "id long, raw string").select("id", F.explode(J.parse_issues(F.col("raw"))).alias("x")).select("id", "x.issue", "x.importance")
 
 
-@query("""SELECT o_orderkey, CAST(coalesce(greatest(0, least(10, round_even(try_cast(v AS DOUBLE), 0))), 0) AS INTEGER) AS importance FROM (
+@query("""SELECT o_orderkey, CAST(greatest(0, least(10, round_even(coalesce(try_cast(v AS DOUBLE), 0), 0))) AS INTEGER) AS importance FROM (
     SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'x' WHEN o_orderkey % 5 = 0 THEN NULL ELSE CAST((o_orderkey % 30) / 2.0 - 1 AS VARCHAR) END AS v FROM orders)""")
 def importance_norm(spark, d):
     v = F.when(F.col("o_orderkey") % 7 == 0, "x").when(F.col("o_orderkey") % 5 == 0, None).otherwise(((F.col("o_orderkey") % 30) / 2.0 - 1).cast("string"))
