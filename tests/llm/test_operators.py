@@ -25,7 +25,7 @@ def docs_of(spark, rows):
     return spark.createDataFrame([(i, t, "en", None, 0, "x", "y") for i, t in rows], DOCS)
 
 
-LONG = " ".join(f"w{i % 977}" for i in range(30_000))
+LONG = " ".join(f"w{i * 7919 % 30_011}" for i in range(30_000))
 EDGE = [(1, "a b c d e f"), (2, None), (3, ""), (4, "a b c d e f"), (4, "a b c d e f"), (None, "lone words"), (7, LONG), (8, "日本 語\n\n x")]
 
 
@@ -375,7 +375,8 @@ def test_fingerprints(spark):
         assert (got[i]["n_chars"], got[i]["edited_sha256"]) == (len(t), hashlib.sha256(edited.encode()).hexdigest()), i
         assert 0 <= got[i]["near_edited"] <= 1 and 0 <= got[i]["near_next"] <= 1
     assert got[1]["fingerprint"] == got[20]["fingerprint"] != got[7]["fingerprint"] and got[2]["fingerprint"] == got[3]["fingerprint"]
-    assert 0.3 < got[7]["near_edited"] < 0.9 and got[2]["near_next"] == 1.0
+    assert got[7]["near_edited"] > 0.99  # its half and little else: contained
+    assert got[2]["near_next"] == 1.0
     repeats = fingerprint.fingerprints(docs_of(spark, [(1, "a"), (1, "a"), (None, "b")])).collect()
     assert len(repeats) == 3 and fingerprint.fingerprints(docs_of(spark, [])).count() == 0
     pair = spark.createDataFrame([(LONG, LONG[: len(LONG) // 8])], "a string, b string").select(
