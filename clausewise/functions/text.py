@@ -153,7 +153,9 @@ def sentence_clauses(sentence: Column, lang: Column, min_words: int = 3, semicol
     merged = F.aggregate(kept, start, merge, lambda a: F.when(
         a["carry"].isNull(), a["out"]).otherwise(F.concat(a["out"], F.array(a["carry"]))))
     ends = "[ ,;:–—\\-\\n]+"
-    return F.filter(F.transform(merged, lambda t: unmark(F.regexp_replace(t, f"^{ends}|{ends}$", ""))), lambda t: t.rlike(r"(?U)\w"))
+    # most sentences have no separator and need none of the folds
+    found = F.when(F.instr(marked, "\x01") == 0, F.array(sentence)).otherwise(merged)
+    return F.filter(F.transform(found, lambda t: unmark(F.regexp_replace(t, f"^{ends}|{ends}$", ""))), lambda t: t.rlike(r"(?U)\w"))
 
 
 def split_clauses(text: Column, lang: Column, min_words: int = 3, semicolons: bool = False) -> Column:
