@@ -11,6 +11,8 @@ import os
 import re
 from array import array
 
+from .common import KEPT, worker_for
+
 WORD = "\x01"  # mark: this part has no blank before it
 MARKS = ".,;:!?"
 RAW = "\x02"  # mark: this part stands with its own white space
@@ -34,8 +36,10 @@ class ByteBpe:
     @classmethod
     def load(cls, path: str) -> "ByteBpe":
         """One encoder for each Python worker and file."""
+        worker_for("bpe")
         if path not in _LOADED:
             _LOADED[path] = cls(path)
+        KEPT["bpe"] = _LOADED.clear
         return _LOADED[path]
 
     @staticmethod

@@ -84,3 +84,14 @@ def filesystem(uri: str):
 
 def resolved(column: str) -> Column:
     return F.col(f"`{column}`")
+
+
+#: What long-lived Python workers keep between tasks: name -> function that lets it go.
+KEPT: dict = {}
+
+
+def worker_for(name: str) -> None:
+    """Called by a Python task of operator ``name``: what other operators keep in this worker goes,
+    so that a worker's memory is that of one operator, however many it has served."""
+    for other in [k for k in KEPT if k != name]:
+        KEPT.pop(other)()

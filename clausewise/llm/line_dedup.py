@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, text_groups
+from .common import materialize, text_groups, worker_for
 
 #: where a logical line ends: a line break, or blanks after the end of a sentence
 _END = re.compile(r"(?<=[.!?…])[^\S\n]+\n?|\n")
@@ -97,6 +97,7 @@ def repeated_runs(docs: DataFrame, run: int = 50, gram: int = 25) -> DataFrame:
     def sketch(batches):
         import pyarrow as pa
 
+        worker_for("lines")
         for batch in batches:
             ids, rows, texts = (batch.column(i).to_pylist() for i in range(3))
             for a, b in text_groups(texts):
@@ -128,7 +129,7 @@ def repeated_runs(docs: DataFrame, run: int = 50, gram: int = 25) -> DataFrame:
     def match(batches):
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in (b.slice(a, 500) for b in batches for a in range(0, b.num_rows, 500)):
             out: list[list] = [[], [], []]
             for x in batch.to_pylist():
                 mine, o = np.frombuffer(x["lines"], np.uint64), np.frombuffer(x["o_lines"], np.uint64)

@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_groups
+from .common import text_groups, worker_for
 
 BLANK = "▁"
 BYTE = 0x110000  # code units from here on stand for single bytes
@@ -415,6 +415,7 @@ def sample_segmentations(docs: DataFrame, model: str, k: int = 2, seed: int = 7,
     def run(batches):
         import pyarrow as pa
 
+        worker_for("pieces")
         vocabulary = Vocabulary.load(model, alpha)
         kinds = [pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.int64()]
         names = ["doc_id", "sample", "ids", "n_pieces", "log_prob", "perturbed", "inclusion", "decoded_crc32", "text_crc32"]

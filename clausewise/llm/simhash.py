@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, worker_for
 from .components import connected_components
 
 ALL = (1 << 64) - 1
@@ -60,6 +60,7 @@ def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
+        worker_for("simhash")
         for batch in batches:
             fp = [majority(shingle_hashes(t or "", words)) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import materialize
+from .common import materialize, worker_for
 
 STRIP = "\"'`´“”„«»‹›‘’.,;:!?…()[]{}<>*#$%&_-–—|/\\=+~^"
 OPEN = "\"“„«‹‘'"
@@ -230,6 +230,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_terms:
     def count(batches):
         import pyarrow as pa
 
+        worker_for("toxicity")
         toxic: Counter = Counter()
         clean: Counter = Counter()
         seen: set[int] = set()
@@ -303,6 +304,7 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
     """
     @pandas_udf("double")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        worker_for("toxicity")
         for texts in batches:
             yield pd.Series([model.score(t) for t in texts], dtype="float64")
 
