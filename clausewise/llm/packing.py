@@ -46,8 +46,8 @@ def knapsack(values: np.ndarray, sizes: np.ndarray, capacity: int) -> np.ndarray
     return counts
 
 
-def column_generation(demand: np.ndarray, sizes: np.ndarray, capacity: int, gap: float = 0.004,
-                      rounds: int = 6000) -> list[tuple[np.ndarray, float]]:
+def column_generation(demand: np.ndarray, sizes: np.ndarray, capacity: int, gap: float = 0.008,
+                      rounds: int = 1500) -> list[tuple[np.ndarray, float]]:
     """Patterns and their fractional counts that cover ``demand`` at the least number of bins.
 
     Revised simplex with an explicit inverse, refreshed now and then; the duals price the next
