@@ -29,6 +29,44 @@ def test_near_duplicates_keep_one(spark):
     assert sorted((r["doc_id"] or 0) for r in got.collect()) == [0, 1, 3]
 
 
+def test_near_copies_are_complete(spark, data):
+    import numpy as np
+
+    from clausewise.llm.near_copies import jaccard, similar_components
+    from clausewise.llm.simhash import shingle_hashes
+
+    rng = np.random.default_rng(8)
+    texts = {r["text"] or "" for r in spark.read.parquet(f"{data}/documents.parquet").collect()}
+    for _ in range(40):  # chains of edits around similarity 0.8
+        words = [f"w{x}" for x in rng.integers(0, 9999, rng.integers(20, 300))]
+        for _ in range(6):
+            texts.add(" ".join(words))
+            for k in rng.integers(0, len(words), max(1, len(words) // 45)):
+                words[k] = f"x{rng.integers(9999)}"
+    texts = sorted(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "row long, text string")
+    got = {r["row"]: r["component"] for r in similar_components(docs).collect()}
+    sets = [np.unique(shingle_hashes(t, 5)) for t in texts]
+    label = list(range(len(texts)))
+    pairs = 0
+    for i in range(len(texts)):
+        for j in range(i):
+            if 0.8 * len(sets[i]) <= len(sets[j]) + 1e-9 and 0.8 * len(sets[j]) <= len(sets[i]) + 1e-9 and jaccard(sets[i], sets[j]) >= 0.8:
+                pairs += 1
+                assert got[i] == got[j]
+                x, y = label[i], label[j]
+                label = [min(x, y) if k in (x, y) else k for k in label]
+    assert pairs > 40 and len(set(got.values())) == len(set(label))
+
+
+def test_stage_drops_near_copies(spark):
+    words = [f"w{i}" for i in range(200)]
+    edited = words[:50] + ["new"] + words[51:120] + ["other"] + words[121:]
+    rows = [(1, " ".join(words)), (2, " ".join(edited)), (3, " ".join(words[:100] + ["y"] * 100))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()) == [1, 3]
+
+
 def test_registered():
     assert {q.split("_")[0] for q in queries.QUERIES} == {f"op{n}" for n in range(1, 11)}
     assert "pipeline" in __spark_entry__.queries()
