@@ -59,6 +59,14 @@ def test_near_copies_are_complete(spark, data):
     assert pairs > 40 and len(set(got.values())) == len(set(label))
 
 
+def test_near_duplicates_keep_other_texts(spark):
+    rows = [(None, "first of the lone texts here"), (None, "second one has quite other words"), (None, "second one has quite other words"),
+            (3, "some text under a hot number"), (3, "unlike words below that same id"), (4, "unlike words below that same id"), (None, "some text under a hot number")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {(r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()}
+    assert got == {rows[0], rows[1], rows[3], rows[4]}
+
+
 def test_stage_drops_near_copies(spark):
     words = [f"w{i}" for i in range(200)]
     edited = words[:50] + ["new"] + words[51:120] + ["other"] + words[121:]
