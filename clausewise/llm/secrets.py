@@ -4,9 +4,9 @@ Patterns are found with ``regexp_extract_all``; their places follow from ``split
 pattern, because pieces and matches alternate, so running lengths give code-point offsets.  A
 credential often has parts that prove little alone: an access identifier, a secret, an endpoint.
 Weak candidates for each part are found too, and each is the centre of a scope of ``scope`` code
-points to both sides.  The interval join of parts and scopes runs as range frames over the
-candidates of a document in order: a frame reports which kinds of part lie within it, so no pair is
-ever made.  A weak candidate is reported only if both other kinds of part, or a sure one of a
+points to both sides, from its start and from its end.  The interval join of parts and scopes runs
+over the candidates of a document in order: the furthest end of each part so far and the next start
+of each tell which kinds of part lie within the scope, so no pair is ever made.  A weak candidate is reported only if both other kinds of part, or a sure one of a
 complementary kind, stand in its scope.
 """
 
@@ -81,11 +81,16 @@ def find_secrets(docs: DataFrame, scope: int = 200) -> DataFrame:
     part = F.element_at(F.array(*[F.lit(PARTS.index(PART[k])) for k in KINDS]), F.col("kind") + 1)
     sure = F.col("kind") < len(BASE)
     marked = single.withColumns({"part": part, "sure": sure})
-    around = Window.partitionBy("n").orderBy("start").rangeBetween(-scope, scope)
     before = Window.partitionBy("n").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, -1)
     after = Window.partitionBy("n").orderBy(F.desc("start"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, -1)
-    near = marked.withColumns({f"near{i}": F.max(F.col("part") == i).over(around) for i in range(3)} | {
-        f"sure{i}": F.max((F.col("part") == i) & F.col("sure")).over(around) for i in range(3)} | {
+
+    def within(of: Column) -> Column:
+        """Whether an interval of ``of`` has a gap of at most ``scope`` to this one."""
+        return F.coalesce(F.max(F.when(of, F.col("end"))).over(before) >= F.col("start") - scope, F.lit(False)) | F.coalesce(
+            F.min(F.when(of, F.col("start"))).over(after) <= F.col("end") + scope, F.lit(False))
+
+    near = marked.withColumns({f"near{i}": within(F.col("part") == i) for i in range(3)} | {
+        f"sure{i}": within((F.col("part") == i) & F.col("sure")) for i in range(3)} | {
         "covered": (F.coalesce(F.max(F.when(F.col("sure"), F.col("end"))).over(before), F.lit(-1)) > F.col("start"))
         | (F.coalesce(F.min(F.when(F.col("sure"), F.col("start"))).over(after), F.lit(2**31 - 1)) < F.col("end"))})
     complementary = F.lit(False)

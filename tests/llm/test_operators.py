@@ -414,3 +414,13 @@ def test_weak_parts_need_each_other(spark):
     assert got == {1: ["weak_id", "weak_key", "weak_url"], 2: [], 3: [], 4: ["access", "weak_key"], 5: []}
     masked = {r["doc_id"]: r["text"] for r in secrets.redact(docs_of(spark, [*texts.items(), (None, "token=abcdefgh x"), (9, None)])).collect()}
     assert masked[4] == "[secret] [secret]" and masked[3] == key and masked[None] == "[secret] x" and masked[9] is None
+
+
+def test_parts_after_a_long_span_are_in_scope(spark):
+    token = "token=" + "aB3" * 120
+    texts = {1: f"{token} host=db1.example", 2: "host=db1.example" + "." * 3 + " x" * 90 + f" {token}", 3: token + " fill" * 60 + " host=db1.example",
+             4: f"host=db1.example {token} {'AKIA' * 6}"}
+    got = {r["doc_id"]: [x.split(":")[0] for x in r["spans"].split(",") if x] for r in secrets.report(docs_of(spark, list(texts.items()))).collect()}
+    assert got == {1: ["assign", "weak_host"], 2: ["weak_host", "assign"], 3: ["assign"], 4: ["weak_host", "assign", "access"]}
+    masked = {r["doc_id"]: r["text"] for r in secrets.redact(docs_of(spark, [(1, texts[1])])).collect()}
+    assert masked == {1: "[secret] [secret]"}
