@@ -10,6 +10,7 @@ dealt to documents by their rank within the class, which is arithmetic on a smal
 
 from __future__ import annotations
 
+import logging
 import zlib
 
 import numpy as np
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 from .bpe import ByteBpe
 from .common import materialize, text_groups
 
+log = logging.getLogger(__name__)
+
 
 def knapsack(values: np.ndarray, sizes: np.ndarray, capacity: int) -> np.ndarray:
     """Counts of the best multiset of classes within ``capacity``."""
@@ -46,13 +49,15 @@ def knapsack(values: np.ndarray, sizes: np.ndarray, capacity: int) -> np.ndarray
     return counts
 
 
-def column_generation(demand: np.ndarray, sizes: np.ndarray, capacity: int, gap: float = 0.008,
-                      rounds: int = 1500) -> list[tuple[np.ndarray, float]]:
-    """Patterns and their fractional counts that cover ``demand`` at the least number of bins.
+def column_generation(demand: np.ndarray, sizes: np.ndarray, capacity: int, gap: float = 0.004,
+                      rounds: int = 100_000) -> tuple[list[tuple[np.ndarray, float]], float]:
+    """Patterns and their fractional counts that cover ``demand`` at the least number of bins, and
+    the gap to the bound that was reached (0: optimal).
 
     Revised simplex with an explicit inverse, refreshed now and then; the duals price the next
     pattern by ``knapsack``.  The best price also bounds the optimum from below (Farley), and the
-    search ends once the bins are within ``gap`` of that bound.
+    search ends once the bins are within ``gap`` of that bound; ``rounds`` only guards against
+    cycling.
     """
     m = len(sizes)
     basis = [np.zeros(m, dtype=np.int64) for _ in range(m)]
@@ -60,15 +65,17 @@ def column_generation(demand: np.ndarray, sizes: np.ndarray, capacity: int, gap:
         basis[i][i] = max(1, min(capacity // int(sizes[i]), int(demand[i])))
     inverse = np.diag([1.0 / basis[i][i] for i in range(m)])
     x = inverse @ demand
-    bound = 0.0
+    bound, reached = 0.0, np.inf
     for step in range(rounds):
         duals = inverse.sum(axis=0)
         new = knapsack(duals, sizes, capacity)
         price = float(duals @ new)
         if price <= 1 + 1e-7:
+            reached = 0.0
             break
         bound = max(bound, float(x.sum()) / price)
-        if x.sum() <= bound * (1 + gap):
+        reached = float(x.sum()) / bound - 1
+        if reached <= gap:
             break
         direction = inverse @ new
         down = direction > 1e-10
@@ -86,7 +93,7 @@ def column_generation(demand: np.ndarray, sizes: np.ndarray, capacity: int, gap:
         if step % 100 == 99:
             inverse = np.linalg.inv(np.array(basis, dtype=float).T)
             x = np.maximum(inverse @ demand, 0)
-    return [(b, float(v)) for b, v in zip(basis, x, strict=True) if v > 1e-9]
+    return [(b, float(v)) for b, v in zip(basis, x, strict=True) if v > 1e-9], reached
 
 
 def plan(demand: np.ndarray, sizes: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int]]:
@@ -95,9 +102,9 @@ def plan(demand: np.ndarray, sizes: np.ndarray, capacity: int) -> list[tuple[np.
     out: list[tuple[np.ndarray, int]] = []
     if left.any():
         live = np.flatnonzero(left)
-        for pattern, share in sorted(
-            column_generation(left[live].astype(float), sizes[live], capacity), key=lambda p: -p[1]
-        ):
+        found, reached = column_generation(left[live].astype(float), sizes[live], capacity)
+        log.log(logging.INFO if reached <= 0.004 else logging.WARNING, "packing: bins within %.4f of the bound", reached)
+        for pattern, share in sorted(found, key=lambda p: -p[1]):
             full = np.zeros(len(sizes), dtype=np.int64)
             full[live] = pattern
             used = full > 0
