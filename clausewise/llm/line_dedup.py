@@ -6,7 +6,9 @@ keeps, in every window of grams whose starts span ``run - gram`` words, the leas
 ``run`` words that two texts share holds such a window whole, so both keep the same gram of it: no
 shared run of that length goes unseen.  Kept grams meet the first place of the same gram by an
 equi-join on the hash, matches are extended both ways line by line, and a run of at least ``run``
-words is deleted where it comes later.  First is by (doc_id, row, position): the earliest copy of
+words is deleted where it comes later.  A first place need not be the one that shares most: where a
+gram stands in three places or more, the shortest runs of at least ``run`` words around it are keys
+of their own, each of which meets its own first place.  First is by (doc_id, row, position): the earliest copy of
 every run stays.
 """
 
@@ -78,6 +80,22 @@ def winnow(hashes: np.ndarray, words: np.ndarray, run: int, gram: int) -> tuple[
     return live[whole[keep]], g[keep]
 
 
+def whole_runs(words: np.ndarray, at: np.ndarray, run: int, gram: int) -> list[tuple[int, int]]:
+    """Ranges of lines that hold a gram from one of ``at`` and at least ``run`` words, and no fewer
+    lines from their start or to their end would; they begin and end in lines with words."""
+    live = np.flatnonzero(words)
+    n = len(live)
+    total = np.concatenate([[0], np.cumsum(words[live])])
+    end = np.searchsorted(total, total[:-1] + run)
+    start = np.searchsorted(total, total[1:] - run, side="right") - 1
+    pairs = np.concatenate([np.stack([np.arange(n), end], axis=1)[end <= n], np.stack([start, np.arange(1, n + 1)], axis=1)[start >= 0]])
+    pairs = np.unique(pairs, axis=0)
+    marks = np.searchsorted(live, np.sort(at))
+    stop = np.append(np.searchsorted(total, total[marks] + gram), n + 1)  # where the grams end
+    holds = stop[np.searchsorted(marks, pairs[:, 0])] <= pairs[:, 1]
+    return [(int(live[a]), int(live[b - 1]) + 1) for a, b in pairs[holds]]
+
+
 def extend(mine: np.ndarray, other: np.ndarray, at: int, to: int, same: bool) -> tuple[int, int]:
     """The longest run around mine[at] == other[to], as a range of ``mine``. Within one text the
     earlier run ends before the later one starts."""
@@ -101,25 +119,25 @@ def repeated_runs(docs: DataFrame, run: int = 50, gram: int = 25) -> DataFrame:
         for batch in batches:
             ids, rows, texts = (batch.column(i).to_pylist() for i in range(3))
             for a, b in text_groups(texts):
-                out: list[list] = [[], [], [], [], []]
+                out: list[list] = [[], [], [], [], [], []]
                 for i, r, t in zip(ids[a:b], rows[a:b], texts[a:b], strict=True):
                     h, w = line_hashes(lines(t))
                     at, g = winnow(h, w, run, gram)
                     if len(at):
-                        for col, v in zip(out, (i, r, h.tobytes(), at.tolist(), g.view(np.int64).tolist()), strict=True):
+                        for col, v in zip(out, (i, r, h.tobytes(), w.astype(np.int32).tobytes(), at.tolist(), g.view(np.int64).tolist()), strict=True):
                             col.append(v)
-                kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+                kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["doc_id", "row", "lines", "at", "gram"])
+                    [pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=["doc_id", "row", "lines", "words", "at", "gram"])
 
     sketches = materialize(
         docs.select("doc_id", "row", "text").mapInArrow(
-            sketch, "doc_id long, row long, lines binary, at array<long>, gram array<long>"), "lines")
+            sketch, "doc_id long, row long, lines binary, words binary, at array<long>, gram array<long>"), "lines")
     grams = sketches.select("doc_id", "row", F.explode(F.arrays_zip("at", "gram")).alias("x")).select(
         "x.gram", F.struct("doc_id", "row", "x.at").alias("place"))
     firsts = materialize(
-        grams.groupBy("gram").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first < last")
-        .select("gram", "first"), "firsts")
+        grams.groupBy("gram").agg(F.min("place").alias("first"), F.max("place").alias("last"), F.count("*").alias("n"))
+        .where("first < last").select("gram", "first", "n"), "firsts")
     met = grams.join(firsts, "gram").where("first < place").groupBy(
         "place.doc_id", "place.row", F.col("first.doc_id").alias("o_id"), F.col("first.row").alias("o_row")
     ).agg(F.collect_list(F.struct("place.at", F.col("first.at").alias("to"))).alias("pairs"))  # within two texts
@@ -147,8 +165,35 @@ def repeated_runs(docs: DataFrame, run: int = 50, gram: int = 25) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.int64(), kind), strict=True)], names=["doc_id", "row", "spans"])
 
-    return both.mapInArrow(match, "doc_id long, row long, spans array<struct<a:long,b:long>>").groupBy("doc_id", "row").agg(
-        F.flatten(F.collect_list("spans")).alias("spans"))
+    # grams of three places and more: what two later places share beyond the first one
+    crowded = grams.join(firsts.where("n > 2").select("gram"), "gram", "left_semi").groupBy("place.doc_id", "place.row").agg(
+        F.collect_list("place.at").alias("marks"))  # within a text
+    marked = crowded.join(sketches.select("doc_id", "row", "lines", "words"), ["doc_id", "row"])
+
+    def cover(batches):
+        import pyarrow as pa
+        from xxhash import xxh64_intdigest as hashed
+
+        for batch in (b.slice(a, 500) for b in batches for a in range(0, b.num_rows, 500)):
+            out: list[list] = [[], [], [], [], []]
+            for x in batch.to_pylist():
+                words = np.frombuffer(x["words"], np.int32).astype(np.int64)
+                for a, b in whole_runs(words, np.array(x["marks"]), run, gram):
+                    key = hashed(x["lines"][8 * a : 8 * b])
+                    for col, v in zip(out, (key - (key >> 63 << 64), x["doc_id"], x["row"], a, b), strict=True):
+                        col.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["key", "doc_id", "row", "a", "b"])
+
+    runs = materialize(marked.mapInArrow(cover, "key long, doc_id long, row long, a long, b long"), "runs")
+    place = F.struct("doc_id", "row", "a", "b")
+    first_runs = materialize(
+        runs.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last")
+        .select("key", "first"), "first_runs")
+    later = runs.join(first_runs, "key").where(
+        "(doc_id, row) > (first.doc_id, first.row) or doc_id = first.doc_id and row = first.row and a >= first.b")
+    found = both.mapInArrow(match, "doc_id long, row long, spans array<struct<a:long,b:long>>").unionByName(
+        later.groupBy("doc_id", "row").agg(F.collect_list(F.struct("a", "b")).alias("spans")))
+    return found.groupBy("doc_id", "row").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
 def delete_lines(text: str, spans: list[tuple[int, int]], run: int) -> tuple[str, int, int]:

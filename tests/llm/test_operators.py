@@ -372,6 +372,25 @@ def test_winnowing_guarantee():
             assert kept[0] & kept[1]
 
 
+def test_line_dedup_finds_runs_of_later_places(spark):
+    rng = np.random.default_rng(9)
+    texts, want = {}, {}
+    for c in range(60):  # an earlier text holds part of what two later ones share
+        parts = [sentence(rng, int(n)) for n in rng.integers(4, 30, rng.integers(3, 9))]
+        i = int(rng.integers(0, len(parts)))
+        j = int(rng.integers(i + 1, len(parts) + 1))
+        for k, middle in enumerate((parts[i:j], parts, parts)):
+            texts[3 * c + k] = " ".join([sentence(rng, 9), *middle, sentence(rng, 9)])
+        if sum(len(p.split()) for p in parts) >= 50:
+            want[3 * c + 2] = parts
+    texts[900] = " ".join([sentence(rng, 20), X := sentence(rng, 25), sentence(rng, 15)])
+    texts[899], texts[901] = X, texts[900]
+    want[901] = [X]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(docs_of(spark, list(texts.items()))).collect()}
+    assert not [i for i, parts in want.items() if any(p in got[i] for p in parts)]
+    assert all(got[3 * c] == texts[3 * c] for c in range(60)) and got[900] == texts[900]
+
+
 # ---- 9 fingerprints ---------------------------------------------------------
 
 
