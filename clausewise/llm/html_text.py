@@ -5,7 +5,8 @@ something else (menus, notices, adverts, comments), or undecided.  The token str
 pages are concatenated and sorted as a suffix array to the depth of the least repeat that counts;
 runs of tokens that occur on several distinct pages are covered.  Where the markup does not tell,
 covered blocks go and unique runs stay; what the markup names as the article stays as it is, since
-the text of an article may well be printed on several pages.  A large host is cut into shards of pages, so no task grows with a host.
+the text of an article may well be printed on several pages.  A large host is cut into shards of pages, so no task grows with a host; on how many
+pages a run stands is then counted over the whole host, by its hash, and told to the shards.
 """
 
 from __future__ import annotations
@@ -177,8 +178,36 @@ def repeated(stream: np.ndarray, page: np.ndarray, depth: int, pages: int) -> tu
     return np.cumsum(cover)[:n] > 0, rank
 
 
-def keep_unique(pages: list[list[tuple[int, str]]], depth: int = 8, least: int = 3) -> list[str]:
-    """Main texts of the pages of one host (or shard of it), in the given order."""
+def run_hashes(words: list[str], depth: int) -> np.ndarray:
+    """Hash of the run of ``depth`` tokens from each token that has one."""
+    from xxhash import xxh64_intdigest as h
+
+    n = len(words) - depth + 1
+    if n <= 0:
+        return np.zeros(0, dtype=np.uint64)
+    seen: dict[str, int] = {}
+    for w in words:
+        if w not in seen:
+            seen[w] = h(w)
+    each = np.fromiter((seen[w] for w in words), dtype=np.uint64, count=len(words))
+    out = np.zeros(n, dtype=np.uint64)
+    for k in range(depth):
+        out = (out ^ (out >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + each[k : k + n]
+    return out
+
+
+def tokens(parts: list[tuple[int, str]]) -> list[str]:
+    return [w for _, text in parts for w in text.split(" ")]
+
+
+def opened(raw: bytes) -> list[tuple[int, str]]:
+    """Blocks from their packed form."""
+    return [(int(x[0]), x[1:]) for x in raw.decode("utf-8").split("\0") if x]
+
+
+def keep_unique(pages: list[list[tuple[int, str]]], depth: int = 8, least: int = 3, known: np.ndarray | None = None) -> list[str]:
+    """Main texts of the pages of one host, in the given order; for a shard of a host, ``known``
+    holds the hashes of the runs that repeat on the host."""
     ids: dict[str, int] = {}
     stream: list[int] = []
     spans: list[list[tuple[int, int]]] = []
@@ -193,7 +222,13 @@ def keep_unique(pages: list[list[tuple[int, str]]], depth: int = 8, least: int =
     lengths = [(own[-1][1] - own[0][0] if own else 0) + 1 for own in spans]
     owner = np.repeat(np.arange(len(pages)), lengths)
     flat = np.array(stream, dtype=np.int64)
-    covered, _ = repeated(flat, owner, depth, least) if len(flat) else (np.zeros(0, bool), flat)
+    if known is not None:
+        covered = np.zeros(len(flat), dtype=bool)
+        for parts, own in zip(pages, spans, strict=True):
+            for i in np.flatnonzero(np.isin(run_hashes(tokens(parts), depth), known)):
+                covered[own[0][0] + i : own[0][0] + i + depth] = True
+    else:
+        covered, _ = repeated(flat, owner, depth, least) if len(flat) else (np.zeros(0, bool), flat)
     out = []
     for parts, own in zip(pages, spans, strict=True):
         has_article = any(kind == ARTICLE for kind, _ in parts)
@@ -214,13 +249,15 @@ def main_text(pages: DataFrame, depth: int = 8, least: int = 3, shard_pages: int
     A null or empty html gives the empty text; a null url belongs to the nameless host; rows that
     repeat stay rows of their own (and count as distinct pages); an empty table gives no rows; other
     columns are not read.  Hosts of more than ``shard_pages`` pages are cut into shards by a hash
-    of the page; the table of such hosts is broadcast only up to ``broadcast_hosts`` of them.
+    of the page, which changes no result; the table of such hosts is broadcast only up to
+    ``broadcast_hosts`` of them.
     """
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
     large = materialize(
         pages.select(host.alias("host")).groupBy("host").agg(F.count("*").alias("n")).where(F.col("n") > shard_pages)
         .select("host", F.ceil(F.col("n") / shard_pages).cast("int").alias("shards")), "hosts")
-    small_table = large.count() <= broadcast_hosts
+    n_large = large.count()
+    small_table = n_large <= broadcast_hosts
 
     def parse(batches):
         import pyarrow as pa
@@ -229,25 +266,66 @@ def main_text(pages: DataFrame, depth: int = 8, least: int = 3, shard_pages: int
         squeeze = ZstdCompressor(level=3).compress
         for batch in batches:
             ids, urls, hosts, salts, texts = (batch.column(i) for i in range(5))
-            packed = [squeeze("\0".join(f"{k}{t}" for k, t in blocks((x or "").replace("\0", "�"))).encode("utf-8", "replace")) for x in texts.to_pylist()]
-            yield pa.RecordBatch.from_arrays([ids, urls, hosts, salts, pa.array(packed, pa.binary())],
-                                             names=["page_id", "url", "host", "salt", "packed"])
+            packed, decides = [], []
+            for x in texts.to_pylist():
+                parts = blocks((x or "").replace("\0", "�"))
+                packed.append(squeeze("\0".join(f"{k}{t}" for k, t in parts).encode("utf-8", "replace")))
+                kinds = {k for k, _ in parts}
+                decides.append(UNDECIDED in kinds and ARTICLE not in kinds)
+            yield pa.RecordBatch.from_arrays([ids, urls, hosts, salts, pa.array(packed, pa.binary()), pa.array(decides, pa.bool_())],
+                                             names=["page_id", "url", "host", "salt", "packed", "decides"])
 
     parsed = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), host.alias("host"),
         F.xxhash64("page_id", "url").alias("salt"), "html"
-    ).mapInArrow(parse, "page_id long, url string, host string, salt long, packed binary")
+    ).mapInArrow(parse, "page_id long, url string, host string, salt long, packed binary, decides boolean")
     joined = parsed.join(F.broadcast(large) if small_table else large, "host", "left")
     dealt = joined.withColumn("shard", F.pmod(F.col("salt"), F.coalesce("shards", F.lit(1))).cast("int"))
 
-    def run(part):
+    def texts(part, known=None):
         import pandas as pd
         from zstandard import ZstdDecompressor
 
         open_up = ZstdDecompressor().decompress
         part = part.sort_values(["page_id", "url"], na_position="first", kind="stable")
-        found = [[(int(x[0]), x[1:]) for x in open_up(p).decode("utf-8").split("\0") if x] for p in part["packed"]]
-        return pd.DataFrame({"page_id": part["page_id"], "url": part["url"], "text": keep_unique(found, depth, least)})
+        found = [opened(open_up(p)) for p in part["packed"]]
+        return pd.DataFrame({"page_id": part["page_id"], "url": part["url"], "text": keep_unique(found, depth, least, known)})
+
+    schema = "page_id long, url string, text string"
+    if not n_large:
+        return dealt.select("page_id", "url", "host", "shard", "packed").groupBy("host", "shard").applyInPandas(lambda part: texts(part), schema)
+    dealt = materialize(dealt.select("page_id", "url", "host", "shard", "packed", "decides", F.col("shards").isNotNull().alias("cut")), "pages")
+    # on the other hosts no page asks for repeats: the markup of each names its article
+    asking = materialize(dealt.where("cut and decides").select("host").distinct(), "asking")
+    if asking.isEmpty():
+        return dealt.select("page_id", "url", "host", "shard", "packed", "cut").groupBy("host", "shard").applyInPandas(
+            lambda part: texts(part, np.zeros(0, dtype=np.uint64) if part["cut"].iloc[0] else None), schema)
+
+    def count(batches):
+        import pyarrow as pa
+        from zstandard import ZstdDecompressor
+
+        open_up = ZstdDecompressor().decompress
+        for batch in (b.slice(k, 1000) for b in batches for k in range(0, b.num_rows, 1000)):
+            of: dict[tuple[str, int], list[np.ndarray]] = {}
+            for h, s, p in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                of.setdefault((h, s), []).append(np.unique(run_hashes(tokens(opened(open_up(p))), depth)))
+            for (h, s), runs in of.items():
+                run, n = np.unique(np.concatenate(runs), return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([h] * len(run), pa.string()), pa.array(np.full(len(run), s, np.int32)), pa.array(run.view(np.int64)), pa.array(n.astype(np.int64))],
+                    names=["host", "shard", "run", "n"])
+
+    # pages of a host on which a run stands, over all its shards; then the shards are told
+    counted = dealt.where("cut").join(F.broadcast(asking) if small_table else asking, "host", "left_semi").select("host", "shard", "packed").mapInArrow(count, "host string, shard int, run long, n long")
+    repeats = counted.groupBy("host", "run").agg(F.sum("n").alias("n"), F.collect_set("shard").alias("shards")).where(
+        F.col("n") >= least).select("host", "run", F.explode("shards").alias("shard"))
+    told = repeats.groupBy("host", "shard").agg(F.collect_list("run").alias("runs"))  # within a shard's pages
+
+    def shard_texts(part, runs):
+        if not len(part) or not part["cut"].iloc[0]:
+            return texts(part)
+        known = np.array(runs["runs"].iloc[0], dtype=np.int64) if len(runs) else np.zeros(0, dtype=np.int64)
+        return texts(part, known.view(np.uint64))
 
-    return dealt.select("page_id", "url", "host", "shard", "packed").groupBy("host", "shard").applyInPandas(
-        run, "page_id long, url string, text string")
+    return dealt.drop("decides").groupBy("host", "shard").cogroup(told.groupBy("host", "shard")).applyInPandas(shard_texts, schema)

@@ -148,6 +148,18 @@ def test_repeats_across_pages(spark):
     assert html_text.main_text(df.limit(0)).count() == 0
 
 
+def test_repeats_do_not_depend_on_shards(spark):
+    banner = "<p>this site uses small files to remember what you like best</p>"
+    rng = np.random.default_rng(4)
+    pages = [(i, f"http://h.example/{i}", f"<body>{banner if i % 60 == 0 else ''}<p>{' '.join(f'u{x}' for x in rng.integers(0, 10**6, 12))}</p></body>")
+             for i in range(300)]
+    pages += [(1000 + i, f"http://o.example/{i}", f"<body>{banner}<p>own words {i}</p></body>") for i in range(2)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    whole, cut = ({r["page_id"]: r["text"] for r in html_text.main_text(df, shard_pages=n).collect()} for n in (1000, 10))
+    assert whole == cut and len(cut) == 302
+    assert not any("small files" in cut[i] for i in range(300)) and "small files" in cut[1000]
+
+
 def test_suffix_ranks_are_exact():
     rng = np.random.default_rng(2)
     stream, page = rng.integers(0, 3, 400), np.repeat(np.arange(8), 50)
