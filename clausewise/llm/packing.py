@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import ByteBpe
-from .common import materialize, text_groups
+from .common import byte_groups, materialize, small_batches
 
 log = logging.getLogger(__name__)
 
@@ -28,6 +28,8 @@ def knapsack(values: np.ndarray, sizes: np.ndarray, capacity: int) -> np.ndarray
     best = np.zeros(capacity + 1)
     choice = np.full(capacity + 1, -1)
     order = np.argsort(sizes, kind="stable")
+    # a class that is worth no more than a smaller one is never needed
+    order = order[values[order] > np.maximum.accumulate(np.r_[0.0, values[order]])[:-1]]
     w, v = sizes[order], values[order]
     upto = np.searchsorted(w, np.arange(capacity + 1), side="right")
     for c in range(1, capacity + 1):
@@ -49,6 +51,23 @@ def knapsack(values: np.ndarray, sizes: np.ndarray, capacity: int) -> np.ndarray
     return counts
 
 
+def inverted(matrix: np.ndarray) -> np.ndarray:
+    """Inverse by elimination with row pivots, in plain array operations: library threads of the
+    linear algebra that numpy ships can hang in a process that also holds a JVM."""
+    m = len(matrix)
+    work = np.hstack([matrix, np.eye(m)])
+    for k in range(m):
+        best = k + int(np.abs(work[k:, k]).argmax())
+        if best != k:
+            work[[k, best]] = work[[best, k]]
+        work[k] /= work[k, k]
+        column = work[:, k].copy()
+        column[k] = 0
+        live = np.flatnonzero(column)
+        work[live] -= column[live, None] * work[k]
+    return work[:, m:]
+
+
 def column_generation(demand: np.ndarray, sizes: np.ndarray, capacity: int, gap: float = 0.004,
                       rounds: int = 100_000) -> tuple[list[tuple[np.ndarray, float]], float]:
     """Patterns and their fractional counts that cover ``demand`` at the least number of bins, and
@@ -64,7 +83,7 @@ def column_generation(demand: np.ndarray, sizes: np.ndarray, capacity: int, gap:
     for i in range(m):
         basis[i][i] = max(1, min(capacity // int(sizes[i]), int(demand[i])))
     inverse = np.diag([1.0 / basis[i][i] for i in range(m)])
-    x = inverse @ demand
+    x = (inverse * demand).sum(axis=1)
     bound, reached = 0.0, np.inf
     for step in range(rounds):
         duals = inverse.sum(axis=0)
@@ -77,7 +96,7 @@ def column_generation(demand: np.ndarray, sizes: np.ndarray, capacity: int, gap:
         reached = float(x.sum()) / bound - 1
         if reached <= gap:
             break
-        direction = inverse @ new
+        direction = (inverse * new).sum(axis=1)
         down = direction > 1e-10
         if not down.any():
             break
@@ -90,9 +109,9 @@ def column_generation(demand: np.ndarray, sizes: np.ndarray, capacity: int, gap:
         inverse -= np.outer(direction, pivot)
         inverse[out] = pivot
         basis[out] = new
-        if step % 100 == 99:
-            inverse = np.linalg.inv(np.array(basis, dtype=float).T)
-            x = np.maximum(inverse @ demand, 0)
+        if step % 400 == 399:
+            inverse = inverted(np.array(basis, dtype=float).T)
+            x = np.maximum((inverse * demand).sum(axis=1), 0)
     return [(b, float(v)) for b, v in zip(basis, x, strict=True) if v > 1e-9], reached
 
 
@@ -138,6 +157,22 @@ def plan(demand: np.ndarray, sizes: np.ndarray, capacity: int) -> list[tuple[np.
     return out
 
 
+def planned(spark, demand: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int]]:
+    """``plan`` of classes 1 to ``capacity``, made by one task: executors hold linear algebra to one
+    thread, and the driver stays free.  The plan has few more rows than classes."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for _ in batches:
+            found = plan(demand, np.arange(1, capacity + 1), capacity)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([p.tolist() for p, _ in found], pa.list_(pa.int64())), pa.array([int(n) for _, n in found], pa.int64())], names=["pattern", "bins"])
+
+    rows = spark.range(1).repartition(1).mapInArrow(run, "pattern array<long>, bins long").collect()
+    return [(np.array(r["pattern"], dtype=np.int64), r["bins"]) for r in rows]
+
+
 def pack(docs: DataFrame, tokenizer: str, length: int = 2048, grain: int = 8, end_id: int = 1) -> DataFrame:
     """Pieces of all documents, each in its place of a sequence.
 
@@ -147,35 +182,34 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 2048, grain: int = 8, en
     gives no pieces; other columns are not read.  ``grain`` is the width of a length class: an
     item may waste less than that, no class has more than ``length / grain`` rows in the plan.
     """
-    spark = docs.sparkSession
+    small_batches(docs.sparkSession)
 
     def cut(batches):
         import pyarrow as pa
         from pyspark import TaskContext
 
         encoder = ByteBpe.load(tokenizer)
-        end = np.array([end_id], dtype="<u4").tobytes()
         part, row = TaskContext.get().partitionId(), 0
         seen: dict[int, int] = {}
-        for batch in batches:
-            names, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in text_groups(texts):
-                out: list[list] = [[] for _ in range(8)]
-                for name, raw in zip(names[a:b], encoder.encode(texts[a:b]), strict=True):
-                    raw += end
-                    n = len(raw) // 4
-                    for at in range(0, n, length):
-                        size = min(length, n - at)
-                        cls = -(-size // grain) if size < length else 0
-                        seen[cls] = seen.get(cls, 0) + 1
-                        for col, v in zip(out, (name, part << 33 | row, at, size, zlib.crc32(raw[4 * at : 4 * (at + size)]),
-                                                n, cls, seen[cls] - 1), strict=True):
-                            col.append(v)
-                    row += 1
-                kinds = (pa.int64(),) * 6 + (pa.int32(), pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(out, kinds, strict=True)],
-                    names=["doc_id", "key", "start", "length", "ids_crc32", "doc_tokens", "cls", "nth"])
+        kinds = (pa.int64(),) * 6 + (pa.int32(), pa.int64())
+        for batch in (g for b in batches for g in byte_groups(b)):
+            ids, bounds = encoder.encode(batch.column(1))
+            raw = memoryview(np.insert(ids, bounds[1:], end_id).astype("<u4")).cast("B")
+            bounds = (bounds + np.arange(len(bounds))).tolist()
+            out: list[list] = [[] for _ in kinds]
+            for name, begin, stop in zip(batch.column(0).to_pylist(), bounds, bounds[1:], strict=False):
+                n = stop - begin
+                for at in range(0, n, length):
+                    size = min(length, n - at)
+                    cls = -(-size // grain) if size < length else 0
+                    seen[cls] = seen.get(cls, 0) + 1
+                    for col, v in zip(out, (name, part << 33 | row, at, size, zlib.crc32(raw[4 * (begin + at) : 4 * (begin + at + size)]),
+                                            n, cls, seen[cls] - 1), strict=True):
+                        col.append(v)
+                row += 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(out, kinds, strict=True)],
+                names=["doc_id", "key", "start", "length", "ids_crc32", "doc_tokens", "cls", "nth"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     pieces = materialize(
@@ -194,11 +228,9 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 2048, grain: int = 8, en
     demand = np.zeros(classes + 1, dtype=np.int64)
     for cls, n in counts.groupBy("cls").agg(F.sum("n")).collect():  # at most length / grain + 1 rows
         demand[cls] = n
-    singles = int(demand[0])
-    sizes = np.arange(1, classes + 1)  # in grains
-    rows, sequence = [], singles
+    sequence, rows = int(demand[0]), []  # whole cuts are the first sequences
     slot = np.zeros(classes, dtype=np.int64)
-    for number, (pattern, bins) in enumerate(plan(demand[1:], sizes, classes)):
+    for number, (pattern, bins) in enumerate(planned(docs.sparkSession, demand[1:], classes)):
         for j in np.flatnonzero(pattern):
             many = int(pattern[j]) * bins
             rows.append((int(j) + 1, int(slot[j]), int(slot[j]) + many, int(pattern[j]), sequence, number))

@@ -2,31 +2,35 @@
 
 File format (little-endian), one file a shard of consecutive documents::
 
-    "CWEF" | u8 version | u8 bytes of an id | u8 low bits | u8 0
-    u64 documents n | u64 ids u | u64 words of upper bits | u64 words of low bits
+    "CWEF" | u8 version | u8 bytes of an id | u16 0
+    ids: u16 or u32 [u]       all ids one after another, zeros up to a multiple of 8 bytes
     keys: i64[n]              the documents' keys, in file order
     upper: u64[...]           unary coded high parts of the n+1 boundaries
     low: u64[...]             low parts, bit-packed
-    ids: u16 or u32 [u]       all ids one after another
+    u64 documents n | u64 ids u | u64 words of upper bits | u64 words of low bits | u64 low bits | "CWEFCWEF"
 
-Boundary i is the number of ids before document i of the shard.  ``select1`` over the upper bits
+Boundary i is the number of ids before document i of the shard.  ``select`` over the upper bits
 uses the ones before each 64-bit word as its directory (built in memory on opening), so an offset
 costs a binary search over words and one look at a word; no 64-bit table of offsets is stored.
+The boundaries come after the ids, so a task writes ids as it makes them and a reader takes them
+run by run: neither holds a shard.
 """
 
 from __future__ import annotations
 
 import struct
 import zlib
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import ByteBpe
-from .common import filesystem, fresh_path, materialize, text_groups
+from .common import byte_groups, filesystem, fresh_path, materialize, small_batches
 
-_HEAD = struct.Struct("<4sBBBBQQQQ")
+_HEAD = struct.Struct("<4sBBH")
+_TAIL = struct.Struct("<QQQQQ8s")
 
 
 class EliasFano:
@@ -72,56 +76,88 @@ class EliasFano:
         return got & ((1 << self.low_bits) - 1)
 
 
-def pack_shard(keys: list[int], ids: list[bytes], wide: bool) -> bytes:
-    """One file's bytes; ``ids`` holds each document's ids as unsigned 32-bit bytes."""
-    lengths = np.array([len(x) // 4 for x in ids], dtype=np.int64)
-    ends = np.concatenate([[0], np.cumsum(lengths)])
-    total = int(ends[-1])
-    ef = EliasFano.encode(ends, total)
-    flat = np.frombuffer(b"".join(ids), dtype="<u4")
-    body = flat if wide else flat.astype("<u2")
-    head = _HEAD.pack(b"CWEF", 1, 4 if wide else 2, ef.low_bits, 0, len(keys), total, len(ef.upper), len(ef.low))
-    return b"".join(
-        (head, np.array(keys, dtype="<i8").tobytes(), ef.upper.tobytes(), ef.low.tobytes(), body.tobytes())
-    )
+class ShardWriter:
+    """Writes a file of the format above to ``out``, some documents at a time."""
 
+    def __init__(self, out, wide: bool):
+        self.out, self.kind = out, np.dtype("<u4" if wide else "<u2")
+        self.keys: list[np.ndarray] = []
+        self.lengths: list[np.ndarray] = []
+        out.write(_HEAD.pack(b"CWEF", 2, self.kind.itemsize, 0))
 
-class Shard:
-    """A file of the format above, opened from its bytes."""
+    def add(self, keys: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
+        self.out.write(ids.astype(self.kind).tobytes())
+        self.keys.append(np.asarray(keys, dtype="<i8"))
+        self.lengths.append(np.asarray(lengths, dtype=np.int64))
+
+    def close(self) -> tuple[int, int]:
+        """Documents and ids of the file."""
+        ends = np.concatenate([[0], np.cumsum(np.concatenate([np.zeros(0, dtype=np.int64), *self.lengths]))])
+        n, total = len(ends) - 1, int(ends[-1])
+        ef = EliasFano.encode(ends, total)
+        self.out.write(bytes(-total * self.kind.itemsize % 8))
+        for part in (*self.keys, ef.upper, ef.low):
+            self.out.write(part.tobytes())
+        self.out.write(_TAIL.pack(n, total, len(ef.upper), len(ef.low), ef.low_bits, b"CWEFCWEF"))
+        return n, total
 
-    def __init__(self, raw: bytes):
-        magic, version, width, low_bits, _, n, total, words, lows = _HEAD.unpack_from(raw)
-        if magic != b"CWEF" or version != 1:
+
+class Shard:
+    """A file of the format above, opened for reading at any place."""
+
+    def __init__(self, file):
+        self.file = file
+        size = file.size()
+        magic, version, width, _ = _HEAD.unpack(file.read_at(_HEAD.size, 0))
+        n, total, words, lows, low_bits, end = _TAIL.unpack(file.read_at(_TAIL.size, size - _TAIL.size))
+        if magic != b"CWEF" or end != b"CWEFCWEF" or version != 2:
             raise ValueError("not a token file")
-        at = _HEAD.size
-        self.keys = np.frombuffer(raw, "<i8", n, at)
-        upper = np.frombuffer(raw, "<u8", words, at := at + 8 * n)
-        low = np.frombuffer(raw, "<u8", lows, at := at + 8 * words)
-        self.ids = np.frombuffer(raw, "<u2" if width == 2 else "<u4", total, at + 8 * lows)
-        self.ends = EliasFano(n + 1, low_bits, upper, low)
+        self.kind = np.dtype(f"<u{width}")
+        at = size - _TAIL.size - 8 * (n + words + lows)
+        raw = file.read_at(8 * (n + words + lows), at)
+        self.keys = np.frombuffer(raw, "<i8", n)
+        self.ends = EliasFano(n + 1, low_bits, np.frombuffer(raw, "<u8", words, 8 * n), np.frombuffer(raw, "<u8", lows, 8 * (n + words)))
 
     def __len__(self) -> int:
         return len(self.keys)
 
+    def ids(self, start: int, stop: int) -> np.ndarray:
+        width = self.kind.itemsize
+        return np.frombuffer(self.file.read_at(width * (stop - start), _HEAD.size + width * start), self.kind)
+
     def document(self, i: int) -> tuple[int, np.ndarray]:
         start = self.ends.select(i)
-        return start, self.ids[start : self.ends.select(i + 1)]
+        return start, self.ids(start, self.ends.select(i + 1))
+
+    def runs(self, limit: int = 1 << 20):
+        """(number of the first document, bounds of each, ids) of runs of about ``limit`` ids."""
+        i, start = 0, 0
+        while i < len(self):
+            bounds = [start]
+            while i + len(bounds) <= len(self) and (len(bounds) == 1 or bounds[-1] - start < limit):
+                bounds.append(self.ends.select(i + len(bounds)))
+            yield i, bounds, self.ids(start, bounds[-1])
+            i, start = i + len(bounds) - 1, bounds[-1]
 
 
 def write_token_files(docs: DataFrame, tokenizer: str, end_id: int = 0, path: str | None = None,
-                      shards: int | None = None) -> DataFrame:
+                      shards: int | None = None, shard_bytes: int = 128 << 20) -> DataFrame:
     """Encode ``docs`` (doc_id, text) and write the shard files, ascending in doc_id.
 
     Returns the manifest: shard, path, n_docs, n_tokens, first (ids before the shard).
     A null text counts as empty and holds the end id alone; a null doc_id sorts first and is
     stored as the least 64-bit integer; rows that repeat a doc_id stay, as rows of their own;
     an empty table gives no files and an empty manifest.  Other columns are not read.
-    A task writes under a name of its own and then renames, so a task that runs again after a
-    lost executor replaces its file by the same bytes.
+    ``shards``: by default a shard holds about ``shard_bytes`` of text.  Every attempt of a task
+    writes a file of its own name and the manifest names the one that counts, so a task that runs
+    again after a lost executor leaves at most a file that nobody reads.
     """
     spark = docs.sparkSession
     root = path or fresh_path(spark, "tokens")
-    shards = shards or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    small_batches(spark)
+    if not shards:
+        size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // shard_bytes))
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
     ranged = (
         docs.select(key.alias("key"), F.coalesce("text", F.lit("")).alias("text"))
@@ -131,33 +167,26 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int = 0, path: st
     def write(batches):
         import uuid
 
+        import pyarrow as pa
         from pyspark import TaskContext
 
         encoder = ByteBpe.load(tokenizer)
         wide = encoder.tokenizer.get_vocab_size() > 65536 or end_id > 65535
-        end = np.array([end_id], dtype="<u4").tobytes()
         shard = TaskContext.get().partitionId()
-        keys: list[int] = []
-        ids: list[bytes] = []
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            keys += batch.column(0).to_pylist()
-            for a, b in text_groups(texts):
-                ids += [x + end for x in encoder.encode(texts[a:b])]
-        if not keys:
+        groups = (g for b in batches for g in byte_groups(b))
+        first = next(groups, None)
+        if first is None:
             return
         fs, at = filesystem(root)
         fs.create_dir(at, recursive=True)
-        name = f"{at}/shard-{shard:08d}.cwef"
-        with fs.open_output_stream(own := f"{name}.{uuid.uuid4().hex}") as out:
-            out.write(pack_shard(keys, ids, wide))
-        fs.move(own, name)
-        import pyarrow as pa
-
-        yield pa.RecordBatch.from_pydict({
-            "shard": [shard], "path": [f"{root}/shard-{shard:08d}.cwef"], "n_docs": [len(keys)],
-            "n_tokens": [sum(map(len, ids)) // 4],
-        })
+        name = f"shard-{shard:08d}-{uuid.uuid4().hex}.cwef"
+        with fs.open_output_stream(f"{at}/{name}") as out:
+            writer = ShardWriter(out, wide)
+            for batch in chain([first], groups):
+                ids, bounds = encoder.encode(batch.column(1))
+                writer.add(batch.column(0).to_numpy(), np.insert(ids, bounds[1:], end_id), np.diff(bounds) + 1)
+            n, total = writer.close()
+        yield pa.RecordBatch.from_pydict({"shard": [shard], "path": [f"{root}/{name}"], "n_docs": [n], "n_tokens": [total]})
 
     manifest = materialize(
         ranged.mapInArrow(write, "shard long, path string, n_docs long, n_tokens long"), "token-manifest"
@@ -182,21 +211,17 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
         for batch in batches:
             for path, first in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 fs, at = filesystem(path)
-                with fs.open_input_stream(at) as f:
-                    shard = Shard(f.read())
-                for a in range(0, len(shard), 1000):
-                    out: list[list] = [[], [], [], [], []]
-                    for i in range(a, min(len(shard), a + 1000)):
-                        start, ids = shard.document(i)
-                        raw = ids.astype("<u4").tobytes()
-                        key = int(shard.keys[i])
-                        for col, v in zip(out, (None if key == -(2**63) else key, first + start, len(ids),
-                                                zlib.crc32(raw), raw), strict=True):
-                            col.append(v)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(
-                            out, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)],
-                        names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"])
+                with fs.open_input_file(at) as f:
+                    shard = Shard(f)
+                    for i, bounds, ids in shard.runs():
+                        raw = memoryview(ids.astype("<u4")).cast("B")
+                        at = (np.array(bounds) - bounds[0]).tolist()
+                        each = [raw[4 * a : 4 * b] for a, b in zip(at, at[1:], strict=False)]
+                        keys = shard.keys[i : i + len(each)]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(keys, mask=keys == -(2**63)), pa.array(np.array(bounds[:-1], dtype=np.int64) + first), pa.array(np.diff(bounds)),
+                             pa.array(list(map(zlib.crc32, each)), pa.int64()), pa.array(list(map(bytes, each)), pa.binary())],
+                            names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"])
 
     return (
         manifest.select("path", "first").repartition(n, "path")
