@@ -44,3 +44,15 @@ def norm(a: Column) -> Column:
 def unit(a: Column) -> Column:
     n = norm(a)
     return F.transform(a, lambda x: x.cast("double") / n)
+
+
+def softmax(a: Column) -> Column:
+    """Probabilities of scores; the largest is taken off first, so none overflows."""
+    e = F.transform(F.array(F.array_max(a)), lambda m: F.transform(a, lambda x: F.exp(x.cast("double") - m.cast("double"))))
+    return F.element_at(F.transform(e, lambda v: F.transform(v, lambda x: x / F.aggregate(v, F.lit(0.0), lambda s, y: s + y))), 1)
+
+
+def top_label(a: Column, labels: list[str]) -> Column:
+    """struct<label, score>: the likeliest label, the first among equals, and its probability."""
+    p = softmax(a)
+    return F.struct(F.element_at(F.array(*map(F.lit, labels)), F.array_position(a, F.array_max(a)).cast("int")).alias("label"), F.array_max(p).alias("score"))

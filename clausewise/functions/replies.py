@@ -38,7 +38,11 @@ def parse_answer(raw: Column) -> Column:
         F.coalesce(got["actions"], F.array().cast("array<string>")).alias("actions"))
 
 
-def parse_judgements(raw: Column) -> Column:
-    """array<struct<index, reason, action_items>> of a fenced or plain JSON list."""
+def parse_judgements(raw: Column, strict: bool = False) -> Column:
+    """array<struct<index, reason, action_items>> of a fenced or plain JSON list; other text is null,
+    or an error with ``strict``."""
     plain = F.regexp_replace(F.trim(raw), r"^```(?:json)?\s*|\s*```$", "")
-    return F.from_json(plain, "array<struct<index:int,reason:string,action_items:array<string>>>")
+    found = F.from_json(plain, "array<struct<index:int,reason:string,action_items:array<string>>>")
+    if not strict:
+        return found
+    return F.when(raw.isNotNull() & (found.isNull() | F.try_parse_json(plain).isNull()), F.raise_error(F.concat(F.lit("not a JSON list: "), F.substring(raw, 1, 200)))).otherwise(found)

@@ -187,8 +187,9 @@ def label_key(c: Column) -> Column:
     return F.translate(F.lower(c), "–", "-")
 
 
-def html_escape(c: Column) -> Column:
-    for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")):
+def html_escape(c: Column, quotes: bool = True) -> Column:
+    """``quotes=False`` leaves quotation marks, as is enough between tags."""
+    for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), *((('"', "&quot;"), ("'", "&#x27;")) if quotes else ())):
         c = F.replace(c, F.lit(a), F.lit(b))
     return c
 
@@ -198,6 +199,11 @@ def hue(c: Column) -> Column:
     return (F.conv(F.substring(F.md5(c.cast("string")), 1, 6), 16, 10).cast("long") % 360).cast("int")
 
 
+def colour(c: Column) -> Column:
+    """CSS colour of a cluster id: its hue, and grey for 0 (no cluster)."""
+    return F.when(c == 0, "#999999").otherwise(F.concat(F.lit("hsl("), hue(c).cast("string"), F.lit(",70%,50%)")))
+
+
 def format_eta(seconds: float) -> str:
     s = int(max(0, seconds))
     h, m = s // 3600, s % 3600 // 60

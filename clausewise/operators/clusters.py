@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clausewise.functions.arrays import dot, norm, unit
+from clausewise.sources.shared import shared_folder
 
 
 def nearest(vectors: DataFrame, query: list[float], k: int = 15) -> DataFrame:
@@ -52,11 +53,8 @@ def components(nodes: DataFrame, edges: DataFrame, rounds: int = 60) -> DataFram
     """(seq, component): the least seq reached, by repeated minimum over neighbours and pointer
     jumping; rounds are cut with ``checkpoint`` in the folder that the session names."""
     spark = nodes.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder or not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="clausewise-"))
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined() or spark.conf.get("spark.checkpoint.dir", None):
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
     label = nodes.select("seq", F.col("seq").alias("component")).checkpoint()
     for _ in range(rounds):
@@ -164,6 +162,38 @@ def size_summary(sizes: DataFrame, total: int) -> DataFrame:
         "drop_rate": 1 - F.col("kept") / F.lit(total)})
 
 
+def size_histogram(sizes: DataFrame) -> DataFrame:
+    return sizes.groupBy("size").agg(F.count("*").alias("blocks"))
+
+
+def largest(sizes: DataFrame, n: int = 5) -> DataFrame:
+    """The largest blocks, then the smaller cluster."""
+    return sizes.orderBy(F.desc("size"), "cluster").limit(n)
+
+
+def close_centroids(df: DataFrame, above: float = 0.90) -> DataFrame:
+    """(a, b, similarity), a < b: pairs of clusters whose centroids are more alike than ``above``; the
+    same blocked product as for rows."""
+    rows = centroids(df).select(F.col("cluster").alias("seq"), F.col("centroid").alias("embedding"))
+    return similar_pairs(rows, 1 - above)
+
+
+def validation_report(df: DataFrame, least: int = 3) -> DataFrame:
+    """One row: blocks of at least ``least`` rows (seq, cluster, embedding), rows kept and dropped,
+    cohesion (least, largest, mean), mean separation, the gap between the two means, and pairs of
+    centroids above 0.90."""
+    sizes = df.groupBy("cluster").agg(F.count("*").alias("size")).where(F.col("size") >= least)
+    kept = df.join(sizes.select("cluster"), "cluster", "left_semi")
+    total = df.count()
+    tight = cohesion(kept).agg(F.min("cohesion").alias("min_cohesion"), F.max("cohesion").alias("max_cohesion"), F.avg("cohesion").alias("mean_cohesion"))
+    apart = separation(kept).agg(F.avg("separation").alias("mean_separation"))
+    close = close_centroids(kept).agg(F.count("*").alias("close_pairs"))
+    one = size_summary(sizes, total)
+    for part in (tight, apart, close):  # one row each
+        one = one.crossJoin(part)
+    return one.withColumn("gap", F.col("mean_cohesion") - F.col("mean_separation"))
+
+
 def even_subsample(df: DataFrame, most: int = 300) -> DataFrame:
     """At most ``most`` rows a cluster at evenly spaced ranks, the ends included."""
     w = Window.partitionBy("cluster")

@@ -26,6 +26,11 @@ def swap_translation(df: DataFrame, content: str = "content", translated: str =
     return df.withColumn(content, F.when(not_blank(F.col(translated)), strip(F.col(translated))).otherwise(F.col(content))).drop(translated)
 
 
+def swap_counts(df: DataFrame, translated: str = "translated_content") -> DataFrame:
+    """One row: rows, and how many of them have a translation that takes the content's place."""
+    return df.agg(F.count("*").alias("rows"), F.count_if(not_blank(F.col(translated))).alias("swapped"))
+
+
 def first_keyword(text: Column, keywords: list[str]) -> Column:
     """The first keyword, in list order, that the text contains in any case; else null."""
     return F.get(F.filter(F.array(*map(F.lit, keywords)), lambda k: F.contains(F.lower(text), F.lower(k))), 0)
@@ -83,3 +88,18 @@ def search_reviews(query: str, reviews: DataFrame, places: DataFrame, k: int = 1
         if not mine.isEmpty():
             return worst_of_place(mine, k), routed["place"]
     return global_search(query, reviews, k), None
+
+
+def by_position(vectors: DataFrame, metadata: DataFrame) -> DataFrame:
+    """Row i of one with row i of the other, by their ``position``; rows without a partner go."""
+    return vectors.join(metadata, "position")
+
+
+def locations(df: DataFrame, column: str = "location_name") -> DataFrame:
+    """(location): the distinct ones that are not blank, in order."""
+    return df.where(not_blank(F.col(column))).select(F.col(column).alias("location")).distinct().orderBy("location")
+
+
+def at_location(df: DataFrame, location: str | None = None, column: str = "location_name") -> DataFrame:
+    """Rows of exactly that location; all rows without one."""
+    return df.where(F.col(column) == location) if location else df

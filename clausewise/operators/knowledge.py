@@ -22,8 +22,15 @@ def bullets(items: Column, letters: int = 400) -> Column:
     return F.array_join(F.transform(items, lambda x: F.concat(F.lit("- "), F.substring(x, 1, letters))), "\n")
 
 
-def numbered(items: Column, first: Column | int = 1, letters: int = 400) -> Column:
-    return F.array_join(F.transform(items, lambda x, i: F.concat((i + first).cast("string"), F.lit(". "), F.substring(x, 1, letters))), "\n")
+def numbered(items: Column, first: Column | int = 1, letters: int | None = 400) -> Column:
+    """``letters=None`` keeps every item whole."""
+    return F.array_join(F.transform(items, lambda x, i: F.concat(
+        (i + first).cast("string"), F.lit(". "), x if letters is None else F.substring(x, 1, letters))), "\n")
+
+
+def failed_calls(replies: DataFrame) -> DataFrame:
+    """One row: calls, and those that failed after all attempts; whoever drops failures should tell."""
+    return replies.agg(F.count("*").alias("calls"), F.count("error").alias("failed"))
 
 
 def knowledge_base(blocks: DataFrame, provider: Callable[[str], str], threshold: float = 0.45, size: int = 60, limit: int = 0) -> DataFrame:
@@ -38,7 +45,7 @@ def knowledge_base(blocks: DataFrame, provider: Callable[[str], str], threshold:
         "prompt", F.concat(F.lit('Name the issues in these clauses as JSON {"issues":[{"issue":"..","importance":0-10}]}.\n'), bullets(F.col("chunk"))))
     replies = with_reply(prompts.select("cluster_id", "clause_count", "part", "prompt"), provider).where("error is null")
     issues = replies.select("cluster_id", "clause_count", "part", F.posexplode(parse_issues(F.col("reply"))).alias("n", "x")).select(
-        "cluster_id", "clause_count", (F.col("part") * 100_000 + F.col("n")).alias("pos"), "x.issue", "x.importance")
+        "cluster_id", "clause_count", F.struct("part", "n").alias("pos"), "x.issue", "x.importance")
     ordered = issues.groupBy("cluster_id").agg(F.first("clause_count").alias("clause_count"), F.transform(
         F.array_sort(F.collect_list(F.struct("pos", "issue"))), lambda x: x["issue"]).alias("all"))
     kept = ordered.select("cluster_id", "clause_count", F.explode(merge_near_duplicates(F.col("all"), threshold)).alias("issue")).distinct()
@@ -81,7 +88,7 @@ def judge(reviews: DataFrame, provider: Callable[[str], str], size: int = 5) ->
     """seq (dense from 1), text, location -> location, judgement, action of the negative ones."""
     batch = F.floor((F.col("seq") - 1) / size)
     grouped = reviews.groupBy(batch.alias("batch")).agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", "text"))), lambda x: x["text"]).alias("texts"))
-    prompts = grouped.select("batch", F.concat(F.lit("Judge:\n"), numbered(F.col("texts"), F.col("batch") * size + 1, 4000)).alias("prompt"))
+    prompts = grouped.select("batch", F.concat(F.lit("Judge:\n"), numbered(F.col("texts"), F.col("batch") * size + 1, None)).alias("prompt"))
     got = with_reply(prompts, provider).where("error is null").select(F.explode(parse_judgements(F.col("reply"))).alias("j")).select("j.*")
     return judgement_rows(got, reviews)
 

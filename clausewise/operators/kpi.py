@@ -51,7 +51,9 @@ def severity(issues: DataFrame) -> DataFrame:
 
 
 def top_issues(issues: DataFrame, n: int = 10) -> DataFrame:
-    return issues.orderBy(F.desc("importance"), "issue", "cluster_id").limit(n)
+    """The most important issues; ties by issue, block, then the other columns."""
+    first = ("importance", "issue", "cluster_id")
+    return issues.orderBy(F.desc("importance"), "issue", "cluster_id", *[c for c in issues.columns if c not in first]).limit(n)
 
 
 def severity_frequency(issues: DataFrame) -> DataFrame:

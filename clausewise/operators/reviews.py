@@ -19,6 +19,11 @@ def clause_reviews(df: DataFrame, min_words: int = 3, semicolons: bool = False)
     return found.withColumns({"clauses": clauses, "review_id": F.nullif("review_id", F.lit("")), "place_name": F.nullif("place_name", F.lit(""))}).drop("__c", "__lang")
 
 
+def row_counts(before: DataFrame, after: DataFrame) -> DataFrame:
+    """One row: rows read by a stage, rows it wrote and rows it left out."""
+    return before.agg(F.count("*").alias("read")).crossJoin(after.agg(F.count("*").alias("written"))).withColumn("skipped", F.col("read") - F.col("written"))
+
+
 def clause_stats(df: DataFrame) -> DataFrame:
     sentences = F.transform("clauses", lambda c: c["sentence_no"])
     return df.agg(
@@ -72,6 +77,6 @@ def sections(text: DataFrame, prefix: str = "## ") -> DataFrame:
     marked = lines.withColumn("s", F.sum(head.cast("int")).over(running)).where("s > 0")
     body = F.when(~head & ~F.col("line").startswith("# "), F.struct("n", "line"))
     out = marked.groupBy("doc", "s").agg(
-        F.max(F.when(head, strip(F.substring("line", len(prefix) + 1, 100_000)))).alias("header"),
+        F.max(F.when(head, strip(F.col("line").substr(F.lit(len(prefix) + 1), F.length("line"))))).alias("header"),
         strip(F.array_join(F.transform(F.array_sort(F.collect_list(body)), lambda x: x["line"]), "\n")).alias("body"))
     return out.where("body <> ''").select("doc", F.col("s").alias("section"), "header", "body")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clausewise.functions.text import html_escape, label_key
@@ -31,35 +31,83 @@ COARSE = [
     ("cultural_sensitivity_authenticity", "Cultural Sensitivity & Authenticity"),
     ("other", "Other"),
 ]
-# Fine groups; a subcategory's key follows from its label unless it is given.
-FINE = {
-    "Safety & Security": "Unsafe activity or operation|Water/boating safety|Theft|Scams/fraud|Harassment|Inadequate safety measures|"
-                         "Emergency response|Personal security",
-    "Cleanliness & Sanitation": "Litter/garbage|Beach cleanliness|Marine litter|Dirty premises|Toilet cleanliness|Poor sanitation|"
-                                "Waste collection/disposal",
-    "Environment & Conservation": "Coral/reef damage|Habitat degradation|Pollution|Environmental damage|Conservation concerns|"
-                                  "Unsustainable tourism practices",
-    "Wildlife & Animal Welfare": "Animal welfare|Wildlife harassment|Inappropriate animal interaction|Poor animal conditions|"
-                                 "Disturbance of marine life|Wildlife management concerns",
-    "Overcrowding & Visitor Management": "Attraction overcrowding|Beach overcrowding|Excessive boats/vehicles|Congestion|"
-                                         "Uncontrolled visitor numbers|Queue/crowd management",
-    "Pricing & Commercial Practices": "Overpricing|Poor value for money|Tourist-specific pricing|Hidden/unclear charges|Payment disputes|"
-                                      "Aggressive selling|Misleading commercial claims",
-    "Service Quality & Professionalism": "Rude/unprofessional behaviour|Poor guide quality|Poor customer service|Poor communication|"
-                                         "Unreliable service|Delays|Poor tour/service execution",
-    "Infrastructure & Accessibility": "Poor roads/access|Transport availability|Parking|Toilets/changing facilities|Signage|"
-                                      "Physical accessibility|Poorly maintained infrastructure|Lack of basic facilities",
-    "Attraction & Experience Quality": "Experience below expectations|Attraction poorly maintained|Limited activities|Poor organisation|"
-                                       "Insufficient interpretation/information|Closure/unavailability|Experience not matching description",
-    "Beach & Water Conditions": "Water quality|Seaweed|Beach condition|Swimming conditions|Snorkelling/diving conditions|"
-                                "Seasonal/natural conditions",
-    "Visitor Information & Booking": "Incorrect online information|Incorrect opening hours|Location/map issues|Booking problems|"
-                                     "Reservation issues|Insufficient visitor information",
-}
-
-
-def key_of(label: str) -> str:
-    return label.lower().replace(" & ", "_and_").replace("/", "_").replace("-", "_").replace(" ", "_")
+# Fine subcategories: group key, group title, key, title.
+FINE = [
+    ("safety_and_security", "Safety & Security", "unsafe_activity_or_operation", "Unsafe activity or operation"),
+    ("safety_and_security", "Safety & Security", "water_boating_safety", "Water/boating safety"),
+    ("safety_and_security", "Safety & Security", "theft", "Theft"),
+    ("safety_and_security", "Safety & Security", "scams_fraud", "Scams/fraud"),
+    ("safety_and_security", "Safety & Security", "harassment", "Harassment"),
+    ("safety_and_security", "Safety & Security", "inadequate_safety_measures", "Inadequate safety measures"),
+    ("safety_and_security", "Safety & Security", "emergency_response", "Emergency response"),
+    ("safety_and_security", "Safety & Security", "personal_security", "Personal security"),
+    ("cleanliness_and_sanitation", "Cleanliness & Sanitation", "litter_garbage", "Litter/garbage"),
+    ("cleanliness_and_sanitation", "Cleanliness & Sanitation", "beach_cleanliness", "Beach cleanliness"),
+    ("cleanliness_and_sanitation", "Cleanliness & Sanitation", "marine_litter", "Marine litter"),
+    ("cleanliness_and_sanitation", "Cleanliness & Sanitation", "dirty_premises", "Dirty premises"),
+    ("cleanliness_and_sanitation", "Cleanliness & Sanitation", "toilet_cleanliness", "Toilet cleanliness"),
+    ("cleanliness_and_sanitation", "Cleanliness & Sanitation", "poor_sanitation", "Poor sanitation"),
+    ("cleanliness_and_sanitation", "Cleanliness & Sanitation", "waste_collection_disposal", "Waste collection/disposal"),
+    ("environment_and_conservation", "Environment & Conservation", "coral_reef_damage", "Coral/reef damage"),
+    ("environment_and_conservation", "Environment & Conservation", "habitat_degradation", "Habitat degradation"),
+    ("environment_and_conservation", "Environment & Conservation", "pollution", "Pollution"),
+    ("environment_and_conservation", "Environment & Conservation", "environmental_damage", "Environmental damage"),
+    ("environment_and_conservation", "Environment & Conservation", "conservation_concerns", "Conservation concerns"),
+    ("environment_and_conservation", "Environment & Conservation", "unsustainable_tourism_practices", "Unsustainable tourism practices"),
+    ("wildlife_and_animal_welfare", "Wildlife & Animal Welfare", "animal_welfare", "Animal welfare"),
+    ("wildlife_and_animal_welfare", "Wildlife & Animal Welfare", "wildlife_harassment", "Wildlife harassment"),
+    ("wildlife_and_animal_welfare", "Wildlife & Animal Welfare", "inappropriate_animal_interaction", "Inappropriate animal interaction"),
+    ("wildlife_and_animal_welfare", "Wildlife & Animal Welfare", "poor_animal_conditions", "Poor animal conditions"),
+    ("wildlife_and_animal_welfare", "Wildlife & Animal Welfare", "disturbance_of_marine_life", "Disturbance of marine life"),
+    ("wildlife_and_animal_welfare", "Wildlife & Animal Welfare", "wildlife_management_concerns", "Wildlife management concerns"),
+    ("overcrowding_and_visitor_management", "Overcrowding & Visitor Management", "attraction_overcrowding", "Attraction overcrowding"),
+    ("overcrowding_and_visitor_management", "Overcrowding & Visitor Management", "beach_overcrowding", "Beach overcrowding"),
+    ("overcrowding_and_visitor_management", "Overcrowding & Visitor Management", "excessive_boats_vehicles", "Excessive boats/vehicles"),
+    ("overcrowding_and_visitor_management", "Overcrowding & Visitor Management", "congestion", "Congestion"),
+    ("overcrowding_and_visitor_management", "Overcrowding & Visitor Management", "uncontrolled_visitor_numbers", "Uncontrolled visitor numbers"),
+    ("overcrowding_and_visitor_management", "Overcrowding & Visitor Management", "queue_crowd_management", "Queue/crowd management"),
+    ("pricing_and_commercial_practices", "Pricing & Commercial Practices", "overpricing", "Overpricing"),
+    ("pricing_and_commercial_practices", "Pricing & Commercial Practices", "poor_value_for_money", "Poor value for money"),
+    ("pricing_and_commercial_practices", "Pricing & Commercial Practices", "tourist_specific_pricing", "Tourist-specific pricing"),
+    ("pricing_and_commercial_practices", "Pricing & Commercial Practices", "hidden_unclear_charges", "Hidden/unclear charges"),
+    ("pricing_and_commercial_practices", "Pricing & Commercial Practices", "payment_disputes", "Payment disputes"),
+    ("pricing_and_commercial_practices", "Pricing & Commercial Practices", "aggressive_selling", "Aggressive selling"),
+    ("pricing_and_commercial_practices", "Pricing & Commercial Practices", "misleading_commercial_claims", "Misleading commercial claims"),
+    ("service_quality_and_professionalism", "Service Quality & Professionalism", "rude_unprofessional_behaviour", "Rude/unprofessional behaviour"),
+    ("service_quality_and_professionalism", "Service Quality & Professionalism", "poor_guide_quality", "Poor guide quality"),
+    ("service_quality_and_professionalism", "Service Quality & Professionalism", "poor_customer_service", "Poor customer service"),
+    ("service_quality_and_professionalism", "Service Quality & Professionalism", "poor_communication", "Poor communication"),
+    ("service_quality_and_professionalism", "Service Quality & Professionalism", "unreliable_service", "Unreliable service"),
+    ("service_quality_and_professionalism", "Service Quality & Professionalism", "delays", "Delays"),
+    ("service_quality_and_professionalism", "Service Quality & Professionalism", "poor_tour_service_execution", "Poor tour/service execution"),
+    ("infrastructure_and_accessibility", "Infrastructure & Accessibility", "poor_roads_access", "Poor roads/access"),
+    ("infrastructure_and_accessibility", "Infrastructure & Accessibility", "transport_availability", "Transport availability"),
+    ("infrastructure_and_accessibility", "Infrastructure & Accessibility", "parking", "Parking"),
+    ("infrastructure_and_accessibility", "Infrastructure & Accessibility", "toilets_changing_facilities", "Toilets/changing facilities"),
+    ("infrastructure_and_accessibility", "Infrastructure & Accessibility", "signage", "Signage"),
+    ("infrastructure_and_accessibility", "Infrastructure & Accessibility", "physical_accessibility", "Physical accessibility"),
+    ("infrastructure_and_accessibility", "Infrastructure & Accessibility", "poorly_maintained_infrastructure", "Poorly maintained infrastructure"),
+    ("infrastructure_and_accessibility", "Infrastructure & Accessibility", "lack_of_basic_facilities", "Lack of basic facilities"),
+    ("attraction_and_experience_quality", "Attraction & Experience Quality", "experience_below_expectations", "Experience below expectations"),
+    ("attraction_and_experience_quality", "Attraction & Experience Quality", "attraction_poorly_maintained", "Attraction poorly maintained"),
+    ("attraction_and_experience_quality", "Attraction & Experience Quality", "limited_activities", "Limited activities"),
+    ("attraction_and_experience_quality", "Attraction & Experience Quality", "poor_organisation", "Poor organisation"),
+    ("attraction_and_experience_quality", "Attraction & Experience Quality", "insufficient_interpretation_information", "Insufficient interpretation/information"),
+    ("attraction_and_experience_quality", "Attraction & Experience Quality", "closure_unavailability", "Closure/unavailability"),
+    ("attraction_and_experience_quality", "Attraction & Experience Quality", "experience_not_matching_description", "Experience not matching description"),
+    ("beach_and_water_conditions", "Beach & Water Conditions", "water_quality", "Water quality"),
+    ("beach_and_water_conditions", "Beach & Water Conditions", "seaweed", "Seaweed"),
+    ("beach_and_water_conditions", "Beach & Water Conditions", "beach_condition", "Beach condition"),
+    ("beach_and_water_conditions", "Beach & Water Conditions", "swimming_conditions", "Swimming conditions"),
+    ("beach_and_water_conditions", "Beach & Water Conditions", "snorkelling_diving_conditions", "Snorkelling/diving conditions"),
+    ("beach_and_water_conditions", "Beach & Water Conditions", "seasonal_natural_conditions", "Seasonal/natural conditions"),
+    ("visitor_information_and_booking", "Visitor Information & Booking", "incorrect_online_information", "Incorrect online information"),
+    ("visitor_information_and_booking", "Visitor Information & Booking", "incorrect_opening_hours", "Incorrect opening hours"),
+    ("visitor_information_and_booking", "Visitor Information & Booking", "location_map_issues", "Location/map issues"),
+    ("visitor_information_and_booking", "Visitor Information & Booking", "booking_problems", "Booking problems"),
+    ("visitor_information_and_booking", "Visitor Information & Booking", "reservation_issues", "Reservation issues"),
+    ("visitor_information_and_booking", "Visitor Information & Booking", "insufficient_visitor_information", "Insufficient visitor information"),
+]
 
 
 def coarse_dim(spark: SparkSession) -> DataFrame:
@@ -68,10 +116,9 @@ def coarse_dim(spark: SparkSession) -> DataFrame:
 
 def fine_rows(compat: bool = True) -> list[tuple]:
     """(ord, group_id, group_label, subcategory_key, subcategory_label); the residual is last."""
-    rows = [(key_of(g), g, key_of(s), s) for g, subs in FINE.items() for s in subs.split("|")]
     residual = ("residual", "residual", "other", "Unknown: other") if compat else (
         "residual", "Other", "other", "Does not fit any specific subcategory")
-    return [(i, *r) for i, r in enumerate([*rows, residual])]
+    return [(i, *r) for i, r in enumerate([*FINE, residual])]
 
 
 def fine_dim(spark: SparkSession, compat: bool = True) -> DataFrame:
@@ -93,6 +140,12 @@ def valid_key(column, keys: list[str]):
     return F.when(column.isin(keys), column).otherwise("other")
 
 
+def category_summary(classified: DataFrame, key: str, order: str) -> DataFrame:
+    """(key, n, rank): categories by falling count, then by their first row in ``order``."""
+    counts = classified.groupBy(key).agg(F.count("*").alias("n"), F.min(order).alias("__o"))
+    return counts.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), "__o"))).drop("__o")  # a row a category
+
+
 def report(classified: DataFrame, dim: DataFrame) -> DataFrame:
     """cluster_id, category, block_name, size -> one row a category in taxonomy order, blocks by id."""
     block = F.struct("cluster_id", "block_name", "size")

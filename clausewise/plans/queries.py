@@ -14,6 +14,8 @@ from clausewise.operators import kpi as K
 from clausewise.operators import knowledge as KB
 from clausewise.operators import reviews as R
 from clausewise.operators import taxonomy as T
+from clausewise.sources import readers, writers
+from clausewise.sources.shared import fresh
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -65,9 +67,9 @@ def swap_conditional(spark, d):
 
 
 @query("""
-    SELECT lang, count(*) AS n FROM documents GROUP BY lang""")
+    SELECT lang, n, CAST(row_number() OVER (ORDER BY n DESC, o) AS INTEGER) AS rank FROM (SELECT lang, count(*) AS n, min(doc_id) AS o FROM documents GROUP BY lang)""")
 def per_language_count(spark, d):
-    return table(spark, d, "documents").groupBy("lang").agg(F.count("*").alias("n"))
+    return T.category_summary(table(spark, d, "documents"), "lang", "doc_id")
 
 
 # ---- text ------------------------------------------------------------------
@@ -435,9 +437,10 @@ def kpi_per_place(spark, d):
     return K.per_place(_part(spark, d))
 
 
-@query("SELECT CAST(2 AS DOUBLE) AS avg_places")
+@query("SELECT round(avg(n), 9) AS avg_places FROM (SELECT count(DISTINCT l_quantity) AS n FROM lineitem GROUP BY l_orderkey)")
 def kpi_places_per_block(spark, d):
-    return K.places_per_block(_part(spark, d))
+    blocks = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_set("l_quantity").alias("place_names"))
+    return K.places_per_block(blocks).withColumn("avg_places", F.round("avg_places", 9))
 
 
 _ISSUES = "(SELECT l_orderkey AS cluster_id, l_returnflag || l_linestatus AS issue, CAST(l_quantity AS INTEGER) % 11 AS importance, l_linenumber AS clause_count FROM lineitem)"
@@ -455,7 +458,7 @@ def kpi_severity(spark, d):
 
 @query(f"SELECT cluster_id, issue, importance, clause_count FROM {_ISSUES} ORDER BY importance DESC, issue, cluster_id, clause_count LIMIT 10")
 def kpi_top_issues(spark, d):
-    return _issues(spark, d).orderBy(F.desc("importance"), "issue", "cluster_id", "clause_count").limit(10)
+    return K.top_issues(_issues(spark, d), 10)
 
 
 @query(f"SELECT issue, round(count(DISTINCT cluster_id) * avg(importance), 6) AS priority FROM {_ISSUES} GROUP BY 1")
@@ -526,9 +529,18 @@ def place_overlap(spark, d):
     return JN.place_overlap(table(spark, d, "documents").select(F.col("doc_id").alias("review_id"), "text"), _places(spark))
 
 
-@query("SELECT 'Than Ering Beach' AS place")
+_ROUTE_PLACES = "(SELECT p_name || ' ' || p_type AS place, min(p_partkey) AS seq FROM part GROUP BY 1)"
+_PLAIN_PLACE = _PLACE.replace(quoted(X.PLACE_STOPWORDS), quoted(X.PLACE_STOPWORDS + X.GENERIC_PLACE_WORDS))
+ROUTES = ["the red widget and the large ring", "economy ring", "no such words at all"]
+
+
+@query(" UNION ALL ".join(f"""(WITH s AS (SELECT place, seq, {_PLAIN_PLACE.format('place')} AS t, {_PLACE.format("'" + q + "'")} AS q FROM {_ROUTE_PLACES}),
+    o AS (SELECT place, seq, len(t) AS n, len(q) AS m, len(list_intersect(t, q)) AS overlap FROM s WHERE len(t) > 0)
+    SELECT {i} AS i, place FROM o WHERE overlap > 0 AND overlap / m >= 0.25 ORDER BY overlap DESC, overlap / n DESC, seq LIMIT 1)""" for i, q in enumerate(ROUTES)))
 def route_query(spark, d):
-    return JN.route_query("ering than beach farm", _places(spark))
+    places = table(spark, d, "part").groupBy(F.concat_ws(" ", "p_name", "p_type").alias("place")).agg(F.min("p_partkey").alias("seq"))
+    found = [JN.route_query(q, places).select(F.lit(i).alias("i"), "place") for i, q in enumerate(ROUTES)]
+    return found[0].unionByName(found[1]).unionByName(found[2])
 
 
 def _rated(spark, d):
@@ -566,11 +578,157 @@ def judge_lookup(spark, d):
     return KB.judgement_rows(got, table(spark, d, "supplier").where("s_suppkey > 0").select(F.col("s_suppkey").alias("seq"), F.col("s_name").alias("location")))
 
 
-@query("SELECT DISTINCT n_name AS location FROM nation WHERE n_name <> ''")
+@query("SELECT DISTINCT s AS location FROM (SELECT CASE WHEN n_nationkey % 4 = 0 THEN ' ' ELSE 'N' || n_regionkey END AS s FROM nation) WHERE trim(s) <> ''")
 def locations(spark, d):
-    return table(spark, d, "nation").where("n_name <> ''").select(F.col("n_name").alias("location")).distinct().orderBy("location")
+    return JN.locations(table(spark, d, "nation").select(F.when(F.col("n_nationkey") % 4 == 0, " ").otherwise(F.concat(F.lit("N"), "n_regionkey")).alias("location_name")))
 
 
-@query("SELECT count(*) AS n FROM documents WHERE source = 'src3'")
+@query("SELECT count(*) FILTER (source = 'src3') AS there, count(*) AS anywhere FROM documents")
 def judgements_by_location(spark, d):
-    return table(spark, d, "documents").where(F.col("source") == "src3").agg(F.count("*").alias("n"))
+    rows = table(spark, d, "documents")
+    return JN.at_location(rows, "src3", "source").agg(F.count("*").alias("there")).crossJoin(JN.at_location(rows).agg(F.count("*").alias("anywhere")))  # one row each
+
+
+# ---- validation ------------------------------------------------------------
+
+_SIZES = "(SELECT label AS cluster, count(*) AS size FROM embeddings GROUP BY 1)"
+
+
+def _sizes(spark, d):
+    return _vectors(spark, d).groupBy("cluster").agg(F.count("*").alias("size"))
+
+
+@query(f"SELECT size, count(*) AS blocks FROM {_SIZES} GROUP BY 1")
+def size_histogram(spark, d):
+    return C.size_histogram(_sizes(spark, d))
+
+
+@query(f"SELECT cluster, size FROM {_SIZES} ORDER BY size DESC, cluster LIMIT 5")
+def largest_blocks(spark, d):
+    return C.largest(_sizes(spark, d))
+
+
+_CLOSE = "SELECT CAST(a.label AS BIGINT) AS a, CAST(b.label AS BIGINT) AS b, list_dot_product(a.c, b.c) AS s FROM {c} a JOIN {c} b ON a.label < b.label"
+
+
+@query(f"WITH {_CENTROID}, p AS ({_CLOSE.format(c='c')}) SELECT a, b, round(s, 8) AS similarity FROM p WHERE s > 0.1")
+def close_centroids(spark, d):
+    return C.close_centroids(_vectors(spark, d), 0.1).withColumn("similarity", F.round("similarity", 8))
+
+
+@query(f"""WITH {_CENTROID}, k AS (SELECT cluster, size FROM {_SIZES} WHERE size >= 3), ck AS (SELECT c.* FROM c JOIN k ON label = cluster),
+    h AS (SELECT a.label, avg(list_dot_product(a.v, b.v)) AS h FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id JOIN k ON a.label = cluster GROUP BY 1),
+    s AS (SELECT a.label, greatest(max(list_dot_product(a.c, b.c)), 0) AS s FROM ck a JOIN ck b ON a.label <> b.label GROUP BY 1),
+    p AS ({_CLOSE.format(c='ck')}), t AS (SELECT count(*) AS n FROM embeddings)
+    SELECT (SELECT count(*) FROM k) AS blocks, (SELECT CAST(sum(size) AS BIGINT) FROM k) AS kept, (SELECT n - CAST(sum(size) AS BIGINT) FROM k, t GROUP BY n) AS dropped,
+    (SELECT round(min(h), 8) FROM h) AS min_cohesion, (SELECT round(max(h), 8) FROM h) AS max_cohesion, (SELECT round(avg(h), 8) FROM h) AS mean_cohesion,
+    (SELECT round(avg(s), 8) FROM s) AS mean_separation, (SELECT round(avg(h), 7) FROM h) - (SELECT round(avg(s), 7) FROM s) AS gap, (SELECT count(*) FROM p WHERE s > 0.9) AS close_pairs""")
+def validation_report(spark, d):
+    one = C.validation_report(_vectors(spark, d))
+    return one.drop("kept_share", "drop_rate").withColumn("gap", F.round("mean_cohesion", 7) - F.round("mean_separation", 7)).withColumns(
+        {c: F.round(c, 8) for c in ("min_cohesion", "max_cohesion", "mean_cohesion", "mean_separation")})
+
+
+# ---- counters and scores ---------------------------------------------------
+
+
+@query("SELECT count(*) AS read, count(*) FILTER (text IS NOT NULL AND n_chars > 500) AS written, count(*) - count(*) FILTER (text IS NOT NULL AND n_chars > 500) AS skipped FROM documents")
+def row_counts(spark, d):
+    rows = table(spark, d, "documents")
+    return R.row_counts(rows, rows.where("text is not null and n_chars > 500"))
+
+
+@query(f"SELECT count(*) AS rows, count(*) FILTER (turn % 3 = 0 AND {STRIP.format('text')} <> '') AS swapped FROM conversations")
+def swap_counts(spark, d):
+    return JN.swap_counts(table(spark, d, "conversations").select(F.when(F.col("turn") % 3 == 0, F.concat(F.lit("  "), "text")).otherwise(" \n").alias("translated_content")))
+
+
+@query("""WITH s AS (SELECT vec_id, list_transform(list_slice(embedding, 1, 5), lambda x: x::DOUBLE * 40) AS v FROM embeddings),
+    e AS (SELECT vec_id, v, list_transform(v, lambda x: exp(x - list_max(v))) AS e FROM s)
+    SELECT vec_id, list_position(v, list_max(v)) || ' stars' AS label, round(list_max(e) / list_sum(e), 9) AS score FROM e""")
+def softmax_argmax(spark, d):
+    scores = F.transform(F.slice("embedding", 1, 5), lambda x: x.cast("double") * 40)
+    top = A.top_label(scores, [f"{k} stars" for k in range(1, 6)])
+    return table(spark, d, "embeddings").withColumn("t", top).select("vec_id", "t.label", F.round("t.score", 9).alias("score"))
+
+
+@query("SELECT vec_id, CASE WHEN vec_id = 0 THEN '#999999' ELSE 'hsl(' || (CAST('0x' || substr(md5(CAST(vec_id AS VARCHAR)), 1, 6) AS BIGINT) % 360) || ',70%,50%)' END AS colour FROM embeddings")
+def cluster_colour(spark, d):
+    return table(spark, d, "embeddings").select("vec_id", X.colour(F.col("vec_id")).alias("colour"))
+
+
+# ---- sources and sinks: written, read back and held against the tables -----
+
+
+@query("SELECT coalesce(source, '') AS location_name, coalesce(text, '') AS judgement, coalesce(lang, '') AS action FROM documents")
+def judgements_round_trip(spark, d):
+    path = fresh(spark, "judgements")
+    writers.judgements(table(spark, d, "documents").select(F.col("source").alias("location_name"), F.col("text").alias("judgement"), F.col("lang").alias("action")), path)
+    return readers.judgements(spark, path)
+
+
+@query("SELECT doc_id, coalesce(text, '') AS content, lang FROM documents")
+def csv_replaced_in_place(spark, d):
+    path = fresh(spark, "reviews")
+    writers.csv(table(spark, d, "documents").select("doc_id", F.lit("old").alias("content"), F.col("text").alias("translated_content"), "lang"), path)
+    swapped = readers.csv(spark, path).withColumn("content", F.col("translated_content")).select("doc_id", "content", "lang")
+    writers.replace_csv(swapped, path)
+    return readers.csv(spark, path).select(F.col("doc_id").cast("long").alias("doc_id"), "content", "lang")
+
+
+@query("SELECT doc_id, CAST(row_number() OVER (ORDER BY doc_id) AS BIGINT) AS seq FROM documents WHERE doc_id % 3 <> 1")
+def dense_numbers(spark, d):
+    path = fresh(spark, "numbers")
+    table(spark, d, "documents").select("doc_id").repartitionByRange(5, "doc_id").sortWithinPartitions("doc_id").withColumn(
+        "seq", F.monotonically_increasing_id()).where("doc_id % 3 <> 1").write.parquet(path)
+    return readers.dense(spark.read.parquet(path))
+
+
+@query("""WITH l AS (SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN [] ELSE [lang, 'c' || doc_id] END AS c FROM documents)
+    SELECT CAST(row_number() OVER (ORDER BY doc_id) AS INTEGER) AS cluster_id, array_to_string(c, '|') AS clauses FROM l WHERE len(c) > 0""")
+def block_lines(spark, d):
+    path = fresh(spark, "blocks")
+    texts = F.array("lang", F.concat(F.lit("c"), "doc_id"))
+    line = F.when(F.col("doc_id") % 4 == 0, F.lit('{"cluster_id": 7, "clauses": []}')).when(F.col("doc_id") % 4 == 1, F.to_json(texts)).otherwise(
+        F.to_json(F.struct(F.lit(7).alias("cluster_id"), texts.alias("items"))))
+    table(spark, d, "documents").coalesce(1).sortWithinPartitions("doc_id").select(line.alias("value")).write.text(path)
+    return readers.block_lines(spark, path).withColumn("clauses", F.array_join("clauses", "|"))
+
+
+@query(f"WITH {_UNIT}, m AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS position FROM documents) "
+       "SELECT position, CAST(doc_id AS VARCHAR) AS clause_id, round(v[1], 5) AS x FROM m JOIN u ON vec_id = position")
+def index_joined_by_position(spark, d):
+    index, lines = fresh(spark, "index"), fresh(spark, "metadata")
+    writers.vector_index(table(spark, d, "embeddings").select(F.col("vec_id").alias("position"), "embedding"), index)
+    writers.jsonl(table(spark, d, "documents").repartitionByRange(3, "doc_id").sortWithinPartitions("doc_id").select(F.col("doc_id").cast("string").alias("clause_id")), lines)
+    return JN.by_position(readers.vector_index(spark, index), readers.metadata(spark, lines)).select(
+        "position", "clause_id", F.round(F.col("embedding")[0].cast("double"), 5).alias("x"))
+
+
+@query("SELECT conv_id, turn, role, md5(text) AS body FROM conversations")
+def sentiment_folders(spark, d):
+    path = fresh(spark, "sentiments")
+    rows = table(spark, d, "conversations").select(
+        F.col("role").alias("sentiment"), F.col("conv_id").cast("string").alias("review_id"), F.col("conv_id").alias("seq"), F.col("turn").alias("pos"),
+        F.lit(None).cast("string").alias("place_name"), F.concat("conv_id", F.lit("_c"), "turn").alias("clause_id"), "text", F.col("turn").alias("sentence_no"), F.lit(0.5).alias("score"))
+    writers.sentiment_files(R.nest_by_review(rows), path)
+    back = spark.read.json(path)
+    return back.select(F.col("sentiment").alias("role"), F.col("review_id").cast("long").alias("conv_id"), F.explode("clauses").alias("c")).select(
+        "conv_id", F.col("c.sentence_no").cast("int").alias("turn"), "role", F.md5("c.clause_text").alias("body"))
+
+
+@query("SELECT CAST(row_number() OVER (ORDER BY doc_id) AS BIGINT) AS seq, md5(text) AS body FROM documents WHERE regexp_matches(text, '\\S')")
+def reviews_column(spark, d):
+    path = fresh(spark, "column")
+    rows = table(spark, d, "documents").select("doc_id", F.when(X.not_blank(F.col("text")), X.strip(F.col("text"))).otherwise(" ").alias("Reviews"), "source")
+    writers.csv(rows.repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id"), path)
+    return readers.column_of(spark, path).select("seq", F.md5("text").alias("body"))
+
+
+@query("SELECT p_partkey AS cluster_id, CASE WHEN p_partkey % 5 = 0 THEN 'new' ELSE 'old' END AS category FROM part")
+def cache_in_steps(spark, d):
+    path = fresh(spark, "cache")
+    rows = table(spark, d, "part").select(F.col("p_partkey").alias("cluster_id"))
+    writers.append_cache(rows.withColumn("category", F.lit("old")), path, every=max(10, rows.count() // 3))
+    writers.append_cache(rows.where("cluster_id % 5 = 0").withColumn("category", F.lit("new")), path)
+    return writers.read_cache(spark, path)

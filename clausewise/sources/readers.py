@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import os
+import warnings
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clausewise.functions.text import not_blank
+from clausewise.functions.text import not_blank, strip
 
 CLAUSE = "clause_id string, clause_text string, place_name string, review_id string, sentence_no int, score double"
 BLOCK = "cluster_id int, clauses array<string>, place_names array<string>, size int"
@@ -40,6 +41,68 @@ def jsonl(spark: SparkSession, path: str, schema: str, malformed: str = "fail")
     return spark.read.schema(kind).json(path, mode=mode).withColumn("seq", F.monotonically_increasing_id())
 
 
+def skipped_lines(spark: SparkSession, path: str, schema: str) -> int:
+    """Lines that ``jsonl`` skips, for a warning."""
+    kind = T.StructType.fromDDL(schema).add("_corrupt_record", "string")
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    return lines.where(F.from_json("value", kind, {"columnNameOfCorruptRecord": "_corrupt_record"})["_corrupt_record"].isNotNull()).count()
+
+
+def dense(df: DataFrame, column: str = "seq", first: int = 1, part: str | None = None) -> DataFrame:
+    """``column``, as ``monotonically_increasing_id`` gave it, without gaps: rows are numbered inside
+    the partition that numbered them and moved on by the rows of those before it, so no task holds
+    more than a partition.  ``part`` names a column (it goes) that orders the rows before that."""
+    rows = df.withColumn("__p", F.col(part) if part else F.shiftright(column, 33))
+    counts = rows.groupBy("__p").agg(F.count("*").alias("__n"))  # a row a partition
+    before = counts.select("__p", F.coalesce(F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__b"))
+    inside = F.row_number().over(Window.partitionBy("__p").orderBy(column))
+    return rows.join(before, "__p").withColumn(column, F.col("__b") + inside + (first - 1)).drop("__p", "__b", *([part] if part else []))
+
+
+def in_file_order(df: DataFrame) -> DataFrame:
+    """A table just read from files with ``seq`` and with ``__file``, the file and the place in it
+    that a row's split began at: Spark deals files by size, and names tell their order."""
+    return df.withColumns({"__file": F.struct("_metadata.file_path", "_metadata.file_block_start"), "seq": F.monotonically_increasing_id()})
+
+
+def metadata(spark: SparkSession, path: str, schema: str = CLAUSE) -> DataFrame:
+    """JSON lines with ``position`` from 0, to be joined with vectors by position.  A missing file is
+    an empty table and a warning."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        warnings.warn(f"no metadata at {path}", stacklevel=2)
+        return spark.createDataFrame([], schema + ", position long")
+    rows = in_file_order(spark.read.schema(schema).json(path, mode="FAILFAST"))
+    return dense(rows, first=0, part="__file").withColumnRenamed("seq", "position")
+
+
+def vector_index(spark: SparkSession, path: str) -> DataFrame:
+    """(position, embedding) of an index that ``writers.vector_index`` wrote."""
+    return spark.read.schema("position long, embedding array<float>").parquet(path)
+
+
+def block_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(cluster_id, clauses) of JSON lines of any accepted shape; a cluster's number is its position
+    among the lines that hold clauses, whatever number the line itself gives."""
+    lines = in_file_order(spark.read.text(path)).withColumn("clauses", block_texts(F.col("value")))
+    return dense(lines.where(F.size("clauses") > 0), part="__file").select(F.col("seq").cast("int").alias("cluster_id"), "clauses")
+
+
+def column_of(spark: SparkSession, path: str, name: str = "Reviews") -> DataFrame:
+    """The column under the header ``name``, by position; rows too short to have it and blank ones
+    are left out, and the rest are numbered from 1."""
+    df = spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"', mode="PERMISSIVE")
+    if name not in df.columns:
+        raise ValueError(f"no column {name} in {path}")
+    rows = in_file_order(df).select("seq", "__file", strip(F.col(name)).alias("text"))
+    return dense(rows.where(not_blank(F.col("text"))), part="__file")
+
+
+def resolve(path: str, folder: str) -> str:
+    """An absolute path or a URI as it is, any other against ``folder``."""
+    return path if os.path.isabs(path) or "://" in path else os.path.join(folder, path)
+
+
 def vectors(spark: SparkSession, path: str) -> DataFrame:
     df = jsonl(spark, path, CLAUSE + ", embedding array<float>")
     return df.where("length(clause_text) > 0 and size(embedding) > 0")
@@ -64,7 +127,7 @@ def judgements(spark: SparkSession, path: str) -> DataFrame:
     return df.select(*[(F.coalesce(c, F.lit("")) if c in df.columns else F.lit("")).alias(c) for c in ("location_name", "judgement", "action")])
 
 
-#: Keys that may hold the clauses of a block, and the text of a clause, in order of priority.
+# Keys that may hold the clauses of a block, and the text of a clause, in order of priority.
 BLOCK_KEYS = ("clauses", "items", "members", "samples", "text", "issue", "issues")
 TEXT_KEYS = ("clause_text", "clause", "text", "issue")
 

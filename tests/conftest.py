@@ -1,3 +1,4 @@
+import faulthandler
 import os
 import sys
 from pathlib import Path
@@ -28,3 +29,11 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def data():
     return DATA
+
+
+@pytest.fixture(autouse=True)
+def time_limit():
+    """A test that hangs, even inside a library, ends the run with a stack trace."""
+    faulthandler.dump_traceback_later(900, exit=True)
+    yield
+    faulthandler.cancel_dump_traceback_later()

@@ -1,5 +1,7 @@
 """Registered queries against DuckDB, and the operators SQL does not express against brute force."""
 
+import io
+import json
 import os
 
 import duckdb
@@ -7,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from clausewise import cli
 from clausewise.operators import clusters as C
 from clausewise.operators import joins as JN
 from clausewise.operators import knowledge as KB
@@ -135,3 +138,66 @@ def test_readers(spark, tmp_path):
 
 def test_taxonomies():
     assert len(T.fine_rows()) == 75 and len({r[3] for r in T.fine_rows()}) == 75 and len(T.COARSE) == 21
+
+
+def test_missing_metadata_is_empty_and_warned_of(spark, tmp_path):
+    with pytest.warns(UserWarning, match="no metadata"):
+        assert readers.metadata(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_skipped_lines_are_counted(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"x": 1}\n{bad\n{"x": 2}\n')
+    assert readers.skipped_lines(spark, str(tmp_path / "a.jsonl"), "x int") == 1
+    assert readers.jsonl(spark, str(tmp_path / "a.jsonl"), "x int", "skip").count() == 2
+
+
+def test_markdown_and_progress(spark, tmp_path):
+    rows = spark.createDataFrame([(2, "Farm", "late", "a; b"), (1, "Beach", "dirty", ""), (3, "Farm", "ok", "")], "seq long, location_name string, judgement string, action string")
+    writers.markdown(writers.judged_reviews(rows), str(tmp_path / "md"))
+    text = "\n".join(r["value"] for r in spark.read.text(str(tmp_path / "md")).collect())
+    assert text.index("## Beach") < text.index("late\n\n**Actions:** a; b") and text.count("## Farm") == 2
+    assert [r["text"] for r in writers.numbered_reviews(rows.withColumn("text", F.col("judgement"))).orderBy("order").collect()][0] == "## Review 1\n\ndirty\n"
+    assert writers.matched_reviews(rows.select("seq", F.col("location_name").alias("place"), F.col("judgement").alias("text"))).count() == 3
+    writers.progress(str(tmp_path / "p.json"), 3, 9, stage="judge")
+    assert json.loads((tmp_path / "p.json").read_text()) == {"done": 3, "total": 9, "stage": "judge"}
+    writers.csv(rows, str(tmp_path / "csv"), single=True)
+    assert b"\r\n" in next((tmp_path / "csv").glob("*.csv")).read_bytes()
+
+
+def test_strict_judgements(spark):
+    from clausewise.functions.replies import parse_judgements
+
+    rows = spark.createDataFrame([("```json\n[{\"index\": 1}]\n```",), ("no list",)], "raw string")
+    assert rows.where("raw <> 'no list'").select(parse_judgements(F.col("raw"), strict=True)[0]["index"]).first()[0] == 1
+    assert rows.where("raw = 'no list'").select(parse_judgements(F.col("raw"))).first()[0] is None
+    with pytest.raises(Exception, match="not a JSON list"):
+        rows.select(parse_judgements(F.col("raw"), strict=True)).collect()
+
+
+def test_escape_without_quotes(spark):
+    from clausewise.functions.text import html_escape
+
+    assert spark.range(1).select(html_escape(F.lit("<a href='x'>&"), quotes=False)).first()[0] == "&lt;a href='x'&gt;&amp;"
+
+
+def test_commands(spark, tmp_path):
+    texts = [f"dirty beach and water number {i}" if i % 2 else f"slow staff at the counter {i}" for i in range(20)]
+    embed = HashEmbedding()
+    rows = [(i, t, "Beach" if i % 2 else "Farm", 0.9, v) for i, (t, v) in enumerate(zip(texts, embed.encode(texts)))]
+    spark.createDataFrame(rows, "seq long, clause_text string, place_name string, score double, embedding array<float>").write.parquet(str(tmp_path / "clauses"))
+    reply = '{"summary": "Clean it.", "actions": ["sweep"]}'
+
+    def run(*args, lines=()):
+        out = io.StringIO()
+        return cli.main(["--folder", str(tmp_path), *args], spark, lambda prompt: reply, embed, out, lines), out.getvalue()
+
+    code, said = run("ask", "--clauses", "clauses", "--max-clauses", "4", "--json", "beach?")
+    assert code == 0 and json.loads(said)["summary"] == "Clean it." and len(json.loads(said)["source_clauses"]) == 4
+    code, said = run("ask", "--clauses", "clauses", "--interactive", lines=["why dirty?\n", "quit\n", "never\n"])
+    assert code == 0 and said.count("Clean it.") == 1 and "- sweep" in said
+    assert run("ask", "--clauses", "clauses")[0] == 2
+    assert run("cluster", "--clauses", "clauses", "--out", "blocks", "--dry")[1] == "2 blocks\n"
+    assert run("cluster", "--clauses", "clauses", "--out", "blocks")[0] == 0 and spark.read.parquet(str(tmp_path / "blocks")).count() == 2
+    spark.read.parquet(str(tmp_path / "clauses")).withColumn("cluster", F.col("seq") % 2).write.parquet(str(tmp_path / "clusters"))
+    assert json.loads(run("report", "--clusters", "clusters")[1])["blocks"] == 2
+    assert readers.resolve("/a/b", "/f") == "/a/b" and readers.resolve("b", "/f") == "/f/b" and readers.resolve("s3://x/b", "/f") == "s3://x/b"
