@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import os
 import tempfile
 import uuid
@@ -65,7 +67,7 @@ def discard(df: DataFrame) -> None:
     fs.delete(at, True)
 
 
-def small_batches(spark: SparkSession, limit: int = 8 << 20) -> None:
+def small_batches(spark: SparkSession, limit: int = 4 << 20) -> None:
     """Lower the bytes of an Arrow batch that the JVM sends to Python to ``limit``: Spark's 64 MB
     are held several times over (JVM, pipe, worker, results) by every task at once."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -97,18 +99,6 @@ def byte_groups(batch, column: int = 1, limit: int = 4_000_000):
         at = to
 
 
-def text_groups(texts, limit: int = 3_000_000):
-    """Index ranges of consecutive texts of about ``limit`` characters together."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > limit:
-            yield start, i
-            start, size = i, 0
-        size += len(t)
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def local_path(uri: str) -> str:
     return uri[7:] if uri.startswith("file://") else uri
 
@@ -152,5 +142,32 @@ KEPT: dict = {}
 def worker_for(name: str) -> None:
     """Called by a Python task of operator ``name``: what other operators keep in this worker goes,
     so that a worker's memory is that of one operator, however many it has served."""
-    for other in [k for k in KEPT if k != name]:
-        KEPT.pop(other)()
+    if others := [k for k in KEPT if k != name]:
+        for other in others:
+            KEPT.pop(other)()
+        give_back()
+
+
+def give_back() -> None:
+    """Hand memory that this process has freed back to the system."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def lean(run):
+    """A function of batches for ``mapInArrow`` that hands its memory back when its task ends: Spark
+    keeps idle workers, and what they have freed would else stay theirs."""
+
+    @functools.wraps(run)
+    def tidy(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return tidy

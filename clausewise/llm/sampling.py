@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_groups, worker_for
+from .common import byte_groups, lean, small_batches, worker_for
 
 BLANK = "▁"
 BYTE = 0x110000  # code units from here on stand for single bytes
@@ -48,11 +48,15 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def uniform(*parts) -> np.ndarray:
-    """Numbers strictly between 0 and 1 from integers."""
-    h = np.uint64(0)
+def mixed(h, *parts) -> np.ndarray:
+    """A hash of integers, carried on from the hash ``h``."""
     for p in parts:
         h = mix(np.asarray(p).astype(np.int64).view(np.uint64) ^ h)
+    return h
+
+
+def uniform(h: np.ndarray) -> np.ndarray:
+    """Numbers strictly between 0 and 1 from hashes."""
     return ((h >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
 
 
@@ -66,6 +70,7 @@ class Vocabulary:
         size = model.get_piece_size()
         self.surface: list[bytes] = []
         by_length: dict[int, list[tuple[int, int]]] = {}
+        spelled: dict[int, list[list[int]]] = {}
         self.chars: set[str] = set()
         weights = np.array([-math.log(i + 10) for i in range(size)])
         self.logp = alpha * (weights - np.log(np.exp(weights).sum()))
@@ -81,8 +86,9 @@ class Vocabulary:
                 continue
             if len(piece) == 1:
                 self.chars.add(piece)
-            units = np.array([[ord(c) for c in piece]])
-            by_length.setdefault(len(piece), []).append((int(self._fold(units)[0]), i))
+            units = [ord(c) for c in piece]
+            spelled.setdefault(len(piece), []).append(units)
+            by_length.setdefault(len(piece), []).append((int(self._fold(np.array([units]))[0]), i))
         self.tables = {}
         for n, rows in by_length.items():
             rows.sort()
@@ -93,6 +99,15 @@ class Vocabulary:
             seen = np.zeros(1 << 18, dtype=bool)
             seen[(keys >> np.uint64(40)) & np.uint64((1 << 18) - 1)] = True
             self.sieve[n] = seen
+        # beginnings of longer pieces: where none begins so, no longer piece is looked for
+        self.opens = {n: np.zeros(1 << 18, dtype=bool) for n in range(1, self.longest + 1)}
+        for n, rows in spelled.items():
+            units = np.array(rows)
+            h = np.zeros(len(units), dtype=np.uint64)
+            with np.errstate(over="ignore"):
+                for k in range(1, n):
+                    h = h * _M3 + self._hash(units[:, k - 1])
+                    self.opens[k][(h >> np.uint64(40)) & np.uint64((1 << 18) - 1)] = True
         self.single = np.zeros(0x110000, dtype=bool)
         self.single[[ord(c) for c in self.chars]] = True
         # characters that no piece holds right after a letter, and is the line break in any piece
@@ -150,6 +165,15 @@ class Vocabulary:
         return raw[1:].decode("utf-8", "replace") if raw[:1] == b" " else raw.decode("utf-8", "replace")
 
 
+    def decoded_crc32(self, ids) -> int:
+        """crc32 of the UTF-8 of ``decode(ids)``; bytes that are UTF-8 already need no decoding."""
+        raw = b"".join(map(self.surface.__getitem__, ids))
+        raw = raw[1:] if raw[:1] == b" " else raw
+        if not raw.isascii():
+            raw = raw.decode("utf-8", "replace").encode()
+        return zlib.crc32(raw)
+
+
 def escaped(text: str) -> str:
     return BLANK + text.replace(" ", BLANK) if text else ""
 
@@ -168,6 +192,7 @@ class Lattice:
 
     first: np.ndarray  # state of each word's start
     edge: np.ndarray  # first edge of each state, and the number of edges at the end
+    start: np.ndarray  # state of each edge
     to: np.ndarray  # state that an edge leads to; -1 ends the word
     piece: np.ndarray
     logp: np.ndarray  # conditional log-probability of the edge
@@ -180,37 +205,46 @@ def lattice(words: list[str], vocabulary: Vocabulary) -> Lattice:
     first = np.concatenate([[0], np.cumsum(sizes)[:-1]]) if len(sizes) else np.zeros(0, np.int64)
     left = np.repeat(first + sizes, sizes) - np.arange(n)  # units up to the word's end
     hashed = vocabulary._hash(units)
-    froms, tos, pieces = [], [], []
+    found = []
     h = np.zeros(n, dtype=np.uint64)
     live = np.arange(n, dtype=np.int32)
+    degree = np.zeros(n, dtype=np.int32)
     with np.errstate(over="ignore"):
         for k in range(1, vocabulary.longest + 1):
             live = live[left[live] >= k]
             if not len(live):
                 break
-            h[live] = h[live] * _M3 + hashed[live + k - 1]
+            want = h[live] * _M3 + hashed[live + k - 1]
+            h[live] = want
+            slot = (want >> np.uint64(40)) & np.uint64((1 << 18) - 1)
+            here, live = live, live[vocabulary.opens[k][slot]]
             if k not in vocabulary.tables:
                 continue
             keys, ids = vocabulary.tables[k]
-            want = h[live]
-            maybe = np.flatnonzero(vocabulary.sieve[k][(want >> np.uint64(40)) & np.uint64((1 << 18) - 1)])
+            maybe = np.flatnonzero(vocabulary.sieve[k][slot])
             at = np.searchsorted(keys, want[maybe])
             at[at == len(keys)] = 0
             hit = keys[at] == want[maybe]
-            s = live[maybe[hit]]
-            froms.append(s)
-            tos.append(np.where(left[s] == k, -1, s + k))
-            pieces.append(ids[at[hit]])
-    start = np.concatenate(froms) if froms else np.zeros(0, np.int64)
-    order = np.argsort(start, kind="stable")
-    start, to, piece = start[order], np.concatenate(tos)[order] if froms else start, np.concatenate(pieces)[order] if froms else start
-    edge = np.searchsorted(start, np.arange(n + 1))
+            s = here[maybe[hit]]
+            found.append((k, s, ids[at[hit]], degree[s]))
+            degree[s] += 1
+    # edges by state, shorter pieces first
+    edge = np.concatenate([[0], np.cumsum(degree, dtype=np.int64)])
+    start = np.repeat(np.arange(n), degree)
+    to, piece = np.empty(len(start), dtype=np.int64), np.empty(len(start), dtype=np.int32)
+    for k, s, ids, nth in found:
+        at = edge[s] + nth
+        to[at] = np.where(left[s] == k, -1, s + k)
+        piece[at] = ids
     # log of the mass from each state to the end of its word, by distance from the end
     mass = np.full(n + 1, -np.inf)
     mass[n] = 0.0
     raw = vocabulary.logp[piece]
-    by_left = np.argsort(left[start], kind="stable")
-    cuts = np.flatnonzero(np.diff(left[start][by_left])) + 1
+    far = left[start]
+    if len(far) and far.max() < 1 << 15:
+        far = far.astype(np.int16)  # sorted by radix
+    by_left = np.argsort(far, kind="stable")
+    cuts = np.flatnonzero(np.diff(far[by_left])) + 1
     value = np.empty(len(raw))
     for group in np.split(by_left, cuts) if len(by_left) else []:
         value[group] = raw[group] + mass[to[group]]
@@ -226,28 +260,31 @@ def lattice(words: list[str], vocabulary: Vocabulary) -> Lattice:
     inside = np.minimum(run - before, 1.0)
     if len(start):
         inside[edge[1:] - 1] = 1.0
-    return Lattice(first, edge, to, piece, logp, start + inside)
+    return Lattice(first, edge, start, to, piece, logp, start + inside)
 
 
-def draw(lat: Lattice, states: np.ndarray, keys: np.ndarray, sample: int, place: np.ndarray, seed: int):
-    """Paths from ``states`` to the ends of their words.
+def draw(lat: Lattice, states: np.ndarray, hashed: np.ndarray):
+    """Paths from ``states`` to the ends of their words; ``hashed`` is the seed of each path.
 
     Returns the edges drawn, path after path, and where each path begins (and the end).
     """
     n = len(states)
     owner, edges, count = [], [], np.zeros(n, dtype=np.int64)
     who = np.argsort(states, kind="stable")  # like states together: neighbours in memory
-    at, k = states[who], 0
+    at, h, k = states[who], hashed[who], 0
     while len(who):
-        u = uniform(np.int64(seed), keys[who], np.int64(sample), place[who], np.int64(k))
-        e = np.searchsorted(lat.ladder, at + u)
-        e = np.clip(e, lat.edge[at], lat.edge[at + 1] - 1)
+        target = at + uniform(mixed(h, np.int64(k)))
+        e, last = lat.edge[at], lat.edge[at + 1] - 1
+        on = np.flatnonzero((lat.ladder[e] < target) & (e < last))
+        while len(on):  # a state has few edges
+            e[on] += 1
+            on = on[(lat.ladder[e[on]] < target[on]) & (e[on] < last[on])]
         owner.append(who)
         edges.append(e)
         count[who] += 1
         to = lat.to[e]
-        on = to >= 0
-        who, at, k = who[on], to[on], k + 1
+        on = np.flatnonzero(to >= 0)
+        who, at, h, k = who[on], to[on], h[on], k + 1
     begin = np.concatenate([[0], np.cumsum(count)])
     path = np.empty(begin[-1], dtype=np.int64)
     for k, (w, e) in enumerate(zip(owner, edges, strict=True)):
@@ -301,16 +338,16 @@ class Search:
         """
         lat = self.lat
         stop = min(len(path), begin + self.BLOCK)
-        place, edge, where = [], [], []
-        state = self._state(path, begin)
-        for i in range(begin, stop):
-            a, b = int(lat.edge[state]), int(lat.edge[state + 1])
-            for e in range(a, b):
-                if e != path[i]:
-                    edge.append(e)
-                    where.append(i)
-            state = self._next(path, i)
-        location = [total[i] + lat.logp[e] for i, e in zip(where, edge, strict=True)]
+        own = path[begin:stop]
+        state = lat.start[own]
+        a, b = lat.edge[state], lat.edge[state + 1]
+        many = b - a
+        edge = np.repeat(b - np.cumsum(many), many) + np.arange(int(many.sum()))
+        where = np.repeat(np.arange(begin, stop), many)
+        other = edge != np.repeat(own, many)
+        edge, where = edge[other].tolist(), where[other]
+        location = (total[where] + lat.logp[edge]).tolist()
+        where = where.tolist()
         rest = total[len(path)] - total[stop]
         if stop < len(path) and rest < 0:
             location.append(total[stop] + (math.log1p(-math.exp(rest)) if rest > -700 else 0.0))
@@ -321,10 +358,10 @@ class Search:
         if forced:
             noise = location - np.log(-np.log(u))
             best = int(noise.argmax())
+            # move all values so that the largest is ``top``: -log(e^-top + e^-noise - e^-largest)
             with np.errstate(divide="ignore"):
-                # move all values so that the largest is ``top``
-                value = -np.log(np.maximum(np.exp(-top) - math.exp(-noise[best]) + np.exp(-noise), 1e-300)) if abs(noise[best]) < 600 else np.minimum(
-                    noise - noise[best] + top, top)
+                apart = top - noise + np.log1p(-np.exp(noise - noise[best]))
+            value = top - np.logaddexp(0.0, apart)
             value[best] = top
         else:
             value = truncated(location, top, u)
@@ -333,16 +370,6 @@ class Search:
         if len(location) > len(edge):
             self.push(float(value[-1]), float(location[-1]), ("late", path, total, stop))
 
-    def _state(self, path: np.ndarray, i: int) -> int:
-        return int(self.starts[0]) if i == 0 else self._next(path, i - 1)
-
-    def _next(self, path: np.ndarray, i: int) -> int:
-        to = int(self.lat.to[path[i]])
-        if to >= 0:
-            return to
-        done = int((self.lat.to[path[: i + 1]] < 0).sum())
-        return int(self.starts[done]) if done < len(self.starts) else -1
-
     def run(self, k: int) -> list[tuple[np.ndarray, float, float, float]]:
         """(path, log-probability, perturbed value, inclusion) of up to k segmentations."""
         lat, found = self.lat, []
@@ -367,10 +394,15 @@ class Search:
 def sample_texts(texts: list[str], keys: list[int], vocabulary: Vocabulary, k: int, seed: int):
     """For each text its samples: (ids, log-probability, perturbed value, inclusion)."""
     rows = [words_of(t) for t in texts]
-    whole = {w: n for n, w in enumerate(dict.fromkeys(chain.from_iterable(rows)))}
-    coarse = np.array(list(map(whole.__getitem__, chain.from_iterable(rows))), dtype=np.int64)
-    index: dict[str, int] = {}
-    fine = [[index.setdefault(x, len(index)) for x in vocabulary.cut(w)] for w in whole]
+    whole = dict.fromkeys(chain.from_iterable(rows))
+    whole = dict(zip(whole, range(len(whole)), strict=True))
+    sizes = np.fromiter(map(len, rows), dtype=np.int64, count=len(rows))
+    coarse = np.fromiter(map(whole.__getitem__, chain.from_iterable(rows)), dtype=np.int64, count=int(sizes.sum()))
+    coarse_row = np.repeat(np.arange(len(rows)), sizes)
+    del rows
+    cut, marks, index = vocabulary.cut, vocabulary.marks, {}
+    number = index.setdefault
+    fine = [[number(x, len(index)) for x in (cut(w) if w[-1] in marks or "\n" in w else (w,))] for w in whole]
     lat = lattice(list(index), vocabulary)
     # words of the texts become the parts of which they are made
     parts = np.fromiter(map(len, fine), dtype=np.int64, count=len(fine))
@@ -378,20 +410,20 @@ def sample_texts(texts: list[str], keys: list[int], vocabulary: Vocabulary, k: i
     bag = np.array(list(chain.from_iterable(fine)), dtype=np.int64)
     each = parts[coarse]
     flat = bag[np.repeat(begin[coarse] - (np.cumsum(each) - each), each) + np.arange(int(each.sum()))] if len(coarse) else coarse
-    coarse_row = np.repeat(np.arange(len(rows)), np.fromiter(map(len, rows), dtype=np.int64, count=len(rows)))
-    many = np.bincount(coarse_row, weights=each, minlength=len(rows)).astype(np.int64)
+    many = np.bincount(coarse_row, weights=each, minlength=len(texts)).astype(np.int64)
     ends = np.cumsum(many)
-    row = np.repeat(np.arange(len(rows)), many)
+    row = np.repeat(np.arange(len(texts)), many)
     place = np.arange(len(flat)) - np.repeat(ends - many, many)
     states = lat.first[flat] if len(flat) else flat
     key = np.array(keys, dtype=np.int64)
+    of_row = mixed(np.uint64(0), np.int64(seed), key)[row]
     drawn = []
     for m in range(k):
-        edges, begin = draw(lat, states, key[row], m, place, seed)
+        edges, begin = draw(lat, states, mixed(of_row, np.int64(m), place))
         bounds = begin[np.concatenate([[0], ends])]
         drawn.append((edges, np.repeat(place, np.diff(begin)), bounds))
     out = []
-    for i in range(len(rows)):
+    for i in range(len(texts)):
         if not many[i]:
             out.append([(np.zeros(0, dtype=np.int64), 0.0, 0.0, 1.0)])
             continue
@@ -412,6 +444,7 @@ def sample_segmentations(docs: DataFrame, model: str, k: int = 2, seed: int = 7,
     doc_id; a null doc_id has the key 0.  An empty table gives no rows; other columns are not read.
     """
 
+    @lean
     def run(batches):
         import pyarrow as pa
 
@@ -419,19 +452,18 @@ def sample_segmentations(docs: DataFrame, model: str, k: int = 2, seed: int = 7,
         vocabulary = Vocabulary.load(model, alpha)
         kinds = [pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.int64()]
         names = ["doc_id", "sample", "ids", "n_pieces", "log_prob", "perturbed", "inclusion", "decoded_crc32", "text_crc32"]
-        for batch in batches:
+        for batch in (g for b in batches for g in byte_groups(b)):
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in text_groups(texts, 4_000_000):
-                out: list[list] = [[] for _ in kinds]
-                for i, text, found in zip(ids[a:b], texts[a:b], sample_texts(
-                        texts[a:b], [x or 0 for x in ids[a:b]], vocabulary, k, seed), strict=True):
-                    crc = zlib.crc32(text.encode("utf-8", "surrogatepass"))
-                    for m, (pieces, lp, value, q) in enumerate(found):
-                        decoded = zlib.crc32(vocabulary.decode(pieces.tolist()).encode())
-                        for col, v in zip(out, (i, m + 1, pieces.astype("<u4").tobytes(), len(pieces), lp, value, q, decoded, crc), strict=True):
-                            col.append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=names)
-
+            out: list[list] = [[] for _ in kinds]
+            for i, text, found in zip(ids, texts, sample_texts(texts, [x or 0 for x in ids], vocabulary, k, seed), strict=True):
+                crc = zlib.crc32(text.encode("utf-8", "surrogatepass"))
+                for m, (pieces, lp, value, q) in enumerate(found):
+                    decoded = vocabulary.decoded_crc32(pieces.tolist())
+                    for col, v in zip(out, (i, m + 1, pieces.astype("<u4").tobytes(), len(pieces), lp, value, q, decoded, crc), strict=True):
+                        col.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=names)
+
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
         run, "doc_id long, sample int, ids binary, n_pieces long, log_prob double, perturbed double, inclusion double, "
              "decoded_crc32 long, text_crc32 long")
