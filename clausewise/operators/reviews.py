@@ -8,10 +8,17 @@ from pyspark.sql import functions as F
 from clausewise.functions.text import clean_text, detect_lang, not_blank, split_clauses, strip
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores: a table of fewer partitions than cores (one small file, say) is dealt
+    anew before a step that costs far more than a shuffle; others stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def clause_reviews(df: DataFrame, min_words: int = 3, semicolons: bool = False) -> DataFrame:
     """seq, review_id, place_name, content -> cleaned rows with nested clauses; blank rows go."""
     lang = F.coalesce(F.col("lang"), detect_lang(F.col("content"))) if "lang" in df.columns else detect_lang(F.col("content"))
-    rows = df.withColumn("content", clean_text(F.col("content"))).where(not_blank(F.col("content"))).withColumn("__lang", lang)
+    rows = spread(df).withColumn("content", clean_text(F.col("content"))).where(not_blank(F.col("content"))).withColumn("__lang", lang)
     found = rows.withColumn("__c", split_clauses(F.col("content"), F.col("__lang"), min_words, semicolons))
     clauses = F.transform("__c", lambda x, i: F.struct(
         F.concat(F.coalesce("review_id", F.lit("")), F.lit("_c"), (i + 1).cast("string")).alias("clause_id"),
@@ -33,8 +40,12 @@ def clause_stats(df: DataFrame) -> DataFrame:
 
 
 def flatten(df: DataFrame) -> DataFrame:
-    """One row a clause; reviews without clauses give none."""
-    return df.select("*", F.posexplode("clauses").alias("pos", "c")).select(
+    """One row a clause; reviews without clauses give none.
+
+    Outer, then filtered: for a plain explode Catalyst adds a filter on the size of the array below
+    the projection that makes it, so clauses would be split twice.
+    """
+    return df.select("*", F.posexplode_outer("clauses").alias("pos", "c")).where("pos is not null").select(
         *[c for c in df.columns if c != "clauses"], "pos", "c.*")
 
 
