@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import materialize, worker_for
+from .common import byte_groups, give_back, lean, materialize, resolved, small_batches, worker_for
 
 STRIP = "\"'`´“”„«»‹›‘’.,;:!?…()[]{}<>*#$%&_-–—|/\\=+~^"
 OPEN = "\"“„«‹‘'"
@@ -32,7 +32,7 @@ class FuzzyTrie:
     """Terms within ``edits`` Levenshtein edits of a word; terms shorter than ``least`` must match
     exactly, as must the first letter of none."""
 
-    LIMIT = 300_000  # transitions kept before the memory starts anew
+    LIMIT = 150_000  # transitions kept before the memory starts anew
 
     def __init__(self, terms, edits: int = 1, least: int = 5):
         self.edits, self.least = edits, least
@@ -148,7 +148,7 @@ class Model:
                 out = (word, 1, max([self.weak.get(word, 0.0), *families]))
             elif len(word) >= 4 and (near := self.trie.match(word)):
                 out = (near[0], 2, self.strong[near[0]])
-        if len(self.known) > 400_000:
+        if len(self.known) > 150_000:
             self.known.clear()
         self.known[token] = out
         return out
@@ -212,33 +212,35 @@ def fold(doc_id):
     return F.crc32(doc_id.cast("string").cast("binary")) % 4
 
 
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_terms: int = 4_000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000) -> Model:
     """Fit on rows of ``labels`` (doc_id, toxic) outside the held-out fold 2.
 
     ``max_rows`` bounds the labelled rows used (those with the smallest hash of doc_id), so what is
-    broadcast and gathered is bounded too; ``max_terms`` bounds the lexicon.  Folds 0 and 1 give the
-    lexicon, fold 3 the weights.  Null labels and ids are left out; rows that repeat an id count as
+    broadcast and gathered is bounded too: a term of the lexicon stands in three toxic texts of the
+    sample at least.  Folds 0 and 1 give the lexicon, fold 3 the weights.  Equal texts of a fold are
+    one row, toxic if any of them is, so copies tell nothing new and the model does not depend on
+    how rows lie in partitions.  Null labels and ids are left out; rows that repeat an id count as
     toxic if any is; without training rows of both kinds the score is the share of toxic ones.
     """
+    small_batches(docs.sparkSession)
     picked = (
         labels.where("doc_id is not null and toxic is not null").where(fold(F.col("doc_id")) != 2)
         .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     )
-    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")  # at most max_rows rows of two numbers
+    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").groupBy(  # at most max_rows rows of two numbers
+        (fold(F.col("doc_id")) == 3).alias("weighs"), F.xxhash64("text").alias("hash")
+    ).agg(F.first("text").alias("text"), F.max("toxic").alias("toxic"))
 
+    @lean
     def count(batches):
         import pyarrow as pa
 
         worker_for("toxicity")
         toxic: Counter = Counter()
         clean: Counter = Counter()
-        seen: set[int] = set()
-        for batch in batches:
+        for batch in (g for b in batches for g in byte_groups(b, 0)):
             for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if (h := hash(text)) in seen:  # copies tell nothing new
-                    continue
-                seen.add(h)
                 words = {w for w in map(word_of, set(tokens(text or ""))) if 3 <= len(w) <= 40}
                 words.update([b for w in words for b in beginnings(w)])
                 (toxic if y else clean).update(words)
@@ -251,12 +253,12 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_terms:
                 "term": k, "toxic": pa.array([int(toxic[x]) for x in k], pa.int64()),
                 "clean": pa.array([int(clean[x]) for x in k], pa.int64())})
 
-    counts = materialize(rows.where(fold(F.col("doc_id")) < 2).select("text", "toxic").mapInArrow(
+    counts = materialize(rows.where("not weighs").select("text", "toxic").mapInArrow(
         count, "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")), "terms")
     n_terms = counts.count()
     found = counts.where(
         "term = '\\0' or (toxic >= 3 and toxic >= 4 * clean) or (term like '%*' and toxic >= 5 and 3 * toxic >= clean)"
-    ).orderBy(F.desc(F.col("term") == "\0"), F.desc(F.col("toxic") - F.col("clean") / 4), "term").limit(max_terms + 1).collect()
+    ).collect()
     total = {r["term"]: (r["toxic"], r["clean"]) for r in found}
     n_toxic, n_clean = total.pop("\0", (0, 0))
     base = n_toxic / (n_toxic + n_clean) if n_toxic + n_clean else 0.0
@@ -271,6 +273,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_terms:
         weak={t: w for t, w in words.items() if total[t][0] >= max(3, n_toxic // 100)},
         stems={t[:-1]: w for t, w in weight.items() if t.endswith("*") and w > 1.5 and total[t][0] >= sure})
 
+    @lean
     def evidence(batches):
         import pyarrow as pa
 
@@ -278,7 +281,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_terms:
             x = [model.features(t or "") for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), batch.column(1).cast(pa.int64())], names=["x", "y"])
 
-    held = rows.where(fold(F.col("doc_id")) == 3).select("text", "toxic").mapInArrow(evidence, "x array<double>, y long").collect()
+    held = rows.where("weighs").orderBy("hash").select("text", "toxic").mapInArrow(evidence, "x array<double>, y long").collect()
     y = np.array([r["y"] for r in held], dtype=float)
     if not len(y) or y.min() == y.max():
         model.weights, model.base = [0.5] * FEATURES + [math.log(base / (1 - base)) - 1], base
@@ -296,16 +299,20 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_terms:
     return model
 
 
-def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
-    """All columns of ``docs`` and ``toxicity`` (0 to 1) and ``toxic`` (1 from ``threshold`` on).
+def score(docs: DataFrame, model: Model, threshold: float = 0.3, names: tuple[str, str] = ("toxicity", "toxic")) -> DataFrame:
+    """All columns of ``docs`` and, under ``names``, the score (0 to 1) and the verdict (1 from
+    ``threshold`` on).
 
     A null or empty text has no evidence and gets the score of none.  Rows that repeat stay, and
     columns of these two names are replaced.
     """
+    small_batches(docs.sparkSession)
+
     @pandas_udf("double")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         worker_for("toxicity")
         for texts in batches:
             yield pd.Series([model.score(t) for t in texts], dtype="float64")
+        give_back()
 
-    return docs.withColumn("toxicity", of(F.col("text"))).withColumn("toxic", (F.col("toxicity") >= threshold).cast("int"))
+    return docs.withColumn(names[0], of(resolved("text"))).withColumn(names[1], (resolved(names[0]) >= threshold).cast("int"))
