@@ -4,7 +4,7 @@ A page becomes blocks of text, each from the article, from a part that its marku
 something else (menus, notices, adverts, comments), or undecided.  The token streams of a host's
 pages are concatenated and sorted as a suffix array to the depth of the least repeat that counts;
 runs of tokens that occur on several distinct pages are covered.  Where the markup does not tell,
-covered blocks go and unique runs stay; what the markup names as the article stays as it is, since
+covered runs go and unique runs stay; what the markup names as the article stays as it is, since
 the text of an article may well be printed on several pages.  A large host is cut into shards of pages, so no task grows with a host; on how many
 pages a run stands is then counted over the whole host, by its hash, and told to the shards.
 """
@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import byte_groups, lean, materialize, resolved, small_batches
 
 #: Fixed sets of element names.
 RAW = frozenset("script style noscript template iframe object svg math canvas textarea select title head".split())
@@ -205,9 +205,28 @@ def opened(raw: bytes) -> list[tuple[int, str]]:
     return [(int(x[0]), x[1:]) for x in raw.decode("utf-8").split("\0") if x]
 
 
-def keep_unique(pages: list[list[tuple[int, str]]], depth: int = 8, least: int = 3, known: np.ndarray | None = None) -> list[str]:
+def unique_runs(text: str, covered: np.ndarray, depth: int, rest: int) -> str:
+    """``text`` without its covered words, and without what is left between them if it is under
+    ``rest`` words (the number in a row of page links, say).  A few words at an edge that only a
+    run from the next block covers stay, unless the whole block is covered."""
+    if not covered.any() or covered.all():
+        return "" if covered.all() else text
+    words, out, at = text.split(" "), [], 0
+    edges = np.flatnonzero(np.diff(np.r_[0, covered.astype(np.int8), 0])).tolist()
+    gone = [(a, b) for a, b in zip(edges[::2], edges[1::2], strict=True) if b - a >= depth]
+    if not gone:
+        return text
+    for a, b in [*gone, (len(words), len(words))]:
+        if a - at >= rest:
+            out += words[at:a]
+        at = b
+    return " ".join(out)
+
+
+def keep_unique(pages: list[list[tuple[int, str]]], depth: int = 8, least: int = 3, known: np.ndarray | None = None, rest: int = 3) -> list[str]:
     """Main texts of the pages of one host, in the given order; for a shard of a host, ``known``
-    holds the hashes of the runs that repeat on the host."""
+    holds the hashes of the runs that repeat on the host.  ``rest``: fewest words of a unique run
+    that stays next to a covered one."""
     ids: dict[str, int] = {}
     stream: list[int] = []
     spans: list[list[tuple[int, int]]] = []
@@ -236,9 +255,10 @@ def keep_unique(pages: list[list[tuple[int, str]]], depth: int = 8, least: int =
         for (kind, text), (a, b) in zip(parts, own, strict=True):
             if kind == OTHERS or (kind == UNDECIDED and has_article):
                 continue
-            if kind == UNDECIDED and covered[a:b].mean() >= 0.5:
-                continue
-            kept.append(text)
+            if kind == UNDECIDED:
+                text = unique_runs(text, covered[a:b], depth, rest)
+            if text:
+                kept.append(text)
         out.append("\n\n".join(kept))
     return out
 
@@ -253,18 +273,20 @@ def main_text(pages: DataFrame, depth: int = 8, least: int = 3, shard_pages: int
     ``broadcast_hosts`` of them.
     """
     host = F.lower(F.coalesce(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
+    small_batches(pages.sparkSession)
     large = materialize(
         pages.select(host.alias("host")).groupBy("host").agg(F.count("*").alias("n")).where(F.col("n") > shard_pages)
         .select("host", F.ceil(F.col("n") / shard_pages).cast("int").alias("shards")), "hosts")
     n_large = large.count()
     small_table = n_large <= broadcast_hosts
 
+    @lean
     def parse(batches):
         import pyarrow as pa
         from zstandard import ZstdCompressor
 
         squeeze = ZstdCompressor(level=3).compress
-        for batch in batches:
+        for batch in (g for b in batches for g in byte_groups(b, 4)):
             ids, urls, hosts, salts, texts = (batch.column(i) for i in range(5))
             packed, decides = [], []
             for x in texts.to_pylist():
@@ -301,6 +323,7 @@ def main_text(pages: DataFrame, depth: int = 8, least: int = 3, shard_pages: int
         return dealt.select("page_id", "url", "host", "shard", "packed", "cut").groupBy("host", "shard").applyInPandas(
             lambda part: texts(part, np.zeros(0, dtype=np.uint64) if part["cut"].iloc[0] else None), schema)
 
+    @lean
     def count(batches):
         import pyarrow as pa
         from zstandard import ZstdDecompressor
