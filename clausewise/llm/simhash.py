@@ -5,7 +5,8 @@ fingerprints are compared exactly, in tiles: 64-bit exclusive-or and bit counts
 group the fingerprints are ordered by population count, and a pair of tiles is skipped when the
 counts are further apart than the radius.  Groups come from bands: fingerprints that differ in at
 most r bits agree on some b - r of b blocks, so every linked pair meets in some band, whatever the
-number of rows.  A band that is too full is cut again by bands over its remaining bits.
+number of rows.  A band that is too full is cut again by bands over its remaining bits, and those
+again if they are too full.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, worker_for
+from .common import byte_groups, lean, materialize, small_batches, worker_for
 from .components import connected_components
 
 ALL = (1 << 64) - 1
@@ -57,15 +58,17 @@ def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
     """(doc_id, fp) for every row; fp is the fingerprint as a signed long. A null text has none
     of the words and so the fingerprint zero."""
 
+    @lean
     def run(batches):
         import pyarrow as pa
 
         worker_for("simhash")
-        for batch in batches:
+        for batch in (g for b in batches for g in byte_groups(b)):
             fp = [majority(shingle_hashes(t or "", words)) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(np.array(fp, dtype=np.uint64).view(np.int64))], names=["doc_id", "fp"])
 
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
 
 
@@ -175,33 +178,45 @@ def _compare(batches, radius: int):
         yield within(*(np.concatenate(x) for x in zip(*kept, strict=True)))
 
 
-def near_links(fps: DataFrame, radius: int = 4, full: int = 4096, count: int | None = None) -> DataFrame:
+def near_links(fps: DataFrame, radius: int = 4, full: int = 4096, count: int | None = None, levels: int = 3) -> DataFrame:
     """Pairs (a, b) of distinct fingerprints of ``fps`` (column fp) which differ in at most
     ``radius`` bits and together connect all that are linked.
 
     ``count`` is the number of blocks; by default it follows the number of fingerprints, so that
-    a band holds a few of them on average. That changes the cost alone, never the links.
+    a band holds a few of them on average.  Bands of more than ``full`` are cut again, up to
+    ``levels`` times: fingerprints of a band agree on its bits, so they differ in at most the radius
+    of the others.  All this changes the cost alone, never the links.
     """
     if count is None:
         n = fps.count()
         count = radius + 1 + (n > 1 << 20) + (n > 1 << 28)
-    masks = band_masks(ALL, radius, count)
-    banded = materialize(fps.select("fp", F.explode(F.array(*[
-        F.struct(F.lit(k).cast("long").alias("t"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("v"))
-        for k, m in enumerate(masks)])).alias("x")).select("x.t", "x.v", "fp"), "bands")
-    crowded = materialize(
-        banded.groupBy("t", "v").agg(F.count("*").alias("n")).where(F.col("n") > full).select("t", "v"), "crowded")
-    if crowded.isEmpty():
-        return compared(banded, radius)
-    # fingerprints of a crowded band agree on its bits, so they differ in at most the radius of the others
-    finer = F.create_map(*[x for k, m in enumerate(masks) for x in (
-        F.lit(k).cast("long"),
-        F.array(*[F.struct(F.lit(1000 + k * (radius + 1) + i).cast("long").alias("t"), F.lit(signed(f)).alias("m"))
-                  for i, f in enumerate(band_masks(ALL & ~m, radius, radius + 1))]))])
-    again = banded.join(crowded, ["t", "v"], "left_semi").select(
-        "fp", "v", F.explode(F.element_at(finer, F.col("t"))).alias("x")
-    ).select(F.col("x.t").alias("t"), F.xxhash64("v", F.col("fp").bitwiseAND(F.col("x.m"))).alias("v"), "fp")
-    return compared(banded.join(crowded, ["t", "v"], "left_anti").unionByName(again), radius)
+    agreed = dict(enumerate(band_masks(ALL, radius, count)))  # bits that the fingerprints of a band share
+    level = materialize(fps.select("fp", F.explode(F.array(*[
+        F.struct(F.lit(t).cast("long").alias("t"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("v"))
+        for t, m in agreed.items()])).alias("x")).select("x.t", "x.v", "fp"), "bands")
+    ready: list[DataFrame] = []
+    for _ in range(levels):
+        crowded = level.groupBy("t", "v").agg(F.count("*").alias("n")).where(F.col("n") > full)
+        # a band without enough bits left to cut stays as it is
+        open_ = [t for t, m in agreed.items() if 64 - m.bit_count() > radius]
+        crowded = materialize(crowded.where(F.col("t").isin(open_)).select("t", "v"), "crowded")
+        open_ = [r["t"] for r in crowded.select("t").distinct().collect()]  # some of the masks
+        if not open_:
+            break
+        ready.append(level.join(crowded, ["t", "v"], "left_anti"))
+        finer, first = {}, max(agreed) + 1
+        for t in open_:
+            finer[t] = [(first + i, m) for i, m in enumerate(band_masks(ALL & ~agreed[t], radius, radius + 1))]
+            first += len(finer[t])
+        table = F.create_map(*[x for t, masks in finer.items() for x in (F.lit(t).cast("long"), F.array(*[
+            F.struct(F.lit(k).cast("long").alias("t"), F.lit(signed(m)).alias("m")) for k, m in masks]))])
+        level = materialize(level.join(crowded, ["t", "v"], "left_semi").select(
+            "fp", "v", F.explode(F.element_at(table, F.col("t"))).alias("x")
+        ).select(F.col("x.t").alias("t"), F.xxhash64("v", F.col("fp").bitwiseAND(F.col("x.m"))).alias("v"), "fp"), "bands")
+        agreed = {k: agreed[t] | m for t, masks in finer.items() for k, m in masks}
+    for part in ready:
+        level = level.unionByName(part)
+    return compared(level, radius)
 
 
 def compared(banded: DataFrame, radius: int) -> DataFrame:
