@@ -2,9 +2,11 @@
 
 Vectors become integers (floor(scale * x)), so scores are exact.  Rows are dealt to shards of
 bounded size, each with a ball tree; a node keeps its centre, its radius and its least id.  A block
-of queries meets one shard at a time: nodes are visited in the order of the upper bound
-q.c + |q| r, and queries whose bound is below their current k-th score drop out of the node.  The
-k-th scores of a first shard, searched beforehand, go along with the queries to all other shards.
+of queries meets one shard at a time, so a task holds one of each: nodes are visited in the order of
+the upper bound q.c + |q| r, and queries whose bound is below their current k-th score drop out of
+the node.  Shards are searched in waves, each of more shards than the one before; the k-th scores
+over all shards searched so far go along with the queries to the next wave, and a query is not sent
+to a shard whose ball cannot hold anything as good.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import discard, materialize
 
 SAFE = float(1 << 53)
 LOW = -(2**63) + 1  # below every score; its negative is a long too
@@ -139,7 +141,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int =
     blocked = materialize(queries.withColumn("block", F.pmod(F.xxhash64("vec_id", "dim"), F.lit(blocks)).cast("int")), "blocks")
 
     def search(rows_q: DataFrame) -> DataFrame:
-        """rows_q: queries with their shard and floor."""
+        """rows_q: queries with their block, shard and floor."""
 
         def run(left, right):
             import pandas as pd
@@ -150,25 +152,47 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int =
                 if not len(own):
                     continue
                 tree = BallTree(own["vec_id"].to_numpy(), np.array(own["q"].tolist(), dtype=np.int64).reshape(len(own), -1))
-                for a in range(0, len(q), block_rows):
-                    part = q.iloc[a : a + block_rows]
-                    score, ident, _ = tree.search(
-                        np.array(part["q"].tolist(), dtype=np.int64).reshape(len(part), -1), part["vec_id"].to_numpy(), k,
-                        part["floor"].to_numpy())
-                    row, col = np.nonzero(ident >= 0)
-                    out.append(pd.DataFrame({"query_id": part["vec_id"].to_numpy()[row], "vec_id": ident[row, col], "score": score[row, col]}))
+                score, ident, _ = tree.search(
+                    np.array(q["q"].tolist(), dtype=np.int64).reshape(len(q), -1), q["vec_id"].to_numpy(), k, q["floor"].to_numpy())
+                row, col = np.nonzero(ident >= 0)
+                out.append(pd.DataFrame({"query_id": q["vec_id"].to_numpy()[row], "vec_id": ident[row, col], "score": score[row, col]}))
             return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
 
-        return dealt.groupBy("shard").cogroup(rows_q.groupBy("shard")).applyInPandas(run, "query_id long, vec_id long, score long")
+        wanted = rows_q.select(F.col("shard").alias("s"), F.col("block").alias("b")).distinct()
+        shard = dealt.join(wanted, F.col("shard") == F.col("s")).select("shard", F.col("b").alias("block"), "vec_id", "q", "dim")
+        return shard.groupBy("shard", "block").cogroup(rows_q.groupBy("shard", "block")).applyInPandas(
+            run, "query_id long, vec_id long, score long")
+
+    # a ball around each shard: the mean of its vectors and the longest distance from it
+    parts = dealt.select("shard", "dim", F.posexplode("q").alias("at", "x"))
+    centre = parts.groupBy("shard", "dim", "at").agg(F.avg("x").alias("c")).groupBy("shard", "dim").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("at", "c"))), lambda s: s["c"]).alias("centre"))  # ``dim`` numbers
+    apart = F.sqrt(F.aggregate(F.zip_with("q", "centre", lambda x, c: (x - c) * (x - c)), F.lit(0.0), lambda s, x: s + x))
+    balls = materialize(dealt.join(centre, ["shard", "dim"]).groupBy("shard", "dim").agg(
+        F.first("centre").alias("centre"), F.max(apart).alias("radius")), "balls")
 
     none = F.lit(-(2**63)).cast("long")
-    home = F.pmod(F.col("block"), F.lit(shards)).cast("int")
-    first = materialize(search(blocked.withColumns({"shard": home, "floor": none})), "first")
     by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    floor = first.withColumn("rank", F.row_number().over(by)).where(F.col("rank") == k).select(
-        F.col("query_id").alias("vec_id"), F.col("score").alias("floor"))
-    others = blocked.join(floor, "vec_id", "left").withColumn("floor", F.coalesce("floor", none)).withColumn("home", home)
-    rest = others.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where("shard <> home").drop("home")
-    found = first.unionByName(search(rest)) if shards > 1 else first
-    return found.distinct().withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k).select(
-        "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    found, searched, wave = None, 0, 1
+    while searched < shards:
+        # each block begins at a shard of its own
+        sent = blocked.withColumn("shard", F.explode(F.sequence(F.lit(searched), F.lit(min(shards, searched + wave) - 1)))).withColumn(
+            "shard", F.pmod(F.col("shard") + F.col("block"), F.lit(shards)).cast("int"))
+        if found is None:
+            sent = sent.withColumn("floor", none)
+        else:
+            floor = found.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("floor"))
+            reach = F.sqrt(F.aggregate("q", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
+            along = F.aggregate(F.zip_with("q", "centre", lambda x, c: x * c), F.lit(0.0), lambda s, x: s + x)
+            size = F.sqrt(F.aggregate("centre", F.lit(0.0), lambda s, c: s + c * c)) + F.col("radius")
+            bound = along + reach * F.col("radius") + 1e-9 * reach * size + 1  # doubles round, by less than this
+            # the balls are one row a shard and dimension; Spark broadcasts them while they are small
+            sent = sent.join(floor, "vec_id", "left").withColumn("floor", F.coalesce("floor", none)).join(balls, ["shard", "dim"]).where(
+                bound >= F.col("floor")).select("vec_id", "q", "dim", "block", "shard", "floor")
+        new = search(sent) if found is None else search(sent).unionByName(found.drop("rank"))
+        last, found = found, materialize(
+            new.distinct().withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k), "found")
+        if last is not None:
+            discard(last)
+        searched, wave = searched + wave, wave * 8
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
