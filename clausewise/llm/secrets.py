@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import columns_of, free_names, resolved
+
 #: Fixed patterns of the base spans, in their order: (kind, pattern, least length, group measured).
 BASE = (
     ("assign", r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 6, 2),
@@ -34,29 +36,16 @@ PART = {"assign": "secret", "access": "id", "hex": "secret"} | {k: p for k, _, p
 PARTS = ("id", "secret", "endpoint")
 
 
-def spans(text: Column, pattern: str, kind: int, least: int = 0, group: int = 0) -> Column:
-    """Array of (start, end, kind) of the leftmost matches whose ``group`` has ``least`` letters."""
+def matches(text: Column, pattern: str, kind: int, least: int = 0, group: int = 0) -> Column:
+    """Array of (kind, nth, gap, size, passes) of the leftmost matches: the letters between a match
+    and the one before it, its own letters, and whether its ``group`` has ``least`` of them."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    size = F.transform(found, F.length)
-    if group:
-        passes = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), lambda m: F.length(m) >= least)
-    else:
-        passes = F.transform(size, lambda n: n >= least)
-    gaps = F.transform(F.split(text, pattern, -1), F.length)
-    steps = F.zip_with(F.slice(gaps, 1, F.size(size)), size, lambda g, n: F.struct(g.alias("g"), n.alias("n")))
-    empty = F.array().cast("array<struct<start:int,end:int>>")
-    # a text rarely holds more than a few matches of a kind, so the fold that appends stays short
-    placed = F.aggregate(
-        steps, F.struct(F.lit(0).alias("at"), empty.alias("out")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["g"] + x["n"]).alias("at"),
-            F.concat(acc["out"], F.array(F.struct((acc["at"] + x["g"]).alias("start"), (acc["at"] + x["g"] + x["n"]).alias("end")))).alias("out")),
-        lambda acc: acc["out"])
-    kept = F.filter(F.zip_with(placed, passes, lambda s, p: F.struct(s["start"].alias("start"), s["end"].alias("end"), p.alias("p"))),
-                    lambda s: s["p"])
-    both = F.transform(kept, lambda s: F.struct(s["start"].alias("start"), F.lit(kind).alias("kind"), s["end"].alias("end")))
-    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    return F.when(text.rlike(pattern), both).otherwise(none)
+    measured = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
+    gaps = F.split(text, pattern, -1)  # one more than matches
+    each = F.transform(F.arrays_zip(found.alias("m"), measured.alias("g"), F.slice(gaps, 1, F.size(found)).alias("b")), lambda x, i: F.struct(
+        F.lit(kind).alias("kind"), i.alias("nth"), F.length(x["b"]).alias("gap"), F.length(x["m"]).alias("size"), (F.length(x["g"]) >= least).alias("passes")))
+    none = F.array().cast("array<struct<kind:int,nth:int,gap:int,size:int,passes:boolean>>")
+    return F.when(text.rlike(pattern), each).otherwise(none)
 
 
 def find_secrets(docs: DataFrame, scope: int = 200) -> DataFrame:
@@ -69,15 +58,14 @@ def find_secrets(docs: DataFrame, scope: int = 200) -> DataFrame:
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = docs.select("doc_id", F.xxhash64(text).alias("row"), text.alias("text"))
-    base = F.concat(*[spans(F.col("text"), p, i, least, group) for i, (_, p, least, group) in enumerate(BASE)])
-    weak = F.concat(*[spans(F.col("text"), p, len(BASE) + i) for i, (_, p, _) in enumerate(WEAK)])
-    rows = keyed.select("doc_id", "row", base.alias("base"), weak.alias("weak"))
-    # only rows where a weak candidate could matter go through the join; the others are done
-    number = F.monotonically_increasing_id()
-    rows = rows.withColumn("n", number)
-    single = rows.select(
-        "n", "doc_id", "row", F.explode_outer(F.concat("base", "weak")).alias("x")
-    ).select("n", "doc_id", "row", "x.start", "x.kind", "x.end")
+    every = F.concat(*[matches(F.col("text"), p, i, least, group) for i, (_, p, least, group) in enumerate(BASE)],
+                     *[matches(F.col("text"), p, len(BASE) + i) for i, (_, p, _) in enumerate(WEAK)])
+    rows = keyed.select("doc_id", "row", every.alias("every")).withColumn("n", F.monotonically_increasing_id())
+    # one row a match, and one for a text without any; running sums over a kind's matches are places
+    apart = rows.select("n", "doc_id", "row", F.explode_outer("every").alias("x")).select("n", "doc_id", "row", "x.*").repartition("n")
+    end = F.sum(F.col("gap") + F.col("size")).over(Window.partitionBy("n", "kind").orderBy("nth").rowsBetween(Window.unboundedPreceding, 0))
+    single = apart.withColumn("to", end.cast("int")).select(
+        "n", "doc_id", "row", "kind", F.when(F.col("passes"), F.col("to") - F.col("size")).alias("start"), F.when(F.col("passes"), F.col("to")).alias("end"))
     part = F.element_at(F.array(*[F.lit(PARTS.index(PART[k])) for k in KINDS]), F.col("kind") + 1)
     sure = F.col("kind") < len(BASE)
     marked = single.withColumns({"part": part, "sure": sure})
@@ -129,18 +117,18 @@ def report(docs: DataFrame, scope: int = 200) -> DataFrame:
 def redact(docs: DataFrame, scope: int = 200, mark: str = "[secret]") -> DataFrame:
     """``docs`` with every reported span of ``text`` replaced by ``mark``; rows and columns stay."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    columns = docs.columns
-    keyed = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("string"), F.lit("\0")), "__row": F.xxhash64(text)})
+    number, row, found_ = free_names(docs, "__id", "__row", "__found")
+    keyed = docs.withColumns({number: F.coalesce(resolved("doc_id").cast("string"), F.lit("\0")), row: F.xxhash64(text)})
     found = find_secrets(docs, scope).where(F.size("found") > 0).select(
-        F.coalesce(F.col("doc_id").cast("string"), F.lit("\0")).alias("__id"), F.col("row").alias("__row"),
-        F.col("found").alias("__found")).dropDuplicates(["__id", "__row"])
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("\0")).alias(number), F.col("row").alias(row),
+        F.col("found").alias(found_)).dropDuplicates([number, row])
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     body = F.aggregate(
-        F.col("__found"), start,
+        F.col(found_), start,
         lambda acc, s: F.when(
             s["start"] >= acc["at"],
             F.struct(s["end"].alias("at"), F.concat(acc["out"], F.col("text").substr(acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark)).alias("out"))
         ).otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))),
         lambda acc: F.concat(acc["out"], F.col("text").substr(acc["at"] + 1, F.length("text"))))
-    return keyed.join(found, ["__id", "__row"], "left").withColumn(
-        "text", F.when(F.col("__found").isNull(), F.col("text")).otherwise(body)).select(*[f"`{c}`" for c in columns])
+    return keyed.join(found, [number, row], "left").withColumn(
+        "text", F.when(F.col(found_).isNull(), F.col("text")).otherwise(body)).select(*columns_of(docs))
