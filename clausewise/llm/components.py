@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import discard, materialize
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -35,7 +35,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
             .unionByName(low.select("u", F.col("m").alias("v"))).distinct()
         )
-        e = materialize(small, "cc")
+        last, e = e, materialize(small, "cc")
+        discard(last)
         # the rounds end when every node has exactly one pointer and no target points further
         now = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         state = (now["n"], now["h"])

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_groups, free_names, materialize, resolved, small_batches, worker_for
+from .common import byte_groups, free_names, give_back, lean, materialize, resolved, small_batches, worker_for
 
 #: where a logical line ends: after a line break, or blanks after the end of a sentence
 _END = re.compile(r"[.!?…][^\S\n]+\n?|\n")
@@ -126,6 +126,7 @@ def repeated_runs(docs: DataFrame, run: int = 50, gram: int = 25) -> DataFrame:
     and the ranges of logical lines to delete."""
     small_batches(docs.sparkSession)
 
+    @lean
     def sketch(batches):
         import pyarrow as pa
 
@@ -159,6 +160,7 @@ def repeated_runs(docs: DataFrame, run: int = 50, gram: int = 25) -> DataFrame:
     marks = grams.join(repeated, "gram", "left_semi").groupBy("n").agg(F.collect_list("at").alias("marks"))  # within a text
     marked = sketches.where("size(at) > 0").select("n", "doc_id", "row", "lines", "words").join(marks, "n")
 
+    @lean
     def cover(batches):
         import pyarrow as pa
         from xxhash import xxh64_intdigest as hashed
@@ -227,6 +229,7 @@ def dedup_lines(docs: DataFrame, run: int = 50, gram: int = 25,
             else:
                 kept, n, r = delete_lines(t, [(x["a"], x["b"]) for x in s], run)
                 rows.append((kept, n, r, len(kept.split())))
+        give_back()
         return pd.DataFrame(rows, columns=["text", "lines", "runs", "words"])
 
     # only texts that lose something go to Python

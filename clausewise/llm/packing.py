@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import ByteBpe
-from .common import byte_groups, materialize, small_batches
+from .common import byte_groups, lean, materialize, small_batches
 
 log = logging.getLogger(__name__)
 
@@ -161,6 +161,7 @@ def planned(spark, demand: np.ndarray, capacity: int) -> list[tuple[np.ndarray,
     """``plan`` of classes 1 to ``capacity``, made by one task: executors hold linear algebra to one
     thread, and the driver stays free.  The plan has few more rows than classes."""
 
+    @lean
     def run(batches):
         import pyarrow as pa
 
@@ -184,6 +185,7 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 2048, grain: int = 8, en
     """
     small_batches(docs.sparkSession)
 
+    @lean
     def cut(batches):
         import pyarrow as pa
         from pyspark import TaskContext
@@ -192,7 +194,7 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 2048, grain: int = 8, en
         part, row = TaskContext.get().partitionId(), 0
         seen: dict[int, int] = {}
         kinds = (pa.int64(),) * 6 + (pa.int32(), pa.int64())
-        for batch in (g for b in batches for g in byte_groups(b)):
+        for batch in (g for b in batches for g in byte_groups(b, limit=2_000_000)):
             ids, bounds = encoder.encode(batch.column(1))
             raw = memoryview(np.insert(ids, bounds[1:], end_id).astype("<u4")).cast("B")
             bounds = (bounds + np.arange(len(bounds))).tolist()
@@ -239,6 +241,7 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 2048, grain: int = 8, en
     starts = {c: sorted(r for r in rows if r[0] == c) for c in {r[0] for r in rows}}
     table = {c: (np.array([r[1] for r in v]), np.array([r[3] for r in v]), np.array([r[4] for r in v])) for c, v in starts.items()}
 
+    @lean
     def deal(batches):
         import pyarrow as pa
 

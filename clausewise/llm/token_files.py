@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import ByteBpe
-from .common import byte_groups, filesystem, fresh_path, materialize, small_batches
+from .common import byte_groups, filesystem, fresh_path, lean, materialize, small_batches
 
 _HEAD = struct.Struct("<4sBBH")
 _TAIL = struct.Struct("<QQQQQ8s")
@@ -164,6 +164,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int = 0, path: st
         .repartitionByRange(shards, "key").sortWithinPartitions("key")
     )
 
+    @lean
     def write(batches):
         import uuid
 
@@ -173,7 +174,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int = 0, path: st
         encoder = ByteBpe.load(tokenizer)
         wide = encoder.tokenizer.get_vocab_size() > 65536 or end_id > 65535
         shard = TaskContext.get().partitionId()
-        groups = (g for b in batches for g in byte_groups(b))
+        groups = (g for b in batches for g in byte_groups(b, limit=2_000_000))
         first = next(groups, None)
         if first is None:
             return
@@ -205,6 +206,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
     """
     n = max(1, int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
+    @lean
     def read(batches):
         import pyarrow as pa
 
