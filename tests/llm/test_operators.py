@@ -160,6 +160,22 @@ def test_repeats_do_not_depend_on_shards(spark):
     assert not any("small files" in cut[i] for i in range(300)) and "small files" in cut[1000]
 
 
+def test_unique_runs_stay_without_naming_markup(spark):
+    """Pages of plain paragraphs: what several pages share goes, by words, and what is left stays."""
+    rng = np.random.default_rng(12)
+    say = lambda n: [f"u{x}" for x in rng.integers(0, 10**8, n)]
+    head, foot = say(15), say(11)
+    pages, want = [], {}
+    for i in range(9):
+        own, tail, lone = say(30), say(14), say(9)
+        pages.append((i, f"https://s.example/{i}", f"<div><p>{' '.join(head)} {' '.join(own)}</p><div>{' '.join(lone)}</div><p>{' '.join(tail)} {' '.join(foot)} {i}</p></div>"))
+        want[i] = "\n\n".join([" ".join(own), " ".join(lone), " ".join(tail)])
+    pages += [(20 + i, "https://t.example/", f"<p>{' '.join(head)}</p>") for i in range(2)]  # two pages are no host's habit
+    for shard in (100, 2):
+        got = {r["page_id"]: r["text"] for r in html_text.main_text(spark.createDataFrame(pages, "page_id long, url string, html string"), shard_pages=shard).collect()}
+        assert got == want | {20: " ".join(head), 21: " ".join(head)}
+
+
 def test_suffix_ranks_are_exact():
     rng = np.random.default_rng(2)
     stream, page = rng.integers(0, 3, 400), np.repeat(np.arange(8), 50)
@@ -208,7 +224,7 @@ def test_links_are_complete(spark):
         label = new
     d = spark.createDataFrame([(int(x),) for x in u.view(np.int64)], "fp long")
     want = {frozenset(u[label == k].view(np.int64).tolist()) for k in set(label) if (label == k).sum() > 1}
-    for full in (20, 4096):  # crowded bands are cut again; nothing is lost
+    for full in (60, 4096):  # crowded bands are cut again; nothing is lost
         got = {}
         for r in connected_components(simhash.near_links(d, 4, full=full)).collect():
             got.setdefault(r["component"], set()).add(r["node"])
@@ -232,8 +248,21 @@ def test_encoder_is_exact():
     rng = np.random.default_rng(4)
     bits = [" ", "\n", "a", "b.", "é", "1", "'s", ",", "\t", "  ", "\r\n", " ", " ", "Word", "<|endoftext|>", "\x01", "。"]
     texts = ["", " ", LONG] + ["".join(rng.choice(bits, 25)) for _ in range(1500)]
-    for t, raw in zip(texts, b.encode(texts)):
-        assert np.frombuffer(raw, "<u4").tolist() == b.tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
+    texts += ["".join(chr(int(c)) for c in rng.choice([*range(32, 1500), 0x1F600, 0xFFFD, 0x378, 0x3000], 30)) for _ in range(300)]
+    texts += ["aaaaaaaaaaaaaaaaaaaaaaa bananananana 0000000", "x" * 3000, "don't 'tis we'll 's"]
+    ids, bounds = b.encode(texts)
+    assert len(bounds) == len(texts) + 1
+    for t, i, j in zip(texts, bounds, bounds[1:]):
+        assert ids[i:j].tolist() == b.tokenizer.encode(t, add_special_tokens=False).ids, repr(t)
+    assert b.encode([])[0].tolist() == []
+
+
+def test_encoder_of_another_kind_goes_to_the_library():
+    b = ByteBpe(tokenizer_path("word_bpe_49k.json"))
+    texts = ["Some WORDS here", "", "two  blanks"]
+    ids, bounds = b.encode(texts)
+    assert not b.parted
+    assert [ids[i:j].tolist() for i, j in zip(bounds, bounds[1:])] == [b.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def test_elias_fano():
@@ -379,7 +408,7 @@ def test_winnowing_guarantee():
             a, b = rng.integers(0, 9, 2)
             h = np.concatenate([rng.integers(1, 1 << 60, a).astype(np.uint64), shared[0], rng.integers(1, 1 << 60, b).astype(np.uint64)])
             w = np.concatenate([rng.integers(1, 20, a), shared[1], rng.integers(1, 20, b)])
-            kept.append(set(line_dedup.winnow(h, w, 50, 25)[1].tolist()))
+            kept.append(set(line_dedup.winnow(h, w, np.zeros(len(h), int), 50, 25)[1].tolist()))
         if shared[1].sum() >= 50:
             assert kept[0] & kept[1]
 
@@ -403,6 +432,40 @@ def test_line_dedup_finds_runs_of_later_places(spark):
     assert all(got[3 * c] == texts[3 * c] for c in range(60)) and got[900] == texts[900]
 
 
+def test_line_dedup_is_every_repeated_run(spark):
+    """All runs of 50 words and more that stand at an earlier place, by brute force."""
+    rng = np.random.default_rng(21)
+    pool = [sentence(rng, int(n)) for n in rng.integers(3, 40, 14)]
+    texts = {}
+    for i in range(120):
+        parts = []
+        for _ in range(int(rng.integers(1, 5))):
+            a = int(rng.integers(0, len(pool)))
+            parts += pool[a : a + int(rng.integers(1, 7))] if rng.random() < 0.7 else [sentence(rng, 12)]
+        texts[i] = " ".join(parts)
+    split = {i: line_dedup.lines(t) for i, t in texts.items()}
+    keys = {i: [" ".join(p.split()) for p in parts] for i, parts in split.items()}
+    size = {i: [len(k.split()) for k in ks] for i, ks in keys.items()}
+    first, gone = {}, {i: set() for i in texts}
+    for i in sorted(texts):
+        for a in range(len(keys[i])):
+            for b in range(a + 1, len(keys[i]) + 1):
+                if sum(size[i][a:b]) >= 50:
+                    k = tuple(keys[i][a:b])
+                    j, c = first.setdefault(k, (i, b))
+                    if j < i or j == i and a >= c:
+                        gone[i].update(range(a, b))
+    want = {i: "".join(p for n, p in enumerate(split[i]) if n not in gone[i]) for i in texts}
+    got = {r["doc_id"]: (r["text"], r["lines_deleted"], r["words_left"]) for r in line_dedup.dedup_lines(docs_of(spark, list(texts.items()))).collect()}
+    assert got == {i: (want[i], len(gone[i]), len(want[i].split())) for i in texts}
+    assert sum(map(len, gone.values())) > 100
+
+
+def test_plain_lines_hash_alike():
+    for t in ("a b. c d\ne. f", "x.\n\ny z", " lead. x ", "tab\tin. it", "a  b. c", "", "\n", "one"):
+        assert line_dedup.text_hashes(t) == line_dedup.line_hashes(line_dedup.lines(t))
+
+
 # ---- 9 fingerprints ---------------------------------------------------------
 
 
@@ -421,10 +484,56 @@ def test_fingerprints(spark):
     assert got[2]["near_next"] == 1.0
     repeats = fingerprint.fingerprints(docs_of(spark, [(1, "a"), (1, "a"), (None, "b")])).collect()
     assert len(repeats) == 3 and fingerprint.fingerprints(docs_of(spark, [])).count() == 0
-    pair = spark.createDataFrame([(LONG, LONG[: len(LONG) // 8])], "a string, b string").select(
+    pair = spark.createDataFrame([(LONG, " ".join(LONG.split()[:3000]))], "a string, b string").select(
         fingerprint.sketch(F.col("a")).alias("a"), fingerprint.sketch(F.col("b")).alias("b"))
     assert pair.select(fingerprint.likeness(F.col("a"), F.col("b"))).first()[0] > 0.95  # contained, though very unequal
-    assert pair.select(fingerprint.merge(F.col("a"), F.col("b"))["kept"] == F.col("a")["kept"]).first()[0]
+    assert pair.select(fingerprint.merge(F.col("a"), F.col("b")) == F.col("a")).first()[0]
+
+
+def shingle_set(text, words=5):
+    p = text.lower().split()
+    return {tuple(p[i : i + words]) for i in range(max(1, len(p) - words + 1))} if p else set()
+
+
+def test_containment_is_within_its_bound(spark):
+    rng = np.random.default_rng(6)
+    rows = []
+    for n in (5, 8, 12, 30, 100, 1000, 20_000):
+        for share in (0.0, 0.3, 0.7, 1.0):
+            for _ in range(2 if n > 1000 else 12):
+                a = [f"w{x}" for x in rng.integers(0, 10**7, n)]
+                k = int(n * share)
+                b = [f"v{x}" for x in rng.integers(0, 10**7, 3 * n)]
+                rows.append((" ".join(a), " ".join([*b[:n], *a[:k], *b[n:]]), " ".join(a + b)))
+    pairs = spark.createDataFrame(rows, "a string, b string, c string").select("a", "b", *[fingerprint.sketch(F.col(x)).alias(f"s{x}") for x in "abc"])
+    got = pairs.select("a", "b", fingerprint.likeness(F.col("sa"), F.col("sb")).alias("near"), fingerprint.likeness(F.col("sa"), F.col("sc")).alias("whole"),
+                       F.size("sa").alias("n"), fingerprint.merge(F.col("sa"), F.col("sc")).alias("m"), "sc").collect()
+    far = empty = 0
+    for r in got:
+        x, y = shingle_set(r["a"]), shingle_set(r["b"])
+        true = len(x & y) / min(len(x), len(y))
+        bound = 3 * math.sqrt(max(true * (1 - true), 0.01) / min(len(x), len(y)))
+        lone = len(x) < 10 and r["near"] == 0 and true > 0  # none of a few hashes kept
+        far += abs(r["near"] - true) > bound + 1e-9 and not lone
+        empty += r["whole"] != 1.0
+        assert r["m"] == r["sc"]  # the sketch of a text holds that of its part
+    expected = sum(2.0 ** -len(shingle_set(r["a"])) for r in got)  # no hash below the fraction
+    assert far <= 0.03 * len(got) and empty <= expected + 4 * math.sqrt(expected)
+
+
+def test_sketches_merge_like_texts(spark):
+    texts = [" ".join(f"w{x}" for x in np.random.default_rng(k).integers(0, 99, 5)) for k in range(30)]
+    rows = [(a, b) for a in texts for b in texts[:10]]
+    d = spark.createDataFrame(rows, "a string, b string").select(*[fingerprint.sketch(F.col(x)).alias(x) for x in "ab"])
+    for r in d.select("a", "b", fingerprint.merge(F.col("a"), F.col("b")).alias("m")).collect():  # one shingle each
+        low = sorted({h for h in r["a"] + r["b"] if h >= 0}) or [min(r["a"] + r["b"])]
+        assert r["m"] == low
+
+
+def test_ranges(spark):
+    bounds = sorted(set(np.random.default_rng(0).integers(0, 10_000, 900).tolist()) | {0})
+    got = spark.range(10_000).select("id", *[c.alias(n) for c, n in zip(fingerprint.ranges(F.col("id"), bounds, step=16), ("k", "same"))]).collect()
+    assert all(r["k"] == np.searchsorted(bounds, r["id"], side="right") - 1 and r["same"] == (bounds[r["k"]] == r["id"]) for r in got)
 
 
 # ---- 10 secrets -------------------------------------------------------------

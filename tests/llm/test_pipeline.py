@@ -1,7 +1,10 @@
 """The pipeline's stages and the registered corpus queries on small tables."""
 
+from collections import Counter
+
 import __spark_entry__
 import corpus_pipeline
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -30,8 +33,6 @@ def test_near_duplicates_keep_one(spark):
 
 
 def test_near_copies_are_complete(spark, data):
-    import numpy as np
-
     from clausewise.llm.near_copies import jaccard, similar_components
     from clausewise.llm.simhash import shingle_hashes
 
@@ -75,6 +76,62 @@ def test_stage_drops_near_copies(spark):
     assert sorted(r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()) == [1, 3]
 
 
+CLASHES = ("__id", "__row", "__spans", "__new", "__found", "__toxic", "__score", "toxic", "Toxicity", "lines_deleted", "runs_deleted", "words_left",
+           "row", "found", "component", "a.dotted `name`", "bands", "n")
+
+
+def odd_docs(spark):
+    """Nulls, empty and very long texts, ties and repeated rows, and columns of names that the
+    operators use themselves."""
+    rng = np.random.default_rng(17)
+    say = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 10**6, n)) + "."
+    long = " ".join(say(15) for _ in range(3000))
+    passage = say(70)
+    rows = [(1, "plain words that nobody repeats"), (2, None), (3, ""), (None, "without a number"), (None, "another one without a number"), (5, long),
+            (6, "plain words that nobody repeats"), (7, "token=abcdefgh123 stands here"), (7, "token=abcdefgh123 stands here"),
+            (8, say(20) + "\n" + passage), (9, say(20) + "\n" + passage), (None, None), (10, "日本 語"), (11, "\n\n ")]
+    kinds = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c.replace('`', '``')}` string" for c in CLASHES)
+    return spark.createDataFrame([(i, t, "en", None, 1, *[f"{i} {c}" for c in CLASHES]) for i, t in rows], kinds), rows, passage
+
+
+@pytest.mark.parametrize("k", range(4))
+def test_stage_keeps_columns_and_odd_rows(spark, data, k):
+    docs, rows, passage = odd_docs(spark)
+    name, stage = corpus_pipeline.STAGES[k]
+    done = stage(spark, docs, data)
+    assert done.columns == docs.columns
+    got = done.collect()
+    assert all(r[c] == f"{r['doc_id']} {c}" for r in got for c in CLASHES)  # their values are those of the row
+    left = Counter((r["doc_id"], r["text"]) for r in got)
+    want = Counter(rows)
+    if name == "line_dedup":
+        want[9, rows[10][1]] -= 1
+        want[9, rows[10][1][: -len(passage)]] += 1
+    elif name == "simhash":  # copies, rows that repeat, and all the texts without words but one
+        want = Counter(set(rows)) - Counter([rows[6], rows[2], rows[11], rows[13]])
+    elif name == "secrets":
+        want[rows[7]] = 0
+        want[7, "[secret] stands here"] = 2
+    assert left == +want
+    assert stage(spark, docs.limit(0), data).count() == 0
+
+
+def test_last_stage_packs_odd_rows(spark, data):
+    docs, rows, _ = odd_docs(spark)
+    got = corpus_pipeline.STAGES[-1][1](spark, docs, data).collect()
+    assert Counter(r["doc_id"] for r in got if r["start"] == 0) == Counter(i for i, _ in rows)
+    assert sum(r["length"] for r in got) == sum(r["doc_tokens"] for r in got if r["start"] == 0)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), data).count() == 0
+
+
+def test_toxicity_does_not_depend_on_partitions(spark, data):
+    from clausewise.llm.toxicity import score, train
+
+    docs, labels = (spark.read.parquet(f"{data}/{t}.parquet") for t in ("documents", "labels"))
+    a, b = ({r["doc_id"]: r["toxicity"] for r in score(docs.repartition(n), train(docs.repartition(n), labels.repartition(n))).collect()} for n in (1, 7))
+    assert a == b
+
+
 def test_registered():
     assert {q.split("_")[0] for q in queries.QUERIES} == {f"op{n}" for n in range(1, 11)}
     assert "pipeline" in __spark_entry__.queries()
