@@ -92,6 +92,24 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(read_table(spark, sf_dir, "documents"))
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lexical import build_index, search
+
+    return search(build_index(read_table(spark, sf_dir, "documents")), read_table(spark, sf_dir, "benchmark"), k=20)
+
+
+def op12_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .align import align
+
+    return align(read_table(spark, sf_dir, "documents"), tokenizer_path(BPE), tokenizer_path(PIECES))
+
+
+def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .best_fit import pack_best_fit
+
+    return pack_best_fit(read_table(spark, sf_dir, "documents"), tokenizer_path(BPE), length=1024, end_id=2).drop("key")
+
+
 QUERIES = {
     "op1_sampled_pieces": op1_sampled_pieces,
     "op7_top_k": op7_top_k,
@@ -103,6 +121,9 @@ QUERIES = {
     "op4_simhash": op4_simhash,
     "op5_token_files": op5_token_files,
     "op6_packing": op6_packing,
+    "op11_lexical": op11_lexical,
+    "op12_align": op12_align,
+    "op13_best_fit": op13_best_fit,
 }
 
 #: DuckDB counterparts; queries without one are held against brute force in tests/llm.
@@ -117,4 +138,24 @@ ORACLE_SQL: dict[str, str] = {
         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
         SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5
     """,
+    "op11_lexical": r"""
+        WITH t AS (
+            SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents),
+        q AS (
+            SELECT item_id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark),
+        asked AS (SELECT item_id, term, count(*) AS times FROM q GROUP BY ALL),
+        whole AS (SELECT CAST(count(*) AS BIGINT) AS nn, CAST(sum(len(terms)) AS BIGINT) AS ll FROM t WHERE len(terms) > 0),
+        p AS (SELECT row, doc_id, len(terms) AS n, unnest(terms) AS term FROM t),
+        tf AS (SELECT row, doc_id, n, term, count(*) AS tf FROM p WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+        w AS (SELECT term, CAST(floor(1000 * ln((2 * nn + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, whole GROUP BY term, nn),
+        s AS (
+            SELECT item_id, row, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nn) // ll)))) AS BIGINT) AS score
+            FROM asked JOIN w USING (term) JOIN tf USING (term), whole GROUP BY ALL),
+        r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS place FROM s WHERE score > 0)
+        SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM r WHERE place <= 20
+    """,
 }
