@@ -7,8 +7,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clausewise.functions.arrays import dot, norm, unit
-from clausewise.sources.shared import shared_folder
+from clausewise.functions.arrays import dot, unit
+
+from .metric import best_above, best_other, links_above, pack, pairs_above, stored
 
 
 def nearest(vectors: DataFrame, query: list[float], k: int = 15) -> DataFrame:
@@ -21,47 +22,22 @@ def unit_vectors(df: DataFrame) -> DataFrame:
     return df.where("size(embedding) > 0").withColumn("embedding", unit(F.col("embedding"))).where(~F.isnan(F.col("embedding")[0]))
 
 
-def similar_pairs(df: DataFrame, distance: float, block: int = 2048) -> DataFrame:
-    """(a, b, similarity) with a < b and cosine distance below ``distance``.
-
-    Rows are dealt to blocks; every pair of blocks is one task of a blocked matrix product, so a
-    task holds two blocks and no side is broadcast.
-    """
-    n = df.count()
-    blocks = max(1, -(-n // block))
-    rows = unit_vectors(df).select("seq", "embedding").withColumn("b", F.pmod(F.xxhash64("seq"), F.lit(blocks)).cast("int"))
-    pair = F.when(F.col("o") <= F.col("b"), F.struct(F.col("o").alias("i"), F.col("b").alias("j"))).otherwise(
-        F.struct(F.col("b").alias("i"), F.col("o").alias("j")))
-    dealt = rows.withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumn("p", pair).select("p.i", "p.j", "b", "seq", "embedding")
-
-    def product(part: pd.DataFrame) -> pd.DataFrame:
-        i, j = part["i"].iloc[0], part["j"].iloc[0]
-        left, right = part[part["b"] == i], part[part["b"] == j]
-        if not len(left) or not len(right):
-            return pd.DataFrame({"a": [], "b": [], "similarity": []})
-        x, y = np.stack(left["embedding"].to_numpy()), np.stack(right["embedding"].to_numpy())
-        s = x @ y.T
-        r, c = np.nonzero(s > 1 - distance)
-        a, b = left["seq"].to_numpy()[r], right["seq"].to_numpy()[c]
-        keep = a < b if i == j else a != b
-        return pd.DataFrame({"a": np.minimum(a, b)[keep], "b": np.maximum(a, b)[keep], "similarity": s[r, c][keep]})
-
-    return dealt.groupBy("i", "j").applyInPandas(product, "a long, b long, similarity double")
+def similar_pairs(df: DataFrame, distance: float) -> DataFrame:
+    """(a, b, similarity) with a < b and cosine distance below ``distance``; only chunks of rows that
+    can hold such a pair are compared (see ``metric``)."""
+    return pairs_above(unit_vectors(df).select("seq", "embedding"), 1 - distance)
 
 
 def components(nodes: DataFrame, edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(seq, component): the least seq reached, by repeated minimum over neighbours and pointer
-    jumping; rounds are cut with ``checkpoint`` in the folder that the session names."""
-    spark = nodes.sparkSession
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined() or spark.conf.get("spark.checkpoint.dir", None):
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
-    label = nodes.select("seq", F.col("seq").alias("component")).checkpoint()
+    jumping; a round is written to the shared folder and goes when the next one is there."""
+    both = stored(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
+    label = nodes.select("seq", F.col("seq").alias("component"))
     for _ in range(rounds):
         near = both.join(label.withColumnRenamed("seq", "b"), "b").groupBy("a").agg(F.min("component").alias("m"))
         step = label.join(near, label.seq == near.a, "left").select("seq", F.least("component", F.coalesce("m", "component")).alias("component"))
-        jump = step.alias("x").join(step.alias("y"), F.col("x.component") == F.col("y.seq"), "left").select(
-            "x.seq", F.coalesce("y.component", "x.component").alias("component")).checkpoint()
+        jump = stored(step.alias("x").join(step.alias("y"), F.col("x.component") == F.col("y.seq"), "left").select(
+            "x.seq", F.coalesce("y.component", "x.component").alias("component")), "labels")
         changed = not jump.join(label.withColumnRenamed("component", "old"), "seq").where("component <> old").isEmpty()
         label = jump
         if not changed:
@@ -94,27 +70,80 @@ def average_linkage(vectors: np.ndarray, distance: float) -> np.ndarray:
         best[i], best[j] = far[i].argmin(), 0
 
 
-def clusters(df: DataFrame, distance: float = 0.45, most: int = 20_000) -> DataFrame:
-    """(seq, cluster): average-linkage clusters, each component of the graph on its own.
+def linkage_rounds(rows: DataFrame, distance: float) -> DataFrame:
+    """(a, b): the merges of average linkage below ``distance`` over ``rows`` (seq, embedding: unit vectors), each
+    named by the least seqs of its two clusters.
 
-    Clusters never cross a component of the pairs below the distance, so components are clustered
-    in parallel; one of more than ``most`` rows raises, since its matrix would not fit.
+    The mean similarity of the pairs between two clusters is the product of the means of their vectors,
+    so a cluster is one row (its mean and size) and no matrix of distances is kept.  A round finds the
+    nearest cluster of every cluster that needs it and merges all pairs that are each other's nearest:
+    average linkage never brings a merged cluster closer to a third one than the nearer of its parts was,
+    so these merges are those of the one-by-one order, and who was not merged and whose nearest
+    was not either keeps its nearest.  A cluster with none within the distance is done and leaves.
+    """
+    alive = stored(rows.select("seq", F.lit(1).cast("long").alias("size"), F.col("embedding").cast("array<double>").alias("embedding"),
+                               F.lit(None).cast("long").alias("other"), F.lit(None).cast("double").alias("similarity")), "alive")
+    merges, stale = [], False
+    while not alive.isEmpty():
+        # nothing was merged although there are neighbours: equal products that were rounded apart; look again at all
+        asking = alive if stale else alive.where("other is null")
+        right = pack(alive.select("seq", "embedding"))
+        left = right if stale or not merges else pack(asking.select("seq", "embedding"))
+        fresh_ = best_above(left, right, 1 - distance)
+        known = fresh_ if stale else alive.where("other is not null").select("seq", "other", "similarity").unionByName(fresh_)
+        near = stored(known, "nearest")
+        pair = near.alias("x").join(near.alias("y"), (F.col("x.other") == F.col("y.seq")) & (F.col("y.other") == F.col("x.seq")) & (F.col("x.seq") < F.col("y.seq"))).select(
+            F.col("x.seq").alias("a"), F.col("y.seq").alias("b"))
+        pair = stored(pair, "merges")
+        if pair.isEmpty():
+            if stale or near.isEmpty():
+                break
+            stale = True
+            continue
+        stale = False
+        merges.append(pair)
+        vectors = alive.select("seq", "size", "embedding")
+        both = pair.join(vectors.select(F.col("seq").alias("a"), F.col("size").alias("m"), F.col("embedding").alias("x")), "a").join(
+            vectors.select(F.col("seq").alias("b"), F.col("size").alias("n"), F.col("embedding").alias("y")), "b")
+        mean = F.zip_with("x", "y", lambda x, y: (x * F.col("m") + y * F.col("n")) / (F.col("m") + F.col("n")))
+        none = F.lit(None)
+        merged = both.select(F.col("a").alias("seq"), (F.col("m") + F.col("n")).alias("size"), mean.alias("embedding"), none.cast("long").alias("other"),
+                             none.cast("double").alias("similarity"))
+        gone = pair.select(F.col("a").alias("seq")).unionByName(pair.select(F.col("b").alias("seq")))
+        rest = near.join(gone, "seq", "left_anti").join(vectors, "seq").join(gone.select(F.col("seq").alias("other"), F.lit(True).alias("moved")), "other", "left")
+        kept = rest.select("seq", "size", "embedding", F.when(F.col("moved").isNull(), F.col("other")).alias("other"),
+                           F.when(F.col("moved").isNull(), F.col("similarity")).alias("similarity"))
+        alive = stored(merged.unionByName(kept), "alive")
+    out = rows.sparkSession.createDataFrame([], "a long, b long")
+    for m in merges:
+        out = out.unionByName(m)
+    return out
+
+
+def clusters(df: DataFrame, distance: float = 0.45, most: int = 2_000) -> DataFrame:
+    """(seq, cluster): average-linkage clusters, named by their least seq.
+
+    Clusters never cross a component of the pairs below the distance.  Components of up to ``most``
+    rows are clustered in parallel, each with the matrix of its distances; larger ones are clustered
+    together in rounds (``linkage_rounds``), for which no task holds a component.
     """
-    rows = unit_vectors(df).select("seq", "embedding")
-    found = components(rows, similar_pairs(df, distance))
+    rows = stored(unit_vectors(df).select("seq", "embedding"), "unit-vectors")
+    found = components(rows, links_above(rows, 1 - distance))
 
     def link(part: pd.DataFrame) -> pd.DataFrame:
-        if len(part) > most:
-            raise ValueError(f"a component of {len(part)} vectors at distance {distance}; take a smaller distance")
         part = part.sort_values("seq")
         seq = part["seq"].to_numpy()
         return pd.DataFrame({"seq": seq, "cluster": seq[average_linkage(np.stack(part["embedding"].to_numpy()), distance)]})
 
-    # only rows that share a component need a matrix
+    sizes = stored(found.groupBy("component").agg(F.count("*").alias("n")), "component-sizes")
     joined = rows.join(found, "seq")
-    many = found.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").select("component")
-    linked = joined.join(many, "component", "left_semi").groupBy("component").applyInPandas(link, "seq long, cluster long")
-    alone = found.join(many, "component", "left_anti").select("seq", F.col("seq").alias("cluster"))
+    small = joined.join(sizes.where((F.col("n") > 1) & (F.col("n") <= most)).select("component"), "component", "left_semi")
+    linked = small.groupBy("component").applyInPandas(link, "seq long, cluster long")
+    alone = found.join(sizes.where("n = 1"), "component", "left_semi").select("seq", F.col("seq").alias("cluster"))
+    if not sizes.where(F.col("n") > most).isEmpty():
+        large = joined.join(sizes.where(F.col("n") > most).select("component"), "component", "left_semi").select("seq", "embedding")
+        rounds = components(large, linkage_rounds(large, distance)).select("seq", F.col("component").alias("cluster"))
+        linked = linked.unionByName(rounds)
     return linked.unionByName(alone)
 
 
@@ -149,11 +178,12 @@ def cohesion(df: DataFrame) -> DataFrame:
 
 
 def separation(df: DataFrame) -> DataFrame:
-    """(cluster, separation): similarity to the nearest other centroid, at least 0."""
-    c = centroids(df)
-    pairs = c.alias("x").join(c.alias("y"), F.col("x.cluster") != F.col("y.cluster"))
-    return pairs.groupBy(F.col("x.cluster").alias("cluster")).agg(
-        F.greatest(F.max(dot(F.col("x.centroid"), F.col("y.centroid"))), F.lit(0.0)).alias("separation"))
+    """(cluster, separation): similarity to the nearest other centroid, at least 0; a single cluster has
+    none.  Only chunks of centroids whose bound reaches what is found already are compared."""
+    c = stored(centroids(df), "centroids").select(F.col("cluster").cast("long").alias("seq"), F.col("centroid").alias("embedding"), "cluster")
+    best = best_other(c.select("seq", "embedding"), 0.0)
+    several = c.limit(2).count() > 1
+    return c.join(best, "seq", "left").where(F.lit(several)).select("cluster", F.coalesce("similarity", F.lit(0.0)).alias("separation"))
 
 
 def size_summary(sizes: DataFrame, total: int) -> DataFrame:
