@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -11,10 +12,10 @@ from pyspark.sql import functions as F
 from clausewise.functions.arrays import chunk, merge_near_duplicates, prompt_sample
 from clausewise.functions.replies import json_body, parse_answer, parse_issues, parse_judgements
 
-from . import kpi
 from .clusters import nearest
 from .joins import search_reviews
-from .providers import call, with_reply
+from .ledger import Ledger
+from .providers import call
 from .taxonomy import COARSE, coarse_category, fine_rows, valid_key
 
 
@@ -33,24 +34,44 @@ def failed_calls(replies: DataFrame) -> DataFrame:
     return replies.agg(F.count("*").alias("calls"), F.count("error").alias("failed"))
 
 
-def knowledge_base(blocks: DataFrame, provider: Callable[[str], str], threshold: float = 0.45, size: int = 60, limit: int = 0) -> DataFrame:
-    """cluster_id, issues (by importance), clause_count (after merging near-duplicates).
+def without_failures(replies: DataFrame, what: str) -> DataFrame:
+    """The rows whose calls went well; how many did not is warned of."""
+    told = failed_calls(replies).first()
+    if told["failed"]:
+        warnings.warn(f"{told['failed']} of {told['calls']} calls failed; their {what} are left out and asked for again next time", stacklevel=3)
+    return replies.where("error is null")
+
+
+def knowledge_base(blocks: DataFrame, ledger: Ledger, threshold: float = 0.45, size: int = 60, limit: int = 0) -> DataFrame:
+    """cluster_id, issues (by importance, then by first appearance), clause_count (after merging
+    near-duplicates).
 
     Clauses are merged and cut into chunks, each chunk is one prompt, the issues of all chunks are
-    merged again and averaged by their exact text.
+    merged again and averaged by their exact text.  A block whose replies name no issue stays, with none;
+    one of which a call failed is left out and warned of; one without clauses is no block.
     """
-    rows = blocks.orderBy("cluster_id").limit(limit) if limit else blocks
+    rows = blocks.where(F.size("clauses") > 0)
+    rows = rows.orderBy("cluster_id").limit(limit) if limit else rows
     merged = rows.select("cluster_id", merge_near_duplicates(F.col("clauses"), threshold).alias("clauses"))
-    prompts = merged.select("cluster_id", F.size("clauses").alias("clause_count"), F.posexplode(chunk(F.col("clauses"), size)).alias("part", "chunk")).withColumn(
-        "prompt", F.concat(F.lit('Name the issues in these clauses as JSON {"issues":[{"issue":"..","importance":0-10}]}.\n'), bullets(F.col("chunk"))))
-    replies = with_reply(prompts.select("cluster_id", "clause_count", "part", "prompt"), provider).where("error is null")
-    issues = replies.select("cluster_id", "clause_count", "part", F.posexplode(parse_issues(F.col("reply"))).alias("n", "x")).select(
-        "cluster_id", "clause_count", F.struct("part", "n").alias("pos"), "x.issue", "x.importance")
-    ordered = issues.groupBy("cluster_id").agg(F.first("clause_count").alias("clause_count"), F.transform(
-        F.array_sort(F.collect_list(F.struct("pos", "issue"))), lambda x: x["issue"]).alias("all"))
-    kept = ordered.select("cluster_id", "clause_count", F.explode(merge_near_duplicates(F.col("all"), threshold)).alias("issue")).distinct()
-    means = kpi.issue_averages(issues.join(kept.select("cluster_id", "issue"), ["cluster_id", "issue"], "left_semi"))
-    return means.join(kept.select("cluster_id", "clause_count").distinct(), "cluster_id")
+    prompts = merged.select("cluster_id", F.size("clauses").alias("clause_count"), F.posexplode(chunk(F.col("clauses"), size)).alias("part", "chunk")).select(
+        "cluster_id", "clause_count", "part",
+        F.concat(F.lit('Name the issues in these clauses as JSON {"issues":[{"issue":"..","importance":0-10}]}.\n'), bullets(F.col("chunk"))).alias("prompt"))
+    replies = ledger.ask(prompts)
+    whole = replies.groupBy("cluster_id").agg(
+        F.first("clause_count").alias("clause_count"), F.count("error").alias("failed"),
+        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("part", parse_issues(F.col("reply")).alias("issues")))), lambda x: x["issues"])).alias("all"))
+    left_out = whole.where("failed > 0").count()
+    if left_out:
+        warnings.warn(f"{left_out} blocks are left out: a call failed", stacklevel=2)
+    kept = merge_near_duplicates(F.transform("all", lambda x: x["issue"]), threshold)
+
+    def scored(issue, at):
+        own = F.filter("all", lambda x: x["issue"] == issue)
+        mean = F.aggregate(own, F.lit(0).cast("long"), lambda s, x: s + x["importance"]) / F.size(own)
+        return F.struct((-F.bround(mean, 0)).cast("int").alias("o"), at.alias("pos"), issue.alias("issue"), F.bround(mean, 0).cast("int").alias("importance"))
+
+    return whole.where("failed = 0").withColumn("kept", kept).select(
+        "cluster_id", F.transform(F.array_sort(F.transform("kept", scored)), lambda x: F.struct(x["issue"], x["importance"])).alias("issues"), "clause_count")
 
 
 def consolidate(issues: list[dict], provider: Callable[[str], str]) -> list[dict]:
@@ -65,17 +86,19 @@ def consolidate(issues: list[dict], provider: Callable[[str], str]) -> list[dict
         return issues
 
 
-def classify(blocks: DataFrame, provider: Callable[[str], str], fine: bool = False, cache: DataFrame | None = None, report_only: bool = False,
-             fix_dash: bool = False) -> DataFrame:
+def classify(blocks: DataFrame, ledger: Ledger, fine: bool = False, cache: DataFrame | None = None, report_only: bool = False,
+             fix_dash: bool = False, limit: int = 0) -> DataFrame:
     """cluster_id, category (or subcategory_key), block_name, size of blocks that the cache lacks;
-    a reply that cannot be read is 'other' without a name, a failed call leaves the block out."""
-    todo = blocks if cache is None else blocks.join(cache.select("cluster_id"), "cluster_id", "left_anti")
+    a reply that cannot be read, and a block without clauses (no call), is 'other' without a name; a
+    failed call leaves the block out and is warned of."""
+    some = blocks.orderBy("cluster_id").limit(limit) if limit else blocks
+    todo = some if cache is None else some.join(cache.select("cluster_id"), "cluster_id", "left_anti")
     if report_only:
         todo = todo.limit(0)
     keys = [r[3] for r in fine_rows()] if fine else [k for k, _ in COARSE]
     ask = f"Choose one of {', '.join(keys)} and a short name, as JSON {{\"category\":\"..\",\"block_name\":\"..\"}}.\n"
-    prompts = todo.select("cluster_id", "size", F.concat(F.lit(ask), bullets(prompt_sample(F.col("clauses")))).alias("prompt"))
-    got = with_reply(prompts, provider).where("error is null").withColumn(
+    prompts = todo.select("cluster_id", "size", F.when(F.size("clauses") > 0, F.concat(F.lit(ask), bullets(prompt_sample(F.col("clauses"))))).alias("prompt"))
+    got = without_failures(ledger.ask(prompts), "blocks").withColumn(
         "j", F.from_json(json_body(F.col("reply")), "category string, subcategory string, block_name string"))
     said = F.coalesce("j.category", "j.subcategory", F.lit(""))
     name = F.coalesce(F.col("j.block_name"), F.lit(""))
@@ -84,12 +107,12 @@ def classify(blocks: DataFrame, provider: Callable[[str], str], fine: bool = Fal
     return got.select("cluster_id", coarse_category(said, fix_dash=fix_dash).alias("category"), name.alias("block_name"), "size")
 
 
-def judge(reviews: DataFrame, provider: Callable[[str], str], size: int = 5) -> DataFrame:
+def judge(reviews: DataFrame, ledger: Ledger, size: int = 5) -> DataFrame:
     """seq (dense from 1), text, location -> location, judgement, action of the negative ones."""
     batch = F.floor((F.col("seq") - 1) / size)
     grouped = reviews.groupBy(batch.alias("batch")).agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", "text"))), lambda x: x["text"]).alias("texts"))
     prompts = grouped.select("batch", F.concat(F.lit("Judge:\n"), numbered(F.col("texts"), F.col("batch") * size + 1, None)).alias("prompt"))
-    got = with_reply(prompts, provider).where("error is null").select(F.explode(parse_judgements(F.col("reply"))).alias("j")).select("j.*")
+    got = without_failures(ledger.ask(prompts), "reviews").select(F.explode(parse_judgements(F.col("reply"))).alias("j")).select("j.*")
     return judgement_rows(got, reviews)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,6 +16,7 @@ from clausewise.operators import kpi as K
 from clausewise.operators import knowledge as KB
 from clausewise.operators import reviews as R
 from clausewise.operators import taxonomy as T
+from clausewise.operators.ledger import Ledger
 from clausewise.sources import readers, writers
 from clausewise.sources.shared import fresh
 
@@ -383,6 +386,28 @@ def issue_avg(spark, d):
     return K.issue_averages(rows).select("cluster_id", F.array_join(F.transform("issues", lambda x: F.concat_ws(":", x["issue"], x["importance"].cast("string"))), ",").alias("issues"))
 
 
+def named_issues(prompt: str) -> str:
+    """A provider whose replies follow from the prompt alone: each clause is an issue of its first letters."""
+    found = [c[:24] for c in prompt.split("\n- ")[1:]]
+    return "Here:\n```json\n" + json.dumps({"issues": [{"issue": c, "importance": len(c.split(" ")[0])} for c in found]}) + "\n```"
+
+
+_MERGED = """list_reduce(list_transform({list}, lambda t: [t]), lambda acc, x:
+    CASE WHEN len(list_filter(acc, lambda k: {jac} >= 0.45)) > 0 THEN acc ELSE list_concat(acc, x) END)""".replace("{jac}", _JAC.format(a=_ISSUE.format("k"), b=_ISSUE.format("x[1]")))
+
+
+@query(_LISTS + f""", m AS (SELECT conv_id, {_MERGED.replace('{list}', 'texts')} AS kept FROM c),
+    i AS (SELECT conv_id, len(kept) AS n, list_filter(list_transform(kept, lambda t: {{'issue': trim(t[1:24], ' '), 'importance': least(10, length(string_split(t[1:24], ' ')[1]))}}), lambda x: x.issue <> '') AS a FROM m),
+    k AS (SELECT conv_id, n, a, CASE WHEN len(a) = 0 THEN [] ELSE {_MERGED.replace('{list}', 'list_transform(a, lambda x: x.issue)')} END AS kept FROM i),
+    s AS (SELECT conv_id, n, list_transform(kept, lambda t, at: {{'o': -round_even(list_avg(list_transform(list_filter(a, lambda x: x.issue = t), lambda x: x.importance)), 0), 'at': at, 'issue': t}}) AS s FROM k)
+    SELECT conv_id AS cluster_id, CAST(n AS INTEGER) AS clause_count, array_to_string(list_transform(list_sort(s), lambda x: x.issue || ':' || CAST(-x.o AS INTEGER)), '|') AS issues FROM s""")
+def knowledge_base(spark, d):
+    blocks = _lists(spark, d).select(F.col("conv_id").alias("cluster_id"), F.col("texts").alias("clauses"))
+    ledger = Ledger(spark, fresh(spark, "ledger"), named_issues, model="named", every=2000)
+    return KB.knowledge_base(blocks, ledger, size=4).select(
+        "cluster_id", "clause_count", F.array_join(F.transform("issues", lambda x: F.concat_ws(":", x["issue"], x["importance"].cast("string"))), "|").alias("issues"))
+
+
 # ---- taxonomy --------------------------------------------------------------
 
 _COARSE = "(VALUES " + ", ".join("({}, '{}', '{}')".format(i, k, t.replace("'", "''")) for i, (k, t) in enumerate(T.COARSE)) + ") AS c(ord, category, category_label)"

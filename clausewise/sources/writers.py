@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .steps import in_steps
+
 
 def csv(df: DataFrame, path: str, single: bool = False) -> None:
     """CSV with a header; lines end in a carriage return and a line feed."""
@@ -49,15 +51,13 @@ def vector_index(df: DataFrame, path: str) -> None:
     flat.repartitionByRange("position").sortWithinPartitions("position").write.mode("overwrite").parquet(path)
 
 
-def append_cache(df: DataFrame, path: str, every: int | None = None, key: str = "cluster_id") -> None:
-    """Append-only cache; the newest row of a key wins on reading.  With ``every`` the rows are made
-    and written about so many at a time, so a run that breaks off loses no more than that."""
-    if not every:
-        df.withColumn("written", F.current_timestamp()).write.mode("append").parquet(path)
-        return
-    steps = max(1, -(-df.select(key).count() // every))
-    for step in range(steps):
-        append_cache(df.where(F.pmod(F.xxhash64(key), F.lit(steps)) == step), path)
+def append_cache(df: DataFrame, path: str, every: int | None = None, make=None) -> None:
+    """Append-only cache; the newest row of a key wins on reading.  With ``every`` the rows are written
+    about so many at a time, so a run that breaks off loses no more than that; ``make`` turns the
+    rows of a step into cache rows (costly work, a model's say) and sees every row once.  ``df`` itself is
+    computed once."""
+    for step in in_steps(df, every, "cache-rows") if every else [df]:
+        (make(step) if make else step).withColumn("written", F.current_timestamp()).write.mode("append").parquet(path)
 
 
 def read_cache(spark, path: str, key: str = "cluster_id") -> DataFrame:

@@ -14,6 +14,7 @@ from clausewise.operators import clusters as C
 from clausewise.operators import joins as JN
 from clausewise.operators import knowledge as KB
 from clausewise.operators import taxonomy as T
+from clausewise.operators.ledger import Ledger
 from clausewise.operators.providers import HashEmbedding, LexiconSentiment, call
 from clausewise.plans import pipeline
 from clausewise.plans import queries as P
@@ -87,15 +88,17 @@ def test_pipeline_and_knowledge_base(spark, tmp_path):
     again = pipeline.run(spark, reviews, places, LexiconSentiment(), HashEmbedding(16), folder=f"file://{tmp_path}/out", start=6)
     assert again.count() == 1
     blocks = spark.createDataFrame([(1, ["dirty room", "dirty room", "long queue"], 3)], "cluster_id int, clauses array<string>, size int")
-    kb = KB.knowledge_base(blocks, lambda p: '{"issues":[{"issue":"Dirty room","importance":8},{"issue":"Queue","importance":2}]}').first()
+    books = iter(range(99))
+    ledger = lambda provider: Ledger(spark, f"file://{tmp_path}/ledger{next(books)}", provider, pause=0)
+    kb = KB.knowledge_base(blocks, ledger(lambda p: '{"issues":[{"issue":"Dirty room","importance":8},{"issue":"Queue","importance":2}]}')).first()
     assert kb["clause_count"] == 2 and [i[0] for i in kb["issues"]] == ["Dirty room", "Queue"]
-    cat = KB.classify(blocks, lambda p: '{"category":"Overcrowding","block_name":"b"}').first()
+    cat = KB.classify(blocks, ledger(lambda p: '{"category":"Overcrowding","block_name":"b"}')).first()
     assert (cat["category"], cat["block_name"]) == ("overcrowding", "b")
-    assert KB.classify(blocks, lambda p: "junk", fine=True).first()["subcategory_key"] == "other"
+    assert KB.classify(blocks, ledger(lambda p: "junk"), fine=True).first()["subcategory_key"] == "other"
     writers.append_cache(blocks.select("cluster_id"), f"file://{tmp_path}/cache")
-    assert KB.classify(blocks, lambda p: "", cache=writers.read_cache(spark, f"file://{tmp_path}/cache")).count() == 0
+    assert KB.classify(blocks, ledger(lambda p: ""), cache=writers.read_cache(spark, f"file://{tmp_path}/cache")).count() == 0
     judged = KB.judge(spark.createDataFrame([(1, "bad", "Here")], "seq int, text string, location string"),
-                      lambda p: '[{"index":1,"reason":"r","action_items":["a","b"]},{"index":9,"reason":"q","action_items":[]}]')
+                      ledger(lambda p: '[{"index":1,"reason":"r","action_items":["a","b"]},{"index":9,"reason":"q","action_items":[]}]'))
     assert sorted(tuple(r) for r in judged.collect()) == [("Here", "r", "a; b"), ("Review 9", "q", "")]
     engine = KB.Engine(again, HashEmbedding(16), lambda p: '{"summary":"s","actions":["a"]}')
     answer = engine.ask("terrible room")
