@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import warnings
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -129,29 +129,60 @@ def judgements(spark: SparkSession, path: str) -> DataFrame:
 
 # Keys that may hold the clauses of a block, and the text of a clause, in order of priority.
 BLOCK_KEYS = ("clauses", "items", "members", "samples", "text", "issue", "issues")
-TEXT_KEYS = ("clause_text", "clause", "text", "issue")
+TEXT_KEYS = ("clause_text", "clause", "text")
 
 
-def block_texts(line):
-    """Clauses of one JSON line: a string, a list of strings or objects, or an object under one of
-    the keys; anything else has none."""
+def block_texts(line: Column, depth: int = 32) -> Column:
+    """Clauses of one JSON line of any shape.
+
+    A string is its own clause.  A list gives its strings and the texts of its objects; other
+    elements, lists among them, give none.  An object is searched under each of the keys in turn, in the
+    same way, and the first that gives any clause counts; if none does, the object itself is one
+    clause, by its text.  The text of an object is the first of its text keys that holds something (an
+    empty string, a zero, false, null or an empty list does not), if that is a string.  Blank strings
+    are no clauses.  A line that is no JSON has none.  Objects are followed ``depth`` deep.
+
+    The walk is one expression: each of ``depth`` steps turns the objects reached so far into what lies
+    under their keys.  Every place has a path of key numbers, an object's own text comes after all of its
+    keys, and the clauses of the least path that has any are the answer.
+    """
+    def kind(v):
+        return F.schema_of_variant(v)
+
+    def holds(v):
+        return v.isNotNull() & ~F.to_json(v).isin("null", '""', "false", "[]", "{}") & F.coalesce(
+            F.when(~kind(v).isin("STRING", "BOOLEAN") & ~kind(v).rlike("^(OBJECT|ARRAY)"), F.try_variant_get(v, "$", "double") != 0), F.lit(True))
+
+    def string(v):
+        own = F.try_variant_get(v, "$", "string")
+        return F.when((kind(v) == "STRING") & not_blank(own), own)
+
+    def text_of(v):
+        said = [F.try_variant_get(v, f"$.{k}", "variant") for k in TEXT_KEYS]
+        chosen = F.when(holds(said[0]), said[0]).when(holds(said[1]), said[1]).otherwise(said[2])
+        return string(chosen)
+
+    def texts(x):
+        own = F.when(kind(x["v"]).startswith("ARRAY"), F.transform(
+            F.try_variant_get(x["v"], "$", "array<variant>"), lambda v: F.when(kind(v).startswith("OBJECT"), text_of(v)).otherwise(string(v))))
+        own = own.when(kind(x["v"]).startswith("OBJECT"), F.array(text_of(x["v"]))).otherwise(F.array(string(x["v"])))
+        path = F.when(kind(x["v"]).startswith("OBJECT"), F.concat(x["path"], F.lit(str(len(BLOCK_KEYS))))).otherwise(x["path"])
+        return F.struct(path.alias("path"), F.array_compact(own).alias("texts"))
+
+    def under(x):
+        held = F.array(*[F.struct(F.concat(x["path"], F.lit(str(i))).alias("path"), F.try_variant_get(x["v"], f"$.{k}", "variant").alias("v")) for i, k in enumerate(BLOCK_KEYS)])
+        return F.filter(held, lambda y: y["v"].isNotNull())
+
+    def step(state, _):
+        found = F.filter(F.transform(state["open"], texts), lambda x: F.size(x["texts"]) > 0)
+        objects = F.filter(state["open"], lambda x: kind(x["v"]).startswith("OBJECT"))
+        return F.struct(F.flatten(F.transform(objects, under)).alias("open"), F.concat(state["found"], found).alias("found"))
+
     v = F.try_parse_json(line)
-    as_list = F.try_variant_get(v, "$", "array<variant>")
-
-    def item(x):
-        own = F.try_variant_get(x, "$", "string")
-        inner = F.coalesce(*[F.try_variant_get(x, f"$.{k}", "string") for k in TEXT_KEYS])
-        return F.when(F.schema_of_variant(x).startswith("OBJECT"), inner).otherwise(own)
-
-    def items(a):
-        return F.filter(F.transform(a, item), lambda t: t.isNotNull() & (F.trim(t) != ""))
-
-    out = F.array().cast("array<string>")
-    for k in reversed(BLOCK_KEYS):
-        inner, text = F.try_variant_get(v, f"$.{k}", "array<variant>"), F.try_variant_get(v, f"$.{k}", "string")
-        out = F.when(inner.isNotNull(), items(inner)).when(text.isNotNull() & (F.trim(text) != ""), F.array(text)).otherwise(out)
-    one = F.try_variant_get(v, "$", "string")
-    return F.when(as_list.isNotNull(), items(as_list)).when(F.schema_of_variant(v) == "STRING", F.array(one)).otherwise(out)
+    start = F.struct(
+        F.when(v.isNotNull(), F.array(F.struct(F.lit("").alias("path"), v.alias("v")))).otherwise(F.array().cast("array<struct<path:string,v:variant>>")).alias("open"),
+        F.array().cast("array<struct<path:string,texts:array<string>>>").alias("found"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), start, step, lambda s: F.coalesce(F.array_min(s["found"])["texts"], F.array().cast("array<string>")))
 
 
 def load_env(path: str) -> dict[str, str]:
