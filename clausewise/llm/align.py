@@ -183,7 +183,7 @@ class Alignment:
         return [view[x : max(x, y - 1)] for x, y in zip(at, at[1:], strict=False)]
 
 
-def align(docs: DataFrame, first: str, second: str, slice_bytes: int = 6 << 20) -> DataFrame:
+def align(docs: DataFrame, first: str, second: str, slice_bytes: int = 2 << 20) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 of every row of ``docs``.
 
     ``first``: file of a byte-level BPE, which gets a blank before the text; ``second``: piece model, which
@@ -228,6 +228,7 @@ def align(docs: DataFrame, first: str, second: str, slice_bytes: int = 6 << 20)
                     reach = np.concatenate([[0], np.cumsum(entries.size[ids])])
                     good &= faithful(data, edge, entries.joined(ids), reach[bounds])
                     sides.append((ids, entries.size, bounds))
+                    del reach
                 if not good.all():
                     sides = [(ids[np.repeat(good, np.diff(b))], size, np.concatenate([[0], np.cumsum(np.diff(b)[good])])) for ids, size, b in sides]
                     full, edge = full[good], np.concatenate([[0], np.cumsum(np.diff(edge)[good])])
@@ -240,6 +241,7 @@ def align(docs: DataFrame, first: str, second: str, slice_bytes: int = 6 << 20)
                 for k, text in zip(full.tolist(), found.groups(a, b), strict=True):
                     shas[k] = hashlib.sha256(text).hexdigest()
                 asked, inverse = np.unique(a[found.link_a] << 32 | b[found.link_b], return_inverse=True)
+                sides.clear()
                 owner = np.repeat(full, np.diff(found.link_edge))
                 place, times = np.unique(owner * len(asked) + inverse, return_counts=True)
                 pair, owner = place % len(asked), place // len(asked)
