@@ -15,6 +15,7 @@ from clausewise.functions.replies import json_body, parse_answer, parse_issues,
 from .clusters import nearest
 from .joins import search_reviews
 from .ledger import Ledger
+from .ordered_merge import merge_lists
 from .providers import call
 from .taxonomy import COARSE, coarse_category, fine_rows, valid_key
 
@@ -52,7 +53,7 @@ def knowledge_base(blocks: DataFrame, ledger: Ledger, threshold: float = 0.45, s
     """
     rows = blocks.where(F.size("clauses") > 0)
     rows = rows.orderBy("cluster_id").limit(limit) if limit else rows
-    merged = rows.select("cluster_id", merge_near_duplicates(F.col("clauses"), threshold).alias("clauses"))
+    merged = merge_lists(rows, "cluster_id", "clauses", threshold)
     prompts = merged.select("cluster_id", F.size("clauses").alias("clause_count"), F.posexplode(chunk(F.col("clauses"), size)).alias("part", "chunk")).select(
         "cluster_id", "clause_count", "part",
         F.concat(F.lit('Name the issues in these clauses as JSON {"issues":[{"issue":"..","importance":0-10}]}.\n'), bullets(F.col("chunk"))).alias("prompt"))

@@ -63,6 +63,7 @@ def pack(rows: DataFrame, cells: int | None = None, chunk_bytes: int = 1 << 20)
     root of the rows, 1,024 at most; pivots come from the four rows a cell of least hash."""
     import pyarrow as pa
 
+    rows = rows.select(F.col("seq").cast("long").alias("seq"), F.col("embedding").cast("array<double>").alias("embedding"))
     n = rows.count()
     cells = cells or min(MOST_CELLS, max(1, math.isqrt(n)))
     sample = rows.orderBy(F.xxhash64("seq"), "seq").limit(4 * cells).select("embedding").collect()  # bounded by the cells
@@ -111,7 +112,7 @@ def pack(rows: DataFrame, cells: int | None = None, chunk_bytes: int = 1 << 20)
         if held:
             yield chunk(now, held)
 
-    placed = rows.select("seq", "embedding").mapInArrow(assign, "seq long, embedding array<double>, cell int, gap double")
+    placed = rows.mapInArrow(assign, "seq long, embedding array<double>, cell int, gap double")
     ranged = placed.repartitionByRange("cell", "gap", "seq").sortWithinPartitions("cell", "gap", "seq")
     table = stored(ranged.mapInArrow(build, CHUNK), "chunks")
     reach, norm = np.full(len(pivots), -1.0), np.zeros(len(pivots))

@@ -9,10 +9,16 @@ from clausewise.functions.text import clean_text, detect_lang, not_blank, split_
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """``df`` over all cores: a table of fewer partitions than cores (one small file, say) is dealt
-    anew before a step that costs far more than a shuffle; others stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """``df`` over all cores, before a step that costs far more than a shuffle: a table that is estimated to be
+    smaller than a split for each core may lie in one file of one split, and is dealt anew.  Others,
+    and streams, stay as they are; no job runs to decide."""
+    if df.isStreaming:
+        return df
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * split else df
 
 
 def clause_reviews(df: DataFrame, min_words: int = 3, semicolons: bool = False) -> DataFrame:

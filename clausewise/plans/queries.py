@@ -16,7 +16,10 @@ from clausewise.operators import kpi as K
 from clausewise.operators import knowledge as KB
 from clausewise.operators import reviews as R
 from clausewise.operators import taxonomy as T
+from clausewise.operators.keywords import first_of_keywords
 from clausewise.operators.ledger import Ledger
+from clausewise.operators.ordered_merge import merge_ordered
+from clausewise.operators.review_index import search_many, write_review_index
 from clausewise.sources import readers, writers
 from clausewise.sources.shared import fresh
 
@@ -264,6 +267,16 @@ def near_dup_merge(spark, d):
     return _lists(spark, d).withColumn("k", kept).select("conv_id", F.size("k").alias("n"), F.md5(F.array_join("k", "|")).alias("kept"))
 
 
+@query(f"""WITH t AS (SELECT role, conv_id * 1000 + turn AS pos, text, {_ISSUE.format('text')} AS t FROM conversations),
+    c AS (SELECT role, list({{'pos': pos, 't': t}} ORDER BY pos) AS l FROM t GROUP BY role),
+    m AS (SELECT role, list_reduce(list_transform(l, lambda x: [x]), lambda acc, x:
+        CASE WHEN len(list_filter(acc, lambda k: {_JAC.format(a='k.t', b='x[1].t')} >= 0.45)) > 0 THEN acc ELSE list_concat(acc, x) END) AS kept FROM c)
+    SELECT role, CAST(unnest(list_transform(kept, lambda k: k.pos)) AS BIGINT) AS pos FROM m""")
+def ordered_merge(spark, d):
+    rows = table(spark, d, "conversations").select(F.col("role").alias("list"), (F.col("conv_id") * 1000 + F.col("turn")).alias("pos"), "text")
+    return merge_ordered(rows).select(F.col("list").alias("role"), "pos")
+
+
 @query(f"""WITH p AS (SELECT conv_id, turn, {_ISSUE.format('text')} AS t FROM conversations),
     q AS (SELECT *, lag(t) OVER (PARTITION BY conv_id ORDER BY turn) AS u FROM p)
     SELECT conv_id, turn, round({_JAC.format(a='t', b='u')}, 9) AS jaccard FROM q WHERE u IS NOT NULL""")
@@ -386,6 +399,28 @@ def issue_avg(spark, d):
     return K.issue_averages(rows).select("cluster_id", F.array_join(F.transform("issues", lambda x: F.concat_ws(":", x["issue"], x["importance"].cast("string"))), ",").alias("issues"))
 
 
+_SAY = "'\"' || lang || ' ' || doc_id || '\"'"
+_RAW = f"""CASE doc_id % 6 WHEN 0 THEN '{{"issues":[{{"issue":' || {_SAY} || ',"importance":' || n_chars / 100.0 || '}},{{"issue":" ","importance":3}}]}}'
+    WHEN 1 THEN 'Sure:' || chr(10) || '```json' || chr(10) || '{{"issues":[{{"issue":' || {_SAY} || ',"importance":"2.5"}}]}}' || chr(10) || '```' || chr(10) || 'bye'
+    WHEN 2 THEN 'no json, ' || lang WHEN 3 THEN 'x {{"issues":[{{"issue":' || {_SAY} || ',"importance":11}},{{"issue":"Noise","importance":"x"}},{{"issue":"Staff"}}]}} y'
+    WHEN 4 THEN '{{"issues":[]}}' ELSE '{{"issues":[{{"issue":' || {_SAY} || ',"importance":-1}},{{"issue":"B","importance":' || (doc_id % 9 + 0.5) || '}}]}}' END"""
+
+
+@query(f"""WITH r AS (SELECT doc_id, {_RAW} AS raw FROM documents),
+    b AS (SELECT doc_id, regexp_extract(CASE WHEN contains(raw, '```') THEN string_split(raw, '```')[2] ELSE raw END, '(?s)\\{{.*\\}}') AS body FROM r),
+    i AS (SELECT doc_id, unnest(json_transform(body, '{{"issues":[{{"issue":"VARCHAR","importance":"VARCHAR"}}]}}').issues) AS x FROM b WHERE body <> '')
+    SELECT doc_id, trim(x.issue) AS issue, CAST(greatest(0, least(10, round_even(coalesce(try_cast(x.importance AS DOUBLE), 0), 0))) AS INTEGER) AS importance
+    FROM i WHERE trim(x.issue) <> ''""")
+def issue_replies(spark, d):
+    say = F.concat(F.lit('{"issues":[{"issue":"'), "lang", F.lit(" "), "doc_id", F.lit('","importance":'))
+    kind = F.col("doc_id") % 6
+    raw = (F.when(kind == 0, F.concat(say, (F.col("n_chars") / 100).cast("string"), F.lit('},{"issue":" ","importance":3}]}')))
+           .when(kind == 1, F.concat(F.lit("Sure:\n```json\n"), say, F.lit('"2.5"}]}\n```\nbye'))).when(kind == 2, F.concat(F.lit("no json, "), "lang"))
+           .when(kind == 3, F.concat(F.lit("x "), say, F.lit('11},{"issue":"Noise","importance":"x"},{"issue":"Staff"}]} y'))).when(kind == 4, F.lit('{"issues":[]}'))
+           .otherwise(F.concat(say, F.lit('-1},{"issue":"B","importance":'), (F.col("doc_id") % 9 + 0.5).cast("string"), F.lit("}]}"))))
+    return table(spark, d, "documents").select("doc_id", F.explode(J.parse_issues(raw)).alias("x")).select("doc_id", "x.issue", "x.importance")
+
+
 def named_issues(prompt: str) -> str:
     """A provider whose replies follow from the prompt alone: each clause is an issue of its first letters."""
     found = [c[:24] for c in prompt.split("\n- ")[1:]]
@@ -399,7 +434,7 @@ _MERGED = """list_reduce(list_transform({list}, lambda t: [t]), lambda acc, x:
 @query(_LISTS + f""", m AS (SELECT conv_id, {_MERGED.replace('{list}', 'texts')} AS kept FROM c),
     i AS (SELECT conv_id, len(kept) AS n, list_filter(list_transform(kept, lambda t: {{'issue': trim(t[1:24], ' '), 'importance': least(10, length(string_split(t[1:24], ' ')[1]))}}), lambda x: x.issue <> '') AS a FROM m),
     k AS (SELECT conv_id, n, a, CASE WHEN len(a) = 0 THEN [] ELSE {_MERGED.replace('{list}', 'list_transform(a, lambda x: x.issue)')} END AS kept FROM i),
-    s AS (SELECT conv_id, n, list_transform(kept, lambda t, at: {{'o': -round_even(list_avg(list_transform(list_filter(a, lambda x: x.issue = t), lambda x: x.importance)), 0), 'at': at, 'issue': t}}) AS s FROM k)
+    s AS (SELECT conv_id, n, list_transform(kept, lambda t, i: {{'o': -round_even(list_avg(list_transform(list_filter(a, lambda x: x.issue = t), lambda x: x.importance)), 0), 'i': i, 'issue': t}}) AS s FROM k)
     SELECT conv_id AS cluster_id, CAST(n AS INTEGER) AS clause_count, array_to_string(list_transform(list_sort(s), lambda x: x.issue || ':' || CAST(-x.o AS INTEGER)), '|') AS issues FROM s""")
 def knowledge_base(spark, d):
     blocks = _lists(spark, d).select(F.col("conv_id").alias("cluster_id"), F.col("texts").alias("clauses"))
@@ -465,6 +500,20 @@ def coarse_category(spark, d):
     return spark.createDataFrame(ANSWERS, "id long, reply string").select("id", T.coarse_category(F.col("reply")).alias("category"))
 
 
+_ECHO = "CASE doc_id % 5 WHEN 0 THEN category_label WHEN 1 THEN category WHEN 2 THEN ' ' || upper(category_label) || ' ' WHEN 3 THEN replace(category_label, '–', '-') ELSE source END"
+
+
+@query(f"""WITH e AS (SELECT doc_id, lower(trim({_ECHO}, ' ')) AS said FROM documents JOIN {_COARSE} ON doc_id % 21 = ord)
+    SELECT doc_id, coalesce(category, 'other') AS category FROM e LEFT JOIN {_COARSE} ON said = category OR said = replace(lower(category_label), '–', '-')""")
+def category_replies(spark, d):
+    dim = T.coarse_dim(spark)
+    rows = table(spark, d, "documents").withColumn("ord", F.col("doc_id") % 21).join(dim, "ord")
+    kind = F.col("doc_id") % 5
+    said = (F.when(kind == 0, F.col("category_label")).when(kind == 1, F.col("category")).when(kind == 2, F.concat(F.lit(" "), F.upper("category_label"), F.lit(" ")))
+            .when(kind == 3, F.translate("category_label", "–", "-")).otherwise(F.col("source")))
+    return rows.select("doc_id", T.coarse_category(said).alias("category"))
+
+
 @query("SELECT o_orderkey AS cluster_id, o_totalprice FROM orders o WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_quantity > 45)")
 def anti_cache(spark, d):
     cache = table(spark, d, "lineitem").where("l_quantity > 45").select(F.col("l_orderkey").alias("cluster_id"))
@@ -584,6 +633,21 @@ def place_overlap(spark, d):
     return JN.place_overlap(table(spark, d, "documents").select(F.col("doc_id").alias("review_id"), "text"), _places(spark))
 
 
+@query(f"""SELECT CAST(min(p_partkey) AS BIGINT) AS seq FROM (SELECT p_partkey, list_sort({_PLACE.format("p_name || ' ' || p_brand")}) AS t FROM part) WHERE len(t) > 0 GROUP BY t""")
+def places_of_parts(spark, d):
+    return JN.distinct_places(table(spark, d, "part").select(F.col("p_partkey").alias("seq"), F.concat_ws(" ", "p_name", "p_brand").alias("place"))).select("seq")
+
+
+@query("""WITH k AS (SELECT item_id AS seq, substr(text, 1, 14) AS keyword FROM benchmark UNION ALL SELECT 100000 + row_number() OVER (ORDER BY lang), lang || 'e ' FROM (SELECT DISTINCT lang FROM documents)),
+    m AS (SELECT doc_id, min(seq) AS seq FROM documents JOIN k ON contains(lower(text), lower(keyword)) GROUP BY 1)
+    SELECT doc_id, keyword FROM documents LEFT JOIN m USING (doc_id) LEFT JOIN k USING (seq)""")
+def keyword_table(spark, d):
+    langs = table(spark, d, "documents").select("lang").distinct().select(
+        (F.row_number().over(Window.orderBy("lang")) + 100000).cast("long").alias("seq"), F.concat("lang", F.lit("e ")).alias("keyword"))  # a row a language
+    keys = table(spark, d, "benchmark").select(F.col("item_id").alias("seq"), F.substring("text", 1, 14).alias("keyword")).unionByName(langs)
+    return first_of_keywords(table(spark, d, "documents"), keys).select("doc_id", "keyword")
+
+
 _ROUTE_PLACES = "(SELECT p_name || ' ' || p_type AS place, min(p_partkey) AS seq FROM part GROUP BY 1)"
 _PLAIN_PLACE = _PLACE.replace(quoted(X.PLACE_STOPWORDS), quoted(X.PLACE_STOPWORDS + X.GENERIC_PLACE_WORDS))
 ROUTES = ["the red widget and the large ring", "economy ring", "no such words at all"]
@@ -624,6 +688,28 @@ def cluster_topk(spark, d):
     return JN.worst_of_place(_rated(spark, d)).select("review_id")
 
 
+_QUESTION = "CASE WHEN item_id % 5 = 0 THEN substr(text, 1, 40) || ' large ring' WHEN item_id % 5 = 1 THEN 'the of' ELSE substr(text, 1, 60) END"
+_KNOWN = f"SELECT min_by(p_name || ' ' || p_type, p_partkey) AS place, min(p_partkey) AS seq FROM part GROUP BY list_sort({_PLACE.format(chr(112) + '_name || chr(32) || p_type')}) HAVING len(list_sort({_PLACE.format(chr(112) + '_name || chr(32) || p_type')})) > 0"
+
+
+@query(f"""WITH {_RATED}, q AS (SELECT item_id, {_PLACE.format(_QUESTION)} AS t FROM benchmark), d AS (SELECT doc_id, rating, date, {_PLACE.format('text')} AS t FROM r),
+    p AS ({_KNOWN}), pr AS (SELECT place, seq, {_PLACE.format('place')} AS t, {_PLAIN_PLACE.format('place')} AS u FROM p),
+    o AS (SELECT item_id, place, seq, len(u) AS n, len(q.t) AS m, len(list_intersect(q.t, u)) AS overlap FROM q, pr WHERE len(u) > 0 AND len(list_intersect(q.t, u)) > 0),
+    w AS (SELECT item_id, place FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY overlap DESC, overlap / n DESC, seq) AS k FROM o WHERE overlap / m >= 0.25) WHERE k = 1),
+    l AS (SELECT item_id, place, doc_id, row_number() OVER (PARTITION BY item_id ORDER BY rating, date, doc_id) AS rank FROM w JOIN pr USING (place) JOIN d ON list_has_any(d.t, pr.t)),
+    z AS (SELECT * FROM q WHERE item_id NOT IN (SELECT item_id FROM l)),
+    g AS (SELECT item_id, doc_id, row_number() OVER (PARTITION BY item_id ORDER BY len(list_intersect(z.t, d.t)) DESC, rating, doc_id) AS rank FROM z JOIN d ON list_has_any(z.t, d.t)),
+    e AS (SELECT item_id, doc_id, row_number() OVER (PARTITION BY item_id ORDER BY date DESC, doc_id) AS rank FROM z, d WHERE len(z.t) = 0)
+    SELECT item_id AS question, CAST(rank AS INTEGER) AS rank, doc_id AS review_id, place FROM (SELECT item_id, rank, doc_id, place FROM l UNION ALL SELECT item_id, rank, doc_id, NULL FROM g UNION ALL SELECT item_id, rank, doc_id, NULL FROM e) WHERE rank <= 15""")
+def questions_together(spark, d):
+    path = fresh(spark, "review-index")
+    places = table(spark, d, "part").groupBy(F.concat_ws(" ", "p_name", "p_type").alias("place")).agg(F.min("p_partkey").alias("seq"))
+    write_review_index(_rated(spark, d), places, path)
+    kind = F.col("item_id") % 5
+    question = F.when(kind == 0, F.concat(F.substring("text", 1, 40), F.lit(" large ring"))).when(kind == 1, F.lit("the of")).otherwise(F.substring("text", 1, 60))
+    return search_many(spark, path, table(spark, d, "benchmark").select(F.col("item_id").alias("question"), question.alias("text")))
+
+
 @query("""SELECT coalesce(s_name, 'Review ' || i) AS location_name, 'r' || i AS judgement, CASE WHEN i % 2 = 0 THEN 'a; b' ELSE '' END AS action
     FROM range(0, 120, 7) AS t(i) LEFT JOIN supplier ON s_suppkey = i AND i > 0""")
 def judge_lookup(spark, d):
@@ -750,6 +836,25 @@ def block_lines(spark, d):
     return readers.block_lines(spark, path).withColumn("clauses", F.array_join("clauses", "|"))
 
 
+#: (line, clauses) by doc_id % 14: X stands for a string of the row, in the line and in its clauses.
+SHAPES = [
+    ('"X"', "X"), ('["X", {"clause_text": "b X"}, " ", 7, ["no"], {"text": ""}]', "X|b X"), ('{"clauses": [], "text": "X"}', "X"), ('{"clause_text": "X"}', "X"),
+    ('{"clause": "X", "size": 3}', "X"), ('{"issues": [{"issue": "X"}]}', None), ('{"clauses": {"items": ["deep X"]}}', "deep X"), ('[{"clause_text": "", "text": "X"}, {"clause_text": " ", "text": "no"}]', "X"),
+    ('[1, "X"]', "X"), ('{"clauses": {"clauses": {"items": {"members": {"samples": ["five X"]}}}}}', "five X"), ('{"clauses": {"text": " "}, "items": {"clause": "own X"}, "text": "later"}', "own X"),
+    ("X is no JSON", None), ('{"members": [{"clause": "X"}, {"text": "and X"}], "issue": "no"}', "X|and X"), ('{"issue": 4, "issues": ["X"], "clause": "no"}', "X"),
+]
+_SHAPES = "CASE doc_id % 14 " + " ".join(f"WHEN {i} THEN replace('{c}', 'X', lang || ' ' || doc_id)" for i, (_, c) in enumerate(SHAPES) if c) + " END"
+
+
+@query(f"SELECT CAST(row_number() OVER (ORDER BY doc_id) AS INTEGER) AS cluster_id, c AS clauses FROM (SELECT doc_id, {_SHAPES} AS c FROM documents) WHERE c IS NOT NULL")
+def block_shapes(spark, d):
+    path, line = fresh(spark, "shapes"), F.lit(None).cast("string")
+    for i, (shape, _) in enumerate(SHAPES):
+        line = F.when(F.col("doc_id") % len(SHAPES) == i, F.replace(F.lit(shape), F.lit("X"), F.concat_ws(" ", "lang", "doc_id"))).otherwise(line)
+    table(spark, d, "documents").repartitionByRange(3, "doc_id").sortWithinPartitions("doc_id").select(line.alias("value")).write.text(path)
+    return readers.block_lines(spark, path).withColumn("clauses", F.array_join("clauses", "|"))
+
+
 @query(f"WITH {_UNIT}, m AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS position FROM documents) "
        "SELECT position, CAST(doc_id AS VARCHAR) AS clause_id, round(v[1], 5) AS x FROM m JOIN u ON vec_id = position")
 def index_joined_by_position(spark, d):
