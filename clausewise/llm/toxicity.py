@@ -85,14 +85,14 @@ class FuzzyTrie:
         return self._state(front) if front else -1
 
     def match(self, word: str) -> tuple[str, int] | None:
-        """The nearest term (then the first in the alphabet) and its edits."""
+        """The nearest term (then the first in the alphabet) and its edits; what is remembered of other
+        words makes no difference."""
+        if len(self.moves) > self.LIMIT:  # between words: a word's own moves stay until it is done
+            self._reset()
         state, moves = self.start, self.moves
         for ch in word:
             nxt = moves.get((state, ch))
             if nxt is None:
-                if len(moves) > self.LIMIT:
-                    self._reset()
-                    return self.match(word) if state != self.start else None
                 nxt = moves[state, ch] = self._step(state, ch)
             if nxt < 0:
                 return None
