@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -36,6 +37,10 @@ OTHER = re.compile(
     r"contentinfo|cookies?|disqus|footer|gdpr|header|login|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|notification|"
     r"pager|pagination|popup|promo|related|replies|reply|respond|search|share|sharing|sidebar|signup|skip|social|"
     r"sponsor(?:ed)?|subscribe|toolbar|widget)(?:$|[\s_-])", re.I)
+#: Of these, what an article element may be that is not the article: a comment, a teaser for another page.
+ASIDE = re.compile(r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|comments?|promo|related|replies|reply|respond|sidebar|sponsor(?:ed)?|teasers?|widget)(?:$|[\s_-])", re.I)
+#: Where a name goes on with a capital or a digit (siteHeader, sidebar2).
+JOINT = re.compile(r"(?<=[a-z])(?=[A-Z0-9])")
 MAIN = re.compile(r"(?:^|[\s_-])(?:article|articlebody|main|post|entry)(?:[_-]?(?:content|body|text))?(?:$|\s)", re.I)
 
 _TAG = re.compile(
@@ -63,7 +68,8 @@ def _kind(name: str, attributes: str, inside: bool) -> int | None:
             return OTHERS
         words = " ".join((said.get("class", ""), said.get("id", ""), said.get("role", "")))
         if words.strip() and name not in ("html", "body"):
-            if OTHER.search(words) and kind is None:
+            parts = JOINT.sub(" ", words)
+            if (OTHER.search(parts) and kind is None) or (name == "article" and ASIDE.search(parts)):
                 return OTHERS
             if kind is None and (said.get("role") == "main" or said.get("itemprop", "").lower() == "articlebody" or (
                     name in ("div", "section") and MAIN.search(words))):
@@ -250,14 +256,15 @@ def keep_unique(pages: list[list[tuple[int, str]]], depth: int = 8, least: int =
         covered, _ = repeated(flat, owner, depth, least) if len(flat) else (np.zeros(0, bool), flat)
     out = []
     for parts, own in zip(pages, spans, strict=True):
-        has_article = any(kind == ARTICLE for kind, _ in parts)
+        found = [(kind, unique_runs(text, covered[a:b], depth, rest) if kind == UNDECIDED else text) for (kind, text), (a, b) in zip(parts, own, strict=True)]
+        words = Counter()
+        for kind, text in found:
+            words[kind] += len(text.split(" ")) if text else 0
+        # the article is what the markup names, unless that is a teaser beside more text of the page's own
+        article = UNDECIDED if words[UNDECIDED] > 2 * words[ARTICLE] else ARTICLE
         kept = []
-        for (kind, text), (a, b) in zip(parts, own, strict=True):
-            if kind == OTHERS or (kind == UNDECIDED and has_article):
-                continue
-            if kind == UNDECIDED:
-                text = unique_runs(text, covered[a:b], depth, rest)
-            if text:
+        for kind, text in found:
+            if kind == article and text:
                 kept.append(text)
         out.append("\n\n".join(kept))
     return out
@@ -293,7 +300,7 @@ def main_text(pages: DataFrame, depth: int = 8, least: int = 3, shard_pages: int
                 parts = blocks((x or "").replace("\0", "�"))
                 packed.append(squeeze("\0".join(f"{k}{t}" for k, t in parts).encode("utf-8", "replace")))
                 kinds = {k for k, _ in parts}
-                decides.append(UNDECIDED in kinds and ARTICLE not in kinds)
+                decides.append(UNDECIDED in kinds)
             yield pa.RecordBatch.from_arrays([ids, urls, hosts, salts, pa.array(packed, pa.binary()), pa.array(decides, pa.bool_())],
                                              names=["page_id", "url", "host", "salt", "packed", "decides"])
 
