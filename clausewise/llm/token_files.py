@@ -146,8 +146,9 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int = 0, path: st
 
     Returns the manifest: shard, path, n_docs, n_tokens, first (ids before the shard).
     A null text counts as empty and holds the end id alone; a null doc_id sorts first and is
-    stored as the least 64-bit integer; rows that repeat a doc_id stay, as rows of their own;
-    an empty table gives no files and an empty manifest.  Other columns are not read.
+    stored as the least 64-bit integer (which is read back as null); rows that repeat a doc_id stay, as
+    rows of their own, in an order that their texts give, and may lie in several shards, so a hot id makes no
+    large one; a long text is encoded whole; an empty table gives no files and an empty manifest.  Other columns are not read.
     ``shards``: by default a shard holds about ``shard_bytes`` of text.  Every attempt of a task
     writes a file of its own name and the manifest names the one that counts, so a task that runs
     again after a lost executor leaves at most a file that nobody reads.
@@ -161,7 +162,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int = 0, path: st
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
     ranged = (
         docs.select(key.alias("key"), F.coalesce("text", F.lit("")).alias("text"))
-        .repartitionByRange(shards, "key").sortWithinPartitions("key")
+        .withColumn("tie", F.xxhash64("text")).repartitionByRange(shards, "key", "tie").sortWithinPartitions("key", "tie", "text").drop("tie")
     )
 
     @lean
