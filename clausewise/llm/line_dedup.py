@@ -185,7 +185,7 @@ def repeated_runs(docs: DataFrame, run: int = 50, gram: int = 25) -> DataFrame:
     none = F.lit(None).cast("struct<a:int,b:int>")
     both = sketches.select("doc_id", "row", "total", none.alias("span")).unionByName(
         later.select("doc_id", "row", F.lit(None).cast("long").alias("total"), F.struct("a", "b").alias("span")))
-    return both.groupBy("doc_id", "row").agg(F.max("total").alias("words"), F.collect_list("span").alias("spans"))
+    return both.groupBy("doc_id", "row").agg(F.max("total").alias("words"), F.collect_set("span").alias("spans"))  # once for rows that repeat
 
 
 def delete_lines(text: str, spans: list[tuple[int, int]], run: int) -> tuple[str, int, int]:
