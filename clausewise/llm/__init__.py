@@ -1,5 +1,5 @@
 """Operators for preparing large text corpora for model training.
 
-Nothing outside this package imports it.  ``queries.py`` registers the contract queries,
-``sql.py`` holds their DuckDB counterparts where SQL can express them.
+Nothing outside this package imports it.  ``queries.py`` registers the contract queries, with their
+DuckDB counterparts where SQL can express them.
 """

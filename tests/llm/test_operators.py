@@ -93,6 +93,18 @@ def test_fuzzy_trie_is_levenshtein():
         assert trie.match(w) == ((near[0][1], near[0][0]) if near else None), w
 
 
+@pytest.mark.parametrize("limit", [0, 1, 7, 50])
+def test_matches_do_not_depend_on_the_memory(limit, monkeypatch):
+    terms = ["halfwit", "moron", "scumbag"]
+    rng = np.random.default_rng(2)
+    words = [*terms, "halfwi", "scumbags", "morn", "zebra"] + ["".join(rng.choice(list("halfwitmorn"), rng.integers(1, 9))) for _ in range(300)]
+    want = {w: toxicity.FuzzyTrie(terms).match(w) for w in words}
+    monkeypatch.setattr(toxicity.FuzzyTrie, "LIMIT", limit)
+    small = toxicity.FuzzyTrie(terms)
+    for w in [*words, *words[::-1]]:
+        assert small.match(w) == want[w], w
+
+
 def test_toxicity_learns_and_holds_out(spark):
     rng = np.random.default_rng(0)
     words = [f"{a}{b}" for a in "ba ko li mu ne po".split() for b in "dar fin gol hut jam".split()]
@@ -134,6 +146,40 @@ def test_blocks():
     assert html_text.blocks("<p>cut &am") == [(2, "cut &am")]
 
 
+def test_articles_that_are_not_the_article():
+    def text(*pages):
+        return html_text.keep_unique([html_text.blocks(p) for p in pages])
+
+    story = " ".join(f"word{i}" for i in range(60))
+    assert text('<article><p>Body text here</p></article><article class="comment"><p>reader says hi</p></article>') == ["Body text here"]
+    assert text('<article>Body<article class="user-comment x">hi</article></article>') == ["Body"]
+    assert text(f'<div class="story"><p>{story}</p></div><article><a href="/x">teaser</a></article>') == [story]
+    assert text(f'<article><p>{story}</p></article><div class="story">a few words</div>') == [story]
+    assert text('<article><p>Body</p><div class="siteHeader">no</div><div class="sidebar2">no</div><div class="userComments">no</div></article>') == ["Body"]
+    assert text('<main class="comment-page"><p>Body</p></main>') == ["Body"]
+
+
+def test_main_text_is_the_definition(spark):
+    """Pages with and without naming markup: what several pages share goes where the markup names no article."""
+    rng = np.random.default_rng(21)
+    shared = [" ".join(f"s{k}_{i}" for i in range(10)) for k in range(4)]
+    pages, parts = [], {}
+    for i in range(24):
+        own = [" ".join(f"o{x}" for x in rng.integers(0, 10**7, rng.integers(3, 30))) for _ in range(3)]
+        row = [(shared[k], True) for k in rng.permutation(4)[:2]] + [(t, False) for t in own]
+        row = [row[k] for k in rng.permutation(5)]
+        named = i % 4 == 0
+        body = "".join(f"<article><p>{t}</p></article>" if named and not s else f"<nav>{t}</nav>" if named else f"<p>{t}</p>" for t, s in row)
+        pages.append((i, "http://h.example/a", f"<html><body>{body}</body></html>"))
+        parts[i] = (named, row)
+    held = Counter(t for named, row in parts.values() if not named for t, s in row if s)
+    assert min(held.values()) >= 3 and len(held) == 4
+    want = {i: "\n\n".join(t for t, s in row if not s) for i, (_, row) in parts.items()}
+    for shard in (100, 5):
+        got = {r["page_id"]: r["text"] for r in html_text.main_text(spark.createDataFrame(pages, "page_id long, url string, html string"), shard_pages=shard).collect()}
+        assert got == want
+
+
 def test_repeats_across_pages(spark):
     banner = "this site uses small files to remember what you like best"
     pages = [(i, f"http://h.example/{i}", f"<body><p>{banner}</p><p>unique text number {i} of a page that says {i * 7} things</p></body>") for i in range(6)]
@@ -342,6 +388,16 @@ def test_packing_search_reaches_its_gap():
     assert packing.column_generation(even.astype(float), np.arange(1, 257), 256)[1] <= 0.004
 
 
+def test_a_hot_id_lies_in_many_shards(spark):
+    rows = [(None if i % 3 else i, f"text number {i} " * 4) for i in range(1500)] + [(-5, "x"), (None, None)]
+    manifest = token_files.write_token_files(docs_of(spark, rows), BPE, shards=6)
+    docs = [r["n_docs"] for r in manifest.collect()]
+    assert max(docs) < 2 * len(rows) / 6 and sum(docs) == len(rows)
+    got = token_files.read_token_files(manifest).orderBy("start").collect()
+    assert [r["doc_id"] for r in got] == sorted((i for i, _ in rows), key=lambda i: -10 if i is None else i)
+    assert [r["start"] for r in got] == [0, *np.cumsum([r["n_tokens"] for r in got])[:-1].tolist()]
+
+
 # ---- 7 top-k ----------------------------------------------------------------
 
 
@@ -399,6 +455,15 @@ def test_line_dedup_deletes_later_runs(spark):
     assert all("".join(line_dedup.lines(t)) == t for t in [*texts.values(), "", "a.b c. d\n\ne", LONG])
 
 
+def test_a_hot_repeated_row_has_one_span(spark):
+    run = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, run + ".\nfirst own words"), *[(2, "other words.\n" + run + ".\n")] * 50]
+    found = line_dedup.repeated_runs(docs_of(spark, rows).select("doc_id", F.xxhash64("text").alias("row"), "text"), 50, 25).collect()
+    assert sorted((r["doc_id"], len(r["spans"])) for r in found) == [(1, 0), (2, 1)]
+    done = line_dedup.dedup_lines(docs_of(spark, rows), 50).where("doc_id = 2").select("text", "words_left").distinct().collect()
+    assert [(r["text"], r["words_left"]) for r in done] == [("other words.\n", 2)]
+
+
 def test_winnowing_guarantee():
     rng = np.random.default_rng(5)
     for _ in range(60):
