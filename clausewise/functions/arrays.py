@@ -42,7 +42,8 @@ def norm(a: Column) -> Column:
 
 
 def unit(a: Column) -> Column:
-    n = norm(a)
+    """``a`` at length 1; a vector of length zero has no direction and gets nulls."""
+    n = F.nullif(norm(a), F.lit(0.0))
     return F.transform(a, lambda x: x.cast("double") / n)
 
 

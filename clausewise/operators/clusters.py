@@ -19,7 +19,7 @@ def nearest(vectors: DataFrame, query: list[float], k: int = 15) -> DataFrame:
 
 
 def unit_vectors(df: DataFrame) -> DataFrame:
-    return df.where("size(embedding) > 0").withColumn("embedding", unit(F.col("embedding"))).where(~F.isnan(F.col("embedding")[0]))
+    return df.where("size(embedding) > 0").withColumn("embedding", unit(F.col("embedding"))).where(~F.isnan(F.col("embedding")[0]))  # neither null nor NaN
 
 
 def similar_pairs(df: DataFrame, distance: float) -> DataFrame:

@@ -130,8 +130,8 @@ def bound(far: Column) -> Column:
 
 
 def candidates(left: Chunks, right: Chunks, least: float | DataFrame) -> DataFrame:
-    """(a, b): chunks of ``left`` and ``right`` that can hold a product of at least ``least``, which is one number
-    or a table (chunk, least) for the chunks of ``left`` that ask at all."""
+    """(a, b, most): chunks of ``left`` and ``right`` that can hold a product of at least ``least``, and the most that it can be;
+    ``least`` is one number, or a table (chunk, least) for the chunks of ``left`` that ask at all."""
     import pyarrow as pa
 
     pivots, reach, norm = right.pivots, right.reach, right.norm
@@ -154,7 +154,7 @@ def candidates(left: Chunks, right: Chunks, least: float | DataFrame) -> DataFra
         probe, "a long, centre array<double>, radius double, norm double, least double, cell int")
     known = right.table.select("cell", F.col("chunk").alias("b"), F.col("centre").alias("centre2"), F.col("radius").alias("radius2"), F.col("norm").alias("norm2"))
     far = F.sqrt(F.aggregate(F.zip_with("centre", "centre2", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
-    return asked.join(known, "cell").where(bound(far) >= F.col("least")).select("a", "b")
+    return asked.join(known, "cell").withColumn("most", bound(far)).where("most >= least").select("a", "b", "most")
 
 
 def multiply(pairs: DataFrame, left: Chunks, right: Chunks, run, schema: str) -> DataFrame:
@@ -176,7 +176,7 @@ def multiply(pairs: DataFrame, left: Chunks, right: Chunks, run, schema: str) ->
 
 def _within(rows: DataFrame, least: float) -> tuple[Chunks, DataFrame]:
     chunks = pack(rows)
-    pairs = stored(candidates(chunks, chunks, least).where("a <= b"), "chunk-pairs") if chunks.count else chunks.table.selectExpr("chunk a", "chunk b")
+    pairs = stored(candidates(chunks, chunks, least).where("a <= b").select("a", "b"), "chunk-pairs") if chunks.count else chunks.table.selectExpr("chunk a", "chunk b")
     log.info("metric join: %d of %d chunk pairs", pairs.count(), chunks.count * (chunks.count + 1) // 2)
     return chunks, pairs
 
@@ -243,7 +243,7 @@ BEST = "seq long, other long, similarity double"
 def best_above(left: Chunks, right: Chunks, least: float) -> DataFrame:
     """(seq, other, similarity): for the rows of ``left`` the row of ``right`` of another seq with the largest
     product, the least seq among equals, where that is above ``least``."""
-    return _reduced(multiply(candidates(left, right, least), left, right, _best, BEST)).where(F.col("similarity") > least)
+    return _reduced(multiply(candidates(left, right, least).select("a", "b"), left, right, _best, BEST)).where(F.col("similarity") > least)
 
 
 def best_other(rows: DataFrame, least: float) -> DataFrame:
@@ -257,6 +257,6 @@ def best_other(rows: DataFrame, least: float) -> DataFrame:
     members = chunks.table.select("chunk", F.explode("ids").alias("seq"))
     floor = members.join(first, "seq", "left").groupBy("chunk").agg(
         F.greatest(F.min(F.coalesce("similarity", F.lit(float(least)))), F.lit(float(least))).alias("least"))
-    rest = candidates(chunks, chunks, stored(floor, "floors")).where("a <> b")
+    rest = candidates(chunks, chunks, stored(floor, "floors")).where("a <> b").select("a", "b")
     return _reduced(first.unionByName(multiply(rest, chunks, chunks, _best, BEST))).where(F.col("similarity") > least)
 
