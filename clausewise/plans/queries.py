@@ -20,6 +20,7 @@ from clausewise.operators.keywords import first_of_keywords
 from clausewise.operators.ledger import Ledger
 from clausewise.operators.ordered_merge import merge_ordered
 from clausewise.operators.review_index import search_many, write_review_index
+from clausewise.operators.vector_index import nearest_many, write_vector_balls
 from clausewise.sources import readers, writers
 from clausewise.sources.shared import fresh
 
@@ -885,6 +886,37 @@ def reviews_column(spark, d):
     return readers.column_of(spark, path).select("seq", F.md5("text").alias("body"))
 
 
+@query("SELECT lang, doc_id, md5(text) AS body FROM documents WHERE regexp_matches(text, '\\S')")
+def json_array_files(spark, d):
+    path = fresh(spark, "arrays")
+    rows = table(spark, d, "documents").groupBy("lang").agg(F.to_json(F.array_sort(F.collect_list(F.struct(
+        F.concat_ws("-", "lang", "doc_id").alias("attraction_id"), F.lit("2020").alias("date"), F.lit(1.5).alias("rating"), F.col("text").alias("review_text"))))).alias("value"))
+    rows.repartition("lang").write.partitionBy("lang").text(path)  # an array a language
+    key = F.split("attraction_id", "-")
+    return readers.review_array(spark, path).select(key[0].alias("lang"), key[1].cast("long").alias("doc_id"), F.md5("review_text").alias("body"))
+
+
+@query("SELECT role || ' ' || conv_id || ' ' || turn AS header, md5(regexp_replace(replace(regexp_replace(regexp_replace(text, '(^|\\n)#', '\\1*', 'g'), '\\r\\n?', chr(10), 'g'), chr(133), ' '), '^\\s+|\\s+$', '', 'g')) AS body "
+       "FROM conversations WHERE regexp_matches(text, '\\S')")
+def markdown_files(spark, d):
+    path = fresh(spark, "markdown")
+    rows = table(spark, d, "conversations").select(
+        F.concat_ws(" ", "role", "conv_id", "turn").alias("place"), F.regexp_replace("text", r"(^|\n)#", "$1*").alias("text"), (F.col("conv_id") * 1000 + F.col("turn")).alias("seq"))
+    writers.markdown(writers.matched_reviews(rows), path)
+    return readers.markdown_sections(spark, path).select("header", F.md5("body").alias("body"))
+
+
+@query(f"""WITH {_UNIT}, s AS (SELECT a.vec_id AS question, b.vec_id, list_dot_product(a.v, b.v) AS s FROM u a, u b),
+    r AS (SELECT *, row_number() OVER (PARTITION BY question ORDER BY s DESC, vec_id) AS rank FROM s)
+    SELECT question, CAST(rank AS INTEGER) AS rank, vec_id, round(s, 7) AS similarity FROM r WHERE rank <= 4""")
+def vector_balls(spark, d):
+    path = fresh(spark, "balls")
+    rows = table(spark, d, "embeddings").select(F.col("vec_id").alias("seq"), "embedding")
+    write_vector_balls(rows, path, ball_bytes=1 << 16)
+    found = nearest_many(spark, path, rows.withColumnRenamed("seq", "question"), 4)
+    return found.select("question", "rank", F.col("seq").alias("vec_id"), F.round("similarity", 7).alias("similarity"))
+
+
 @query("SELECT p_partkey AS cluster_id, CASE WHEN p_partkey % 5 = 0 THEN 'new' ELSE 'old' END AS category FROM part")
 def cache_in_steps(spark, d):
     path = fresh(spark, "cache")

@@ -5,12 +5,14 @@ from __future__ import annotations
 import os
 import warnings
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clausewise.functions.text import not_blank, strip
 
+from .json_arrays import read_json_array
+
 CLAUSE = "clause_id string, clause_text string, place_name string, review_id string, sentence_no int, score double"
 BLOCK = "cluster_id int, clauses array<string>, place_names array<string>, size int"
 
@@ -41,6 +43,13 @@ def jsonl(spark: SparkSession, path: str, schema: str, malformed: str = "fail")
     return spark.read.schema(kind).json(path, mode=mode).withColumn("seq", F.monotonically_increasing_id())
 
 
+def jsonl_counted(spark: SparkSession, path: str, schema: str, counts: Observation) -> DataFrame:
+    """JSON lines without the malformed ones; ``counts`` has lines and skipped once an action has run over
+    the rows, from the same pass."""
+    rows = jsonl(spark, path, schema, "keep").observe(counts, F.count("*").alias("lines"), F.count("_corrupt_record").alias("skipped"))
+    return rows.where("_corrupt_record is null").drop("_corrupt_record")
+
+
 def skipped_lines(spark: SparkSession, path: str, schema: str) -> int:
     """Lines that ``jsonl`` skips, for a warning."""
     kind = T.StructType.fromDDL(schema).add("_corrupt_record", "string")
@@ -109,8 +118,9 @@ def vectors(spark: SparkSession, path: str) -> DataFrame:
 
 
 def review_array(spark: SparkSession, path: str) -> DataFrame:
-    df = spark.read.schema("attraction_id string, date string, rating double, review_text string").json(path, multiLine=True)
-    return df.where(not_blank(F.col("review_text"))).withColumn("seq", F.monotonically_increasing_id())
+    """Reviews with a text, of JSON arrays that are read by byte ranges; a rating of NaN is NaN."""
+    rows = read_json_array(spark, path, "attraction_id string, date string, rating double, review_text string")
+    return rows.where(not_blank(F.col("review_text")))
 
 
 def first_column(spark: SparkSession, path: str, header: bool, name: str = "place") -> DataFrame:
@@ -122,6 +132,25 @@ def markdown(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.input_file_name().alias("doc"), F.col("value").alias("text"))
 
 
+def markdown_sections(spark: SparkSession, path: str, prefix: str = "## ") -> DataFrame:
+    """(doc, section, header, body) of the sections of each file, in parts of a file that Spark splits: a line's
+    section is the number of headers up to it, counted inside its split and moved on by those of the splits
+    before it.  Lines of a single # and those before the first header are left out, empty bodies go."""
+    lines = spark.read.text(path).select(
+        F.col("value").alias("line"), F.col("_metadata.file_path").alias("doc"), F.col("_metadata.file_block_start").alias("part"),
+        F.monotonically_increasing_id().alias("n"), F.col("value").startswith(prefix).alias("head"))
+    inside = F.sum(F.col("head").cast("int")).over(Window.partitionBy("doc", "part").orderBy("n").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    heads = lines.groupBy("doc", "part").agg(F.sum(F.col("head").cast("int")).alias("heads"))  # a row a split
+    before = heads.select("doc", "part", F.coalesce(F.sum("heads").over(
+        Window.partitionBy("doc").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    marked = lines.withColumn("inside", inside).join(before, ["doc", "part"]).withColumn("section", F.col("inside") + F.col("before")).where("section > 0")
+    body = F.when(~F.col("head") & ~F.col("line").startswith("# "), F.struct("part", "n", "line"))
+    out = marked.groupBy("doc", "section").agg(
+        F.max(F.when(F.col("head"), strip(F.substring("line", len(prefix) + 1, 1 << 30)))).alias("header"),
+        strip(F.array_join(F.transform(F.array_sort(F.collect_list(body)), lambda x: x["line"]), "\n")).alias("body"))
+    return out.where("body <> ''").select("doc", "section", "header", "body")
+
+
 def judgements(spark: SparkSession, path: str) -> DataFrame:
     df = spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"')
     return df.select(*[(F.coalesce(c, F.lit("")) if c in df.columns else F.lit("")).alias(c) for c in ("location_name", "judgement", "action")])
