@@ -49,10 +49,17 @@ GENERIC_PLACE_WORDS = (
     "spice farm farms tour tours adventure center centre aquarium lodge restaurant bar shop cave rock bay hill forest safari"
 ).split()
 
+# Patterns of ends of sentences, runs that cleaning changes, and clause separators.
 SENTENCE_END = (
     "(?U)(?:(?<=[.!?…])|(?<=[.!?…][\"'”’)\\]])(?<!\\([!?]\\)))[\\s\\x{1c}-\\x{1f}]+|\\n+"
     "|(?<=[a-zà-ÿ]{2}[.!?])(?=[A-ZÀ-Ý])"
 )
+COMMA_RUN = r"(?:[ \t]*,){3,}[ \t]*"
+BLANK_RUN = "[ \\t\u00a0]+"
+LINE_RUN = rf"(?U)\n{SPACE}*\n+"
+MARK_SEPARATOR = r"\s*;\s*\s+[–—-]\s+"
+ANY_MARK_SEPARATOR = r"\s*;\s*|\s+[–—-]\s+"
+CLAUSE_ENDS = "[ ,;:–—\\-\\n]+"
 
 
 def strip(c: Column) -> Column:
@@ -66,10 +73,10 @@ def not_blank(c: Column) -> Column:
 
 def clean_text(c: Column) -> Column:
     c = F.regexp_replace(c, "''", "'")
-    c = F.regexp_replace(c, r"(?:[ \t]*,){3,}[ \t]*", "")
+    c = F.regexp_replace(c, COMMA_RUN, "")
     c = F.regexp_replace(c, r"\r\n?", "\n")
-    c = F.regexp_replace(c, "[ \\t\u00a0]+", " ")
-    return strip(F.regexp_replace(c, rf"(?U)\n{SPACE}*\n+", "\n"))
+    c = F.regexp_replace(c, BLANK_RUN, " ")
+    return strip(F.regexp_replace(c, LINE_RUN, "\n"))
 
 
 def detect_lang(c: Column) -> Column:
@@ -92,7 +99,7 @@ def unmark(c: Column) -> Column:
 
 def separator(lang: str, semicolons: bool = False) -> str:
     """Pattern before which a clause ends. By default a plain semicolon or dash does not separate."""
-    last = r"\s*;\s*|\s+[–—-]\s+" if semicolons else r"\s*;\s*\s+[–—-]\s+"
+    last = ANY_MARK_SEPARATOR if semicolons else MARK_SEPARATOR
     return rf"(?iU)(?:\s*[,;:]\s*|\s+)(?=(?:{OPENERS[lang]})\b)|\s*[,;]\s*(?=(?:{AFTER_MARK[lang]})\b)|{last}"
 
 
@@ -152,10 +159,9 @@ def sentence_clauses(sentence: Column, lang: Column, min_words: int = 3, semicol
     start = F.struct(F.lit(None).cast("string").alias("carry"), F.array().cast("array<string>").alias("out"))
     merged = F.aggregate(kept, start, merge, lambda a: F.when(
         a["carry"].isNull(), a["out"]).otherwise(F.concat(a["out"], F.array(a["carry"]))))
-    ends = "[ ,;:–—\\-\\n]+"
     # most sentences have no separator and need none of the folds
     found = F.when(F.instr(marked, "\x01") == 0, F.array(sentence)).otherwise(merged)
-    return F.filter(F.transform(found, lambda t: unmark(F.regexp_replace(t, f"^{ends}|{ends}$", ""))), lambda t: t.rlike(r"(?U)\w"))
+    return F.filter(F.transform(found, lambda t: unmark(F.regexp_replace(t, f"^{CLAUSE_ENDS}|{CLAUSE_ENDS}$", ""))), lambda t: t.rlike(r"(?U)\w"))
 
 
 def split_clauses(text: Column, lang: Column, min_words: int = 3, semicolons: bool = False) -> Column:

@@ -125,16 +125,34 @@ def judgement_rows(got: DataFrame, reviews: DataFrame) -> DataFrame:
         F.array_join(F.coalesce("action_items", F.array().cast("array<string>")), "; ").alias("action"))
 
 
+def answer_prompt(query: str, rows: list[dict], letters: int = 400) -> str:
+    """The question with its evidence: the titles of the categories, then for each row its place, its score
+    (or rating) and the first ``letters`` letters of its text."""
+    titles = "\n".join(f"- {title}" for _, title in COARSE)
+    said = "\n\n".join(
+        f"[{i}] place: {r.get('place_name') or r.get('place') or ''} | score: {float(r['score'] if r.get('score') is not None else r.get('rating') or 0):.2f}\n"
+        f"\"{(r.get('clause_text') or r.get('text') or '')[:letters]}\"" for i, r in enumerate(rows, 1))
+    return ("Answer the question from the clauses alone, as JSON {\"summary\":\"..\",\"actions\":[\"..\"]}; issues belong to these categories:\n"
+            f"{titles}\n\nClauses:\n{said}\n\nQuestion: {query}")
+
+
 class Engine:
     """Questions over embedded clauses or over reviews by keyword."""
 
     def __init__(self, clauses: DataFrame, embed, provider: Callable[[str], str], places: DataFrame | None = None):
         self.clauses, self.embed, self.provider, self.places = clauses, embed, provider, places
+        self.width: int | None = None
 
     def ask(self, query: str, max_clauses: int = 15) -> dict:
         if not query.strip():
             return {"summary": "", "actions": [], "source_clauses": []}
-        found = nearest(self.clauses, self.embed.encode([query])[0], max_clauses).select("clause_text", "place_name", "score", "similarity").collect()
+        asked = self.embed.encode([query])[0]
+        if self.width is None:
+            first = self.clauses.select(F.size("embedding").alias("n")).first()
+            self.width = first["n"] if first else len(asked)
+        if len(asked) != self.width:
+            raise ValueError(f"the question has {len(asked)} dimensions and the clauses {self.width}; use the model that embedded them")
+        found = nearest(self.clauses, asked, max_clauses).select("clause_text", "place_name", "score", "similarity").collect()
         return self._answer(query, [r.asDict() for r in found], "source_clauses")
 
     def ask_reviews(self, query: str, max_reviews: int = 15) -> dict:
@@ -144,7 +162,7 @@ class Engine:
     def _answer(self, query: str, rows: list[dict], name: str) -> dict:
         if not rows:
             return {"summary": "", "actions": [], name: []}
-        prompt = query + "\n" + "\n".join(f"{i}. {r.get('clause_text') or r.get('text')}"[:800] for i, r in enumerate(rows, 1))
+        prompt = answer_prompt(query, rows)
         spark = self.clauses.sparkSession
         reply = spark.createDataFrame([(call(self.provider, prompt),)], "raw string").select(parse_answer(F.col("raw")).alias("a")).first()["a"]
         return {"summary": reply["summary"], "actions": list(reply["actions"]), name: rows}

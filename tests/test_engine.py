@@ -183,6 +183,34 @@ def test_escape_without_quotes(spark):
     assert spark.range(1).select(html_escape(F.lit("<a href='x'>&"), quotes=False)).first()[0] == "&lt;a href='x'&gt;&amp;"
 
 
+def test_answer_prompt_holds_titles_and_letters():
+    prompt = KB.answer_prompt("why?", [{"clause_text": "x" * 900, "place_name": "Beach", "score": 0.5}, {"text": "late", "rating": float(2), "place": None}])
+    assert "Overcrowding" in prompt and "[1] place: Beach | score: 0.50" in prompt and "x" * 400 in prompt and "x" * 401 not in prompt and "score: 2.00" in prompt
+
+
+def test_layout_keeps_neighbours(spark, data):
+    from clausewise.operators import html_report as H
+
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=(12, 20))
+    x = base[rng.integers(0, 12, 240)] + 0.3 * rng.normal(size=(240, 20))
+    df = spark.createDataFrame([(i, [float(v) for v in r], 0, f"t<{i}>") for i, r in enumerate(x)], "seq long, embedding array<double>, cluster int, text string")
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    order = np.argsort(np.argsort(1 - unit @ unit.T + 9 * -np.eye(240), axis=1), axis=1)
+
+    def trust(rows, k=15):
+        at = np.array([[r["x"], r["y"]] for r in sorted(rows, key=lambda r: r["seq"])])
+        far = ((at[:, None] - at[None]) ** 2).sum(axis=2)
+        near = np.argsort(far, axis=1)[:, 1 : k + 1]
+        return 1 - 2 / (240 * k * (2 * 240 - 3 * k - 1)) * sum(max(0, order[i, j] - k) for i in range(240) for j in near[i])
+
+    made = H.neighbour_layout(df, epochs=8)
+    rows = made.collect()
+    assert len(rows) == 240 and trust(rows) > trust(H.project_2d(df).collect()) + 0.02
+    page = H.scatter_page(spark.createDataFrame(rows), each=100)
+    assert page.count("<circle") == 100 and "t&lt;" in page
+
+
 def test_commands(spark, tmp_path):
     texts = [f"dirty beach and water number {i}" if i % 2 else f"slow staff at the counter {i}" for i in range(20)]
     embed = HashEmbedding()
@@ -203,4 +231,24 @@ def test_commands(spark, tmp_path):
     assert run("cluster", "--clauses", "clauses", "--out", "blocks")[0] == 0 and spark.read.parquet(str(tmp_path / "blocks")).count() == 2
     spark.read.parquet(str(tmp_path / "clauses")).withColumn("cluster", F.col("seq") % 2).write.parquet(str(tmp_path / "clusters"))
     assert json.loads(run("report", "--clusters", "clusters")[1])["blocks"] == 2
+    (tmp_path / "r.csv").write_text('review_id,content,translated_content,google_place_id\n1,"The room was terrible and dirty. Rude staff at the gate.",,p\n')
+    (tmp_path / "p.csv").write_text("google_place_id,place_name\np,Beach\n")
+    out = io.StringIO()
+    assert cli.main(["--folder", str(tmp_path), "pipeline", "--reviews", "r.csv", "--places", "p.csv", "--out", "stages"], spark, None, embed, out, (), LexiconSentiment()) == 0
+    assert out.getvalue().count("s\n") == 6 and spark.read.parquet(str(tmp_path / "stages" / "embed")).count() == 2
+    (tmp_path / "b.jsonl").write_text('["dirty room", "queue"]\n{"clauses": []}\n{"text": "rude staff"}\n')
+    reply = '{"issues": [{"issue": "Dirt", "importance": 7}]}'
+    assert run("kb", "--blocks", "b.jsonl", "--ledger", "ledger", "--out", "kb") == (0, "2 entries\n")
+    reply = '{"category": "Overcrowding", "block_name": "b"}'
+    for cached in range(2):
+        assert run("classify", "--blocks", "blocks", "--ledger", "ledger", "--cache", "cache", "--out", "groups")[0] == 0
+        groups = spark.read.json(str(tmp_path / "groups")).collect()
+        assert [(g["category"], g["block_count"]) for g in groups] == [("overcrowding", 2)]
+    assert run("classify", "--blocks", "blocks", "--ledger", "ledger", "--cache", "cache", "--out", "groups", "--report-only")[0] == 0
+    assert run("visualise", "--clusters", "clusters", "--out", "page.html", "--report-only")[0] == 0 and not (tmp_path / "page.html").exists()
+    with pytest.raises(SystemExit, match="names the embedding provider"):
+        cli.main(["--folder", str(tmp_path), "ask", "--clauses", "clauses", "q"], spark, lambda prompt: reply)
+    assert cli.named("clausewise.operators.providers:HashEmbedding", "embedding").dim == 64
+    with pytest.raises(ValueError, match="dimensions"):
+        cli.main(["--folder", str(tmp_path), "ask", "--clauses", "clauses", "q"], spark, lambda prompt: reply, HashEmbedding(16))
     assert readers.resolve("/a/b", "/f") == "/a/b" and readers.resolve("b", "/f") == "/f/b" and readers.resolve("s3://x/b", "/f") == "s3://x/b"
