@@ -1,24 +1,33 @@
 """Operator 7: exact top-k by inner product, ball trees with branch and bound on each shard.
 
-Vectors become integers (floor(scale * x)), so scores are exact.  Rows are dealt to shards of
-bounded size, each with a ball tree; a node keeps its centre, its radius and its least id.  A block
-of queries meets one shard at a time, so a task holds one of each: nodes are visited in the order of
-the upper bound q.c + |q| r, and queries whose bound is below their current k-th score drop out of
-the node.  Shards are searched in waves, each of more shards than the one before; the k-th scores
-over all shards searched so far go along with the queries to the next wave, and a query is not sent
-to a shard whose ball cannot hold anything as good.
+Vectors become integers (floor(scale * x)), so scores are exact.  Rows are dealt to shards by place, not at
+random: pivots spread over a bounded sample make cells, rows are range-sorted by cell and distance from the
+pivot, and a shard is a run of at most ``shard_rows`` of them, so it is a small ball.  Its ball tree is built
+once and kept as a row.  Queries are packed the same way.  In a tree, nodes are visited in the order of the
+upper bound q.c + |q| r, and queries whose bound is below their current k-th score drop out of the node.
+The search goes in waves: every block of queries meets its best shard, then the few next ones, then the rest;
+the k-th scores over all earlier waves go along with the queries, and a shard whose ball cannot hold
+anything as good as the worst of a block's k-th scores is left out.
 """
 
 from __future__ import annotations
 
+import logging
+import pickle
+
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, materialize
+from clausewise.operators.metric import MOST_CELLS, spread_pivots
+
+from .common import lean, materialize, small_batches
 
+log = logging.getLogger(__name__)
 SAFE = float(1 << 53)
 LOW = -(2**63) + 1  # below every score; its negative is a long too
+#: blocks and shards: the vectors of ``rows`` rows in place order, a tree (shards) or the plain arrays
+PACKED = "part long, dim int, n int, ids array<long>, keys array<long>, tree binary, centre array<double>, radius double, top double"
 
 
 def quantized(vectors: DataFrame, scale: float = 256.0) -> DataFrame:
@@ -74,7 +83,7 @@ class BallTree:
         self.centres, self.radii, self.least = np.array(centres), np.array(radii), np.array(least)
 
     def search(self, queries: np.ndarray, own: np.ndarray, k: int, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-        """Best (score, id) of each query, -1 where there are fewer than k; rows with the query's
+        """Best (score, id) of each query, ``LOW`` where there are fewer than k; rows with the query's
         own id do not count.  ``floor``: a k-th score that is known already.  Third: leaves seen."""
         n = len(queries)
         score = np.full((n, k), LOW)
@@ -109,7 +118,7 @@ class BallTree:
                 cut = min(all_s.shape[1] - 1, k - 1)
                 kth = -np.partition(-all_s, cut, axis=1)[:, cut]
                 for row, q in enumerate(who):
-                    at = np.flatnonzero((all_s[row] >= kth[row]) & (all_i[row] >= 0))
+                    at = np.flatnonzero((all_s[row] >= kth[row]) & (all_s[row] > LOW))
                     top = at[np.lexsort((all_i[row][at], -all_s[row][at]))[:k]]
                     score[q, : len(top)], ident[q, : len(top)] = all_s[row][top], all_i[row][top]
                 continue
@@ -120,79 +129,142 @@ class BallTree:
         return score, ident, seen
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int = 8192, block_rows: int = 1024) -> DataFrame:
+def packed(rows: DataFrame, most: int, cells: int, trees: bool) -> DataFrame:
+    """Runs of at most ``most`` neighbouring rows of ``rows`` (key, vec_id, q, dim), each with its centre, the radius
+    around it and its largest squared norm; ``trees``: with a ball tree, else with the plain vectors."""
+    import pyarrow as pa
+
+    pivots: dict[int, np.ndarray] = {}
+    # the rows of least hash, a bounded sample; a dimension that it misses is one cell
+    for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(4 * cells).select("dim", "q").collect():
+        pivots.setdefault(r["dim"], []).append(r["q"])
+    pivots = {d: spread_pivots(np.array(v, dtype=np.float64), cells) for d, v in pivots.items()}
+
+    def matrix(column, dim):
+        return column.flatten().to_numpy().reshape(-1, dim)
+
+    @lean
+    def assign(batches):
+        for batch in batches:
+            dims = batch.column("dim").to_numpy()
+            cell, gap = np.zeros(len(dims), dtype=np.int32), np.zeros(len(dims))
+            for d in np.unique(dims).tolist():
+                mine = np.flatnonzero(dims == d)
+                x = matrix(batch.column("q").take(pa.array(mine)), d).astype(np.float64)
+                if d in pivots:
+                    p = pivots[d]
+                    cell[mine] = ((p**2).sum(axis=1) - 2 * (x @ p.T)).argmin(axis=1)
+                    gap[mine] = np.sqrt(((x - p[cell[mine]]) ** 2).sum(axis=1))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell), pa.array(gap)], names=[*batch.schema.names, "cell", "gap"])
+
+    @lean
+    def build(batches):
+        from pyspark import TaskContext
+
+        part, number = TaskContext.get().partitionId(), 0
+
+        def one(dim, held):
+            nonlocal number
+            ids, keys, x = (np.concatenate(parts) for parts in zip(*held, strict=True))
+            floats = x.astype(np.float64)
+            centre = floats.mean(axis=0)
+            number += 1
+            return pa.RecordBatch.from_arrays(
+                [pa.array([part << 32 | number - 1]), pa.array([dim], pa.int32()), pa.array([len(ids)], pa.int32()), pa.array([ids], pa.list_(pa.int64())),
+                 pa.array([keys], pa.list_(pa.int64())), pa.array([pickle.dumps(BallTree(ids, x) if trees else x)], pa.binary()),
+                 pa.array([centre], pa.list_(pa.float64())), pa.array([float(np.sqrt(((floats - centre) ** 2).sum(axis=1)).max())]), pa.array([float((floats**2).sum(axis=1).max())])],
+                names=[c.split()[0] for c in PACKED.split(", ")])
+
+        held, size, now = [], 0, (-1, -1)
+        for batch in batches:
+            dims, cells_, ids, keys = (batch.column(c).to_numpy() for c in ("dim", "cell", "vec_id", "key"))
+            at = 0
+            while at < len(ids):
+                place = (int(dims[at]), int(cells_[at]))
+                if held and (place != now or size >= most):
+                    yield one(now[0], held)
+                    held, size = [], 0
+                now = place
+                ends = np.flatnonzero((dims[at:] != now[0]) | (cells_[at:] != now[1]))
+                stop = min(at + int(ends[0]) if len(ends) else len(ids), at + most - size)
+                held.append((ids[at:stop], keys[at:stop], matrix(batch.column("q").slice(at, stop - at), now[0])))
+                size += stop - at
+                at = stop
+        if held:
+            yield one(now[0], held)
+
+    placed = rows.select("key", "vec_id", "q", "dim").mapInArrow(assign, "key long, vec_id long, q array<long>, dim int, cell int, gap double")
+    ranged = placed.repartitionByRange("dim", "cell", "gap", "vec_id", "key").sortWithinPartitions("dim", "cell", "gap", "vec_id", "key")
+    return materialize(ranged.mapInArrow(build, PACKED), "shards" if trees else "blocks")
+
+
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int = 8192, block_rows: int = 512) -> DataFrame:
     """The k best candidates of each query by integer inner product.
 
     ``vectors`` and ``queries``: vec_id, q, dim (see ``quantized``). Returns query_id, rank, vec_id,
     score; ties go to the smaller vec_id, fewer candidates give fewer rows, and a query never meets
     its own id.  Vectors are compared only with vectors of their own dimension.  Rows that repeat a
-    vec_id are one candidate if they repeat the vector too; ids that repeat with other vectors are
-    candidates of their own.  Rows without an id take no part; empty tables give no rows.
-    Scores beyond 64 bits are clipped to the range of a long.
+    vec_id are one candidate, and one query, if they repeat the vector too; ids that repeat with other
+    vectors are candidates and queries of their own, each query with ranks from 1.  Rows without an id take
+    no part; empty tables give no rows.  Scores beyond 64 bits are clipped to the range of a long.  How many
+    of the pairs of blocks and shards were searched is logged.
     """
-    vectors = vectors.where("vec_id is not null and dim > 0").select("vec_id", "q", "dim").distinct()
-    queries = queries.where("vec_id is not null and dim > 0").select("vec_id", "q", "dim").distinct()
-    total = vectors.count()
-    if not total:
-        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    shards = -(-total // shard_rows)
-    blocks = max(1, -(-queries.count() // block_rows))
-    dealt = materialize(vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")), "shards")
-    blocked = materialize(queries.withColumn("block", F.pmod(F.xxhash64("vec_id", "dim"), F.lit(blocks)).cast("int")), "blocks")
-
-    def search(rows_q: DataFrame) -> DataFrame:
-        """rows_q: queries with their block, shard and floor."""
-
-        def run(left, right):
-            import pandas as pd
-
-            out = []
-            for dim in right["dim"].unique():
-                own, q = left[left["dim"] == dim], right[right["dim"] == dim]
-                if not len(own):
-                    continue
-                tree = BallTree(own["vec_id"].to_numpy(), np.array(own["q"].tolist(), dtype=np.int64).reshape(len(own), -1))
-                score, ident, _ = tree.search(
-                    np.array(q["q"].tolist(), dtype=np.int64).reshape(len(q), -1), q["vec_id"].to_numpy(), k, q["floor"].to_numpy())
-                row, col = np.nonzero(ident >= 0)
-                out.append(pd.DataFrame({"query_id": q["vec_id"].to_numpy()[row], "vec_id": ident[row, col], "score": score[row, col]}))
-            return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
-
-        wanted = rows_q.select(F.col("shard").alias("s"), F.col("block").alias("b")).distinct()
-        shard = dealt.join(wanted, F.col("shard") == F.col("s")).select("shard", F.col("b").alias("block"), "vec_id", "q", "dim")
-        return shard.groupBy("shard", "block").cogroup(rows_q.groupBy("shard", "block")).applyInPandas(
-            run, "query_id long, vec_id long, score long")
-
-    # a ball around each shard: the mean of its vectors and the longest distance from it
-    parts = dealt.select("shard", "dim", F.posexplode("q").alias("at", "x"))
-    centre = parts.groupBy("shard", "dim", "at").agg(F.avg("x").alias("c")).groupBy("shard", "dim").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("at", "c"))), lambda s: s["c"]).alias("centre"))  # ``dim`` numbers
-    apart = F.sqrt(F.aggregate(F.zip_with("q", "centre", lambda x, c: (x - c) * (x - c)), F.lit(0.0), lambda s, x: s + x))
-    balls = materialize(dealt.join(centre, ["shard", "dim"]).groupBy("shard", "dim").agg(
-        F.first("centre").alias("centre"), F.max(apart).alias("radius")), "balls")
-
-    none = F.lit(-(2**63)).cast("long")
-    by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    found, searched, wave = None, 0, 1
-    while searched < shards:
-        # each block begins at a shard of its own
-        sent = blocked.withColumn("shard", F.explode(F.sequence(F.lit(searched), F.lit(min(shards, searched + wave) - 1)))).withColumn(
-            "shard", F.pmod(F.col("shard") + F.col("block"), F.lit(shards)).cast("int"))
+    import pyarrow as pa
+
+    spark = vectors.sparkSession
+    small_batches(spark)
+    number = F.monotonically_increasing_id().alias("key")  # kept as it is written with the blocks
+    vectors = vectors.where("vec_id is not null and dim > 0").select("vec_id", "q", "dim").distinct().select(number, "vec_id", "q", "dim")
+    queries = queries.where("vec_id is not null and dim > 0").select("vec_id", "q", "dim").distinct().select(number, "vec_id", "q", "dim")
+    total, asked = vectors.count(), queries.count()
+    if not total or not asked:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    cells = lambda n, most: min(MOST_CELLS, max(1, -(-4 * n // most)))
+    shards = packed(vectors, shard_rows, cells(total, shard_rows), True)
+    blocks = packed(queries, block_rows, cells(asked, block_rows), False)
+
+    # the most that a block and a shard can give: |x||y| is split by centres and radii; doubles round by less than the rest
+    balls = shards.select("dim", F.col("part").alias("shard"), F.col("centre").alias("c"), F.col("radius").alias("r"), F.col("top").alias("t"))
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    long_ = F.sqrt(dot("centre", "centre")), F.sqrt(dot("c", "c"))
+    by_balls = dot("centre", "c") + long_[0] * F.col("r") + long_[1] * F.col("radius") + F.col("radius") * F.col("r")
+    most = F.least(by_balls, F.sqrt(F.col("top") * F.col("t"))) + 1e-9 * (F.col("top") + F.col("t")) + 1
+    by_bound = Window.partitionBy("block").orderBy(F.desc("most"), "shard")
+    pairs = materialize(blocks.select("dim", F.col("part").alias("block"), "centre", "radius", "top").join(balls, "dim").select("block", "shard", most.alias("most")).withColumn(
+        "nth", F.row_number().over(by_bound)), "pairs")
+
+    def search(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                keys, ids, floors = (batch.column(c)[i].values.to_numpy() for c in ("keys", "ids", "floors"))
+                x, tree = pickle.loads(batch.column("vectors")[i].as_py()), pickle.loads(batch.column("tree")[i].as_py())
+                score, ident, _ = tree.search(x, ids, k, floors)
+                row, col = np.nonzero(score > LOW)
+                yield pa.RecordBatch.from_arrays([pa.array(keys[row]), pa.array(ids[row]), pa.array(ident[row, col]), pa.array(score[row, col])],
+                                                 names=["key", "query_id", "vec_id", "score"])
+
+    by = Window.partitionBy("key", "query_id").orderBy(F.desc("score"), "vec_id")
+    none = F.lit(LOW).cast("long")
+    rows = blocks.select(F.col("part").alias("block"), "ids", "keys", F.col("tree").alias("vectors"))
+    members = blocks.select(F.col("part").alias("block"), F.posexplode("keys").alias("at", "key"))
+    found, searched = None, 0
+    for first, last in ((1, 1), (2, 8), (9, None)):
+        wave = pairs.where(F.col("nth") >= first) if last is None else pairs.where(F.col("nth").between(first, last))
         if found is None:
-            sent = sent.withColumn("floor", none)
+            floors = rows.select("block", F.transform("keys", lambda _: none).alias("floors"), none.alias("worst"))
         else:
-            floor = found.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("floor"))
-            reach = F.sqrt(F.aggregate("q", F.lit(0.0), lambda s, x: s + x.cast("double") * x))
-            along = F.aggregate(F.zip_with("q", "centre", lambda x, c: x * c), F.lit(0.0), lambda s, x: s + x)
-            size = F.sqrt(F.aggregate("centre", F.lit(0.0), lambda s, c: s + c * c)) + F.col("radius")
-            bound = along + reach * F.col("radius") + 1e-9 * reach * size + 1  # doubles round, by less than this
-            # the balls are one row a shard and dimension; Spark broadcasts them while they are small
-            sent = sent.join(floor, "vec_id", "left").withColumn("floor", F.coalesce("floor", none)).join(balls, ["shard", "dim"]).where(
-                bound >= F.col("floor")).select("vec_id", "q", "dim", "block", "shard", "floor")
-        new = search(sent) if found is None else search(sent).unionByName(found.drop("rank"))
-        last, found = found, materialize(
-            new.distinct().withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k), "found")
-        if last is not None:
-            discard(last)
-        searched, wave = searched + wave, wave * 8
+            kth = found.where(F.col("rank") == k).select("key", F.col("score").alias("kth"))
+            held = members.join(kth, "key", "left").withColumn("kth", F.coalesce("kth", none))
+            floors = held.groupBy("block").agg(  # the queries of a block
+                F.transform(F.array_sort(F.collect_list(F.struct("at", "kth"))), lambda x: x["kth"]).alias("floors"), F.min("kth").alias("worst"))
+        sent = materialize(wave.join(floors, "block").where("most >= worst").select("block", "shard", "floors"), "sent")
+        if n := sent.count():
+            searched += n
+            given = sent.join(rows, "block").join(shards.select(F.col("part").alias("shard"), "tree"), "shard").select("keys", "ids", "floors", "vectors", "tree")
+            new = given.mapInArrow(lean(search), "key long, query_id long, vec_id long, score long")
+            new = new if found is None else new.unionByName(found.drop("rank"))
+            found = materialize(new.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k), "found")
+    log.info("top-k: %d of %d pairs of blocks and shards searched", searched, pairs.count())
+    if found is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

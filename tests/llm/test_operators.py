@@ -422,6 +422,25 @@ def test_top_k(spark):
     assert topk.top_k(v.limit(0), v.limit(0)).count() == 0
 
 
+def test_top_k_of_clustered_vectors_searches_few_pairs(spark, caplog):
+    rng = np.random.default_rng(4)
+    base = 4 * rng.normal(size=(30, 12))
+    x = (base[rng.integers(0, 30, 3000)] + 0.05 * rng.normal(size=(3000, 12))).round(3)
+    rows = [(i - 50, [float(v) for v in r]) for i, r in enumerate(x)] + [(100, [float(v) for v in -x[0]])]
+    v = topk.quantized(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    with caplog.at_level("INFO", "clausewise.llm.topk"):
+        found = topk.top_k(v, v.where("vec_id % 20 = 0"), 3, shard_rows=100, block_rows=16).collect()
+    q = [np.floor(256 * np.array(r)).astype(int) for _, r in rows]
+    want = []
+    for i, (name, _) in enumerate(rows):
+        if name % 20 == 0:
+            best = sorted((-int(q[i] @ q[j]), other) for j, (other, _) in enumerate(rows) if other != name)[:3]
+            want += [(name, n, j, -w) for n, (w, j) in enumerate(best, 1)]
+    assert sorted(tuple(r) for r in found) == sorted(want)  # two queries have the id 100
+    searched, pairs = (int(w) for w in caplog.records[-1].message.replace("top-k: ", "").split(" pairs")[0].split(" of "))
+    assert searched < pairs / 2
+
+
 # ---- 8 line dedup -----------------------------------------------------------
 
 
