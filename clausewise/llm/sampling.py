@@ -89,6 +89,9 @@ class Vocabulary:
             units = [ord(c) for c in piece]
             spelled.setdefault(len(piece), []).append(units)
             by_length.setdefault(len(piece), []).append((int(self._fold(np.array([units]))[0]), i))
+        self.bytes = np.array([len(x) for x in self.surface], dtype=np.int64)
+        self.begin = np.cumsum(self.bytes) - self.bytes
+        self.joined = np.frombuffer(b"".join(self.surface), dtype=np.uint8)
         self.tables = {}
         for n, rows in by_length.items():
             rows.sort()
@@ -165,13 +168,21 @@ class Vocabulary:
         return raw[1:].decode("utf-8", "replace") if raw[:1] == b" " else raw.decode("utf-8", "replace")
 
 
-    def decoded_crc32(self, ids) -> int:
-        """crc32 of the UTF-8 of ``decode(ids)``; bytes that are UTF-8 already need no decoding."""
-        raw = b"".join(map(self.surface.__getitem__, ids))
-        raw = raw[1:] if raw[:1] == b" " else raw
-        if not raw.isascii():
-            raw = raw.decode("utf-8", "replace").encode()
-        return zlib.crc32(raw)
+    def decoded_crc32(self, paths: list[np.ndarray]) -> list[int]:
+        """crc32 of the UTF-8 of ``decode(ids)`` of each path's ids; what is ASCII needs no decoding."""
+        ids = np.concatenate([np.zeros(0, dtype=np.int64), *paths])
+        size = self.bytes[ids]
+        ends = np.cumsum(size)
+        data = self.joined[np.repeat(self.begin[ids] - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        high = np.concatenate([[0], np.cumsum(data >= 128)])
+        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum([len(p) for p in paths])]).astype(np.int64)].tolist()
+        out, view = [], memoryview(data)
+        for a, b in zip(bounds, bounds[1:], strict=False):
+            if a < b and data[a] == 32:
+                a += 1
+            raw = view[a:b] if high[a] == high[b] else bytes(view[a:b]).decode("utf-8", "replace").encode()
+            out.append(zlib.crc32(raw))
+        return out
 
 
 def escaped(text: str) -> str:
@@ -186,6 +197,34 @@ def words_of(text: str) -> list[str]:
     return [BLANK + w for w in text.split(" ")]
 
 
+def numbered_words(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Different words of all texts, the words of the texts by number, and how many each text has."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    said = pa.array(texts, pa.large_string())
+    full = pc.binary_length(said).to_numpy() > 0
+    if not full.any() or pc.any(pc.match_substring(said, BLANK)).as_py():
+        rows = [words_of(t) for t in texts]
+        whole = dict.fromkeys(chain.from_iterable(rows))
+        number = dict(zip(whole, range(len(whole)), strict=True))
+        sizes = np.fromiter(map(len, rows), dtype=np.int64, count=len(rows))
+        return list(whole), np.fromiter(map(number.__getitem__, chain.from_iterable(rows)), dtype=np.int64, count=int(sizes.sum())), sizes
+    # a word begins with a run of blanks; the blank that the model adds stands before the text
+    said = pc.binary_join_element_wise(pa.scalar(" ", said.type), said.filter(pa.array(full)), pa.scalar("", said.type))
+    edge = np.frombuffer(said.buffers()[1], dtype=np.int64)[said.offset : said.offset + len(said) + 1]
+    data = np.frombuffer(said.buffers()[2], dtype=np.uint8)[edge[0] : edge[-1]]
+    blank = data == 32
+    fresh = blank.copy()
+    fresh[1:] &= ~blank[:-1]
+    fresh[edge[:-1] - edge[0]] = True
+    begin = np.flatnonzero(fresh)
+    coded = pa.LargeStringArray.from_buffers(len(begin), pa.py_buffer(np.append(begin, len(data))), pa.py_buffer(data)).dictionary_encode()
+    sizes = np.zeros(len(texts), dtype=np.int64)
+    sizes[full] = np.diff(np.searchsorted(begin, edge - edge[0]))
+    return [w.replace(" ", BLANK) for w in coded.dictionary.to_pylist()], coded.indices.to_numpy().astype(np.int64), sizes
+
+
 @dataclass
 class Lattice:
     """States are (word, position) one after another; edges are sorted by state."""
@@ -393,13 +432,8 @@ class Search:
 
 def sample_texts(texts: list[str], keys: list[int], vocabulary: Vocabulary, k: int, seed: int):
     """For each text its samples: (ids, log-probability, perturbed value, inclusion)."""
-    rows = [words_of(t) for t in texts]
-    whole = dict.fromkeys(chain.from_iterable(rows))
-    whole = dict(zip(whole, range(len(whole)), strict=True))
-    sizes = np.fromiter(map(len, rows), dtype=np.int64, count=len(rows))
-    coarse = np.fromiter(map(whole.__getitem__, chain.from_iterable(rows)), dtype=np.int64, count=int(sizes.sum()))
-    coarse_row = np.repeat(np.arange(len(rows)), sizes)
-    del rows
+    whole, coarse, sizes = numbered_words(texts)
+    coarse_row = np.repeat(np.arange(len(texts)), sizes)
     cut, marks, index = vocabulary.cut, vocabulary.marks, {}
     number = index.setdefault
     fine = [[number(x, len(index)) for x in (cut(w) if w[-1] in marks or "\n" in w else (w,))] for w in whole]
@@ -440,7 +474,8 @@ def sample_segmentations(docs: DataFrame, model: str, k: int = 2, seed: int = 7,
     bytes), n_pieces, log_prob, perturbed, inclusion (the probability that the segmentation would be
     among the k, given the next value), decoded_crc32 (of the decoded text) and text_crc32.
     A null text is empty; the empty text has one segmentation, without pieces and sure.  A text with
-    fewer segmentations gives all it has.  Rows that repeat give the same samples, since the row key is
+    fewer segmentations gives all it has.  U+2581 in a text is a blank to the vocabulary and comes back as
+    one, so decoded_crc32 is not that of the text.  A long text is searched whole.  Rows that repeat give the same samples, since the row key is
     doc_id; a null doc_id has the key 0.  An empty table gives no rows; other columns are not read.
     """
 
@@ -455,11 +490,12 @@ def sample_segmentations(docs: DataFrame, model: str, k: int = 2, seed: int = 7,
         for batch in (g for b in batches for g in byte_groups(b)):
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             out: list[list] = [[] for _ in kinds]
-            for i, text, found in zip(ids, texts, sample_texts(texts, [x or 0 for x in ids], vocabulary, k, seed), strict=True):
+            samples = sample_texts(texts, [x or 0 for x in ids], vocabulary, k, seed)
+            decoded = iter(vocabulary.decoded_crc32([pieces for found in samples for pieces, *_ in found]))
+            for i, text, found in zip(ids, texts, samples, strict=True):
                 crc = zlib.crc32(text.encode("utf-8", "surrogatepass"))
                 for m, (pieces, lp, value, q) in enumerate(found):
-                    decoded = vocabulary.decoded_crc32(pieces.tolist())
-                    for col, v in zip(out, (i, m + 1, pieces.astype("<u4").tobytes(), len(pieces), lp, value, q, decoded, crc), strict=True):
+                    for col, v in zip(out, (i, m + 1, pieces.astype("<u4").tobytes(), len(pieces), lp, value, q, next(decoded), crc), strict=True):
                         col.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=names)
 
