@@ -6,7 +6,7 @@ so the sketch of two texts together is the union of their sketches, and the shar
 estimates containment, however unequal the sizes.  For a true containment c in a text of n
 different shingles the estimate has a standard deviation of sqrt(c (1 - c) (2 ** bits - 1) / n); a
 text that is wholly contained is estimated at exactly 1 unless none of its hashes is kept, which
-has a chance of (1 - 2 ** -bits) ** n: with one bit, 0.4 % for eight shingles.  A text none of
+has a chance of (1 - 2 ** -bits) ** n: with one bit, 0.4 % for eight shingles, with two 0.3 % for twenty.  A text none of
 whose hashes is below the fraction keeps its least hash, so that it still equals its copies.
 """
 
@@ -52,8 +52,9 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def as_text(x: Column) -> Column:
-    """The fingerprint: 16 hexadecimal digits for each hash."""
-    return F.array_join(F.transform(x, lambda h: F.lpad(F.hex(h), 16, "0")), "")
+    """The fingerprint: the low 48 bits of each hash as 12 hexadecimal digits; the likenesses are those of
+    the whole hashes."""
+    return F.array_join(F.transform(x, lambda h: F.lpad(F.hex(h.bitwiseAND(F.lit((1 << 48) - 1))), 12, "0")), "")
 
 
 def merge(a: Column, b: Column, bits: int = 1) -> Column:

@@ -83,7 +83,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .fingerprint import fingerprints
 
-    return fingerprints(read_table(spark, sf_dir, "documents"), words=5)
+    return fingerprints(read_table(spark, sf_dir, "documents"), words=5, bits=2)
 
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

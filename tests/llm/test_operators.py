@@ -605,6 +605,23 @@ def test_containment_is_within_its_bound(spark):
     assert far <= 0.03 * len(got) and empty <= expected + 4 * math.sqrt(expected)
 
 
+def test_a_quarter_of_the_hashes_is_small_and_near(spark, data):
+    """The fraction of the query: fingerprints under half of the text, errors within the stated deviation."""
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    rows = fingerprint.fingerprints(docs, bits=2).collect()
+    texts = dict(docs.select("doc_id", "text").collect())
+    order = sorted(texts)
+    assert sum(len(r["fingerprint"]) for r in rows) < 0.5 * sum(map(len, texts.values()))
+    within = []
+    for r in rows:
+        t, nxt = texts[r["doc_id"]], texts[order[(order.index(r["doc_id"]) + 1) % len(order)]]
+        half = len(t) // 2
+        x, y = shingle_set(t), shingle_set(t[: len(t) - half] + nxt[:half])
+        true, n = len(x & y) / min(len(x), len(y)), min(len(x), len(y))
+        within.append(abs(r["near_edited"] - true) <= 2 * math.sqrt(3 * max(true * (1 - true), 0.01) / n) + 1e-9)
+    assert np.mean(within) > 0.92
+
+
 def test_sketches_merge_like_texts(spark):
     texts = [" ".join(f"w{x}" for x in np.random.default_rng(k).integers(0, 99, 5)) for k in range(30)]
     rows = [(a, b) for a in texts for b in texts[:10]]
