@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -179,6 +180,29 @@ def clause_cases(spark, d):
     return rows.select("lang", F.explode(F.transform(clauses, lambda c: F.concat_ws("|", c["sentence_no"].cast("string"), c["text"]))).alias("clause"))
 
 
+#: A connector that needs no mark and one that does, for six languages.
+CONNECTORS = {"fr": ("bien que", "cependant"), "de": ("obwohl", "jedoch"), "es": ("pero", "sin embargo"), "it": ("però", "tuttavia"), "pt": ("porém", "contudo"), "nl": ("hoewel", "echter")}
+
+
+def _clauses_in(lang: str, kind: int) -> str:
+    opener, after = CONNECTORS[lang]
+    plain = _CLAUSES.replace("' but '", f"' {opener} '").replace("', however '", f"', {after} '").replace("FROM documents)", f"FROM documents WHERE doc_id % 6 = {kind})")
+    plain = plain.replace(_OPENERS_EN, re.sub(r"\(\?!.*?\)", "", X.OPENERS[lang])).replace(_AFTER_EN, re.sub(r"\(\?!.*?\)", "", X.AFTER_MARK[lang]))
+    return f"({plain} SELECT doc_id, '{lang}' AS lang, CAST(len(flatten(k)) AS INTEGER) AS n, array_to_string(flatten(k), '|') AS clauses FROM k)"
+
+
+@query(" UNION ALL ".join(_clauses_in(lang, i) for i, lang in enumerate(CONNECTORS)))
+def clauses_of_languages(spark, d):
+    rows = table(spark, d, "documents")
+    lang, text = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for i, (code, (opener, after)) in enumerate(CONNECTORS.items()):
+        mine = F.col("doc_id") % 6 == i
+        lang = F.when(mine, code).otherwise(lang)
+        text = F.when(mine, F.translate(F.replace(F.replace(F.col("text"), F.lit(" of "), F.lit(f" {opener} ")), F.lit(" and "), F.lit(f", {after} ")), "()", "  ")).otherwise(text)
+    found = rows.select("doc_id", lang.alias("lang"), text.alias("t")).withColumn("c", X.split_clauses(F.col("t"), F.col("lang"), 1))
+    return found.select("doc_id", "lang", F.size("c").alias("n"), F.array_join(F.transform("c", lambda c: c["text"]), "|").alias("clauses"))
+
+
 _ISSUE = "list_filter(list_distinct(regexp_extract_all(lower({}), '[a-z'']+')), lambda w: NOT list_contains(" + quoted(X.ISSUE_STOPWORDS) + ", w))"
 _PLACE = ("list_filter(list_distinct(string_split_regex(regexp_replace(regexp_replace(lower({}), '[^a-z0-9 ]+', ' ', 'g'), '^\\s+|\\s+$', '', 'g'), ' +')), "
           "lambda w: length(w) > 2 AND NOT list_contains(" + quoted(X.PLACE_STOPWORDS) + ", w))")
@@ -339,6 +363,14 @@ def cluster_blocks(spark, d):
     return C.blocks(members)
 
 
+@query("""WITH g AS (SELECT label, list('clause ' || vec_id ORDER BY vec_id) AS clauses, list_sort(list_distinct(list('place ' || vec_id % 3))) AS places, count(*) AS size, min(vec_id) AS first
+        FROM embeddings GROUP BY label HAVING count(*) >= 3)
+    SELECT CAST(row_number() OVER (ORDER BY size DESC, first) AS INTEGER) AS cluster_id, array_to_string(clauses, '|') AS clauses, array_to_string(places, '|') AS place_names, CAST(size AS INTEGER) AS size FROM g""")
+def label_blocks(spark, d):
+    members = _vectors(spark, d).select("seq", "cluster", F.concat(F.lit("clause "), "seq").alias("text"), F.concat(F.lit("place "), F.col("seq") % 3).alias("place"))
+    return C.blocks(members).withColumns({c: F.array_join(c, "|") for c in ("clauses", "place_names")})
+
+
 _CENTROID = f"""{_UNIT}, x AS (SELECT label, i, avg(v[i]) AS x FROM u, range(1, 65) AS r(i) GROUP BY 1, 2),
     n AS (SELECT label, sqrt(sum(x * x)) AS n FROM x GROUP BY 1), c AS (SELECT label, list(x / n ORDER BY i) AS c FROM x JOIN n USING (label) GROUP BY 1)"""
 
@@ -886,6 +918,38 @@ def reviews_column(spark, d):
     return readers.column_of(spark, path).select("seq", F.md5("text").alias("body"))
 
 
+@query("SELECT doc_id, lang FROM documents WHERE doc_id % 5 <> 0")
+def jsonl_skips(spark, d):
+    path = fresh(spark, "lines")
+    whole = F.to_json(F.struct("doc_id", "lang"))
+    table(spark, d, "documents").select(F.when(F.col("doc_id") % 5 == 0, F.expr("left(to_json(struct(doc_id, lang)), 12)")).otherwise(whole).alias("value")).write.text(path)
+    return readers.jsonl(spark, path, "doc_id long, lang string", "skip").drop("seq")
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS review_id, coalesce(text, '') AS content FROM documents")
+def csv_mapped(spark, d):
+    path = fresh(spark, "mapped")
+    writers.csv(table(spark, d, "documents").select("lang", "doc_id", "source", "text"), path)
+    return readers.csv(spark, path, {"doc_id": "review_id", "text": "content"}).drop("seq")
+
+
+@query("SELECT CAST(vec_id AS VARCHAR) AS clause_id, len(embedding) AS dim, round(embedding[1]::DOUBLE, 5) AS x FROM embeddings WHERE vec_id % 7 <> 0 AND vec_id % 11 <> 0")
+def vectors_read(spark, d):
+    path = fresh(spark, "vectors")
+    rows = table(spark, d, "embeddings").select(
+        F.col("vec_id").cast("string").alias("clause_id"), F.when(F.col("vec_id") % 7 == 0, "").otherwise("said").alias("clause_text"),
+        F.when(F.col("vec_id") % 11 == 0, F.array().cast("array<float>")).otherwise(F.col("embedding")).alias("embedding"))
+    writers.jsonl(rows, path)
+    return readers.vectors(spark, path).select("clause_id", F.size("embedding").cast("long").alias("dim"), F.round(F.col("embedding")[0].cast("double"), 5).alias("x"))
+
+
+@query("SELECT CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE p_name || ' ' || p_partkey END AS place FROM part WHERE p_partkey % 4 <> 0")
+def first_column_places(spark, d):
+    path = fresh(spark, "places")
+    writers.csv(table(spark, d, "part").select(F.when(F.col("p_partkey") % 4 == 0, " ").otherwise(F.concat_ws(" ", "p_name", "p_partkey")).alias("name"), "p_size"), path)
+    return readers.first_column(spark, path, header=True).drop("seq")
+
+
 @query("SELECT lang, doc_id, md5(text) AS body FROM documents WHERE regexp_matches(text, '\\S')")
 def json_array_files(spark, d):
     path = fresh(spark, "arrays")
