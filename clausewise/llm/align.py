@@ -189,7 +189,8 @@ def align(docs: DataFrame, first: str, second: str, slice_bytes: int = 2 << 20)
     ``first``: file of a byte-level BPE, which gets a blank before the text; ``second``: piece model, which
     adds one itself.  A text that is null or empty, or whose joined tokens are not the blank and the
     text in bytes (U+2581, for one), has no tokens: zeros, and '' for the hash.  Rows are documents one
-    by one: those that repeat a doc_id, or have none, stay and count.  Long texts are encoded whole; a
+    by one: those that repeat a doc_id, or have none, stay and count.  A tie for the highest count of an A id
+    makes all of its tied pairs best.  Long texts are encoded whole; a
     text longer than ``slice_bytes`` is a slice alone.  Other columns are not read; an empty table gives
     no rows.  An attempt of a task writes files of its own name, and the manifest names those that count.
     """

@@ -244,7 +244,8 @@ def pack_best_fit(docs: DataFrame, tokenizer: str, length: int = 1024, end_id: i
     Columns: doc_id, piece, start, length, ids_crc32, sequence_id, offset, key.  Only a document of more than
     ``length`` tokens is cut, into pieces of ``length``, the first one shorter if it must.  A null text is
     empty (the end id alone).  Rows are packed one by one: rows that repeat a doc_id, or have none, are
-    documents of their own.  Long texts are encoded whole.  An empty table gives no pieces; other columns
+    documents of their own; pieces of one length change places freely, and their row keys decide.  Long
+    texts are encoded whole.  An empty table gives no pieces; other columns
     are not read.
     """
     small_batches(docs.sparkSession)

@@ -90,7 +90,7 @@ def fingerprints(docs: DataFrame, words: int = 5, bits: int = 1, rows_per_bucket
     to the range before it, so that one shuffle brings every document next to the one that follows.
 
     Null texts are empty.  A null doc_id sorts first.  Rows that repeat a doc_id are ordered by
-    their text and each is followed by the next row.  An empty table gives no rows, a table of one
+    their text and each is followed by the next row.  A long text is read whole.  An empty table gives no rows, a table of one
     row follows itself; other columns are not read.
     """
     least = -(2**63)

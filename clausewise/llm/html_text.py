@@ -274,7 +274,7 @@ def main_text(pages: DataFrame, depth: int = 8, least: int = 3, shard_pages: int
     """(page_id, url, text) of every row of ``pages`` (page_id, url, html).
 
     A null or empty html gives the empty text; a null url belongs to the nameless host; rows that
-    repeat stay rows of their own (and count as distinct pages); an empty table gives no rows; other
+    repeat stay rows of their own (and count as distinct pages); a long text is read whole; an empty table gives no rows; other
     columns are not read.  Hosts of more than ``shard_pages`` pages are cut into shards by a hash
     of the page, which changes no result; the table of such hosts is broadcast only up to
     ``broadcast_hosts`` of them.

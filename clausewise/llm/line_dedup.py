@@ -209,7 +209,7 @@ def dedup_lines(docs: DataFrame, run: int = 50, gram: int = 25,
     replaced): lines deleted, runs deleted and words left.  Null texts stay null and hold no lines.  A row is
     known by doc_id and the hash of its text: rows that repeat both are one text and are treated
     alike; ids that repeat with other texts are texts of their own.  A null doc_id sorts first.
-    An empty table gives no rows.
+    A long text is read whole.  An empty table gives no rows.
     """
     key, row, spans, words, new = free_names(docs, "__id", "__row", "__spans", "__words", "__new")
     text = resolved("text")

@@ -179,7 +179,8 @@ def pack(docs: DataFrame, tokenizer: str, length: int = 2048, grain: int = 8, en
 
     Columns: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, key.
     A null text is empty (the end id alone).  Rows are packed one by one: rows that repeat a
-    doc_id, or have none, are documents of their own (``key`` tells the row).  An empty table
+    doc_id, or have none, are documents of their own (``key`` tells the row).  Pieces of one
+    length class are dealt in row order.  Long texts are encoded whole.  An empty table
     gives no pieces; other columns are not read.  ``grain`` is the width of a length class: an
     item may waste less than that, no class has more than ``length / grain`` rows in the plan.
     """

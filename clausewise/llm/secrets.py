@@ -54,7 +54,7 @@ def find_secrets(docs: DataFrame, scope: int = 200) -> DataFrame:
     ``kind`` is an index into ``KINDS``; offsets are code points, the end exclusive.  Weak
     candidates that overlap a base span are dropped, since the base span already reports them.
     Null and empty texts have no spans; rows that repeat doc_id and text are treated alike, each of
-    them staying; an empty table gives no rows; other columns are not read.
+    them staying; a long text is read whole; an empty table gives no rows; other columns are not read.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = docs.select("doc_id", F.xxhash64(text).alias("row"), text.alias("text"))

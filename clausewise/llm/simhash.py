@@ -230,7 +230,7 @@ def near_duplicates(docs: DataFrame, words: int = 4, radius: int = 4) -> DataFra
     Documents whose fingerprints differ in at most ``radius`` bits are linked; ``component_id`` is
     the smallest doc_id that can be reached.  Equal fingerprints are one node, so copies are never
     paired.  Empty and null texts share the fingerprint zero; rows with a null doc_id take part but
-    never name a component (null if no row of it has an id); rows that repeat stay; an empty table
+    never name a component (null if no row of it has an id); rows that repeat stay; a long text is read whole; an empty table
     gives no rows; other columns are not read.
     """
     fps = materialize(fingerprints(docs, words), "fingerprints")
