@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from clausewise.sources.shared import fresh
 
 log = logging.getLogger(__name__)
-CHUNK = ("chunk long, cell int, n int, ids array<long>, vectors binary, centre array<double>, radius double, norm double, reach double")
+CHUNK = "chunk long, cell int, n int, ids array<long>, vectors binary, centre array<double>, radius double, norm double, reach double"
 MOST_CELLS = 1024
 
 

@@ -36,6 +36,35 @@ def test_clauses_of_cases(spark):
         assert [(c["sentence_no"], c["text"]) for c in r["c"]] == CASES[r["i"]][1]
 
 
+#: Sentences of seven languages with their expected clauses: parentheses that hide separators, pieces
+#: under three words that join a neighbour, openers that need no mark and others that need one.
+LANGUAGES = [
+    ("en", "The beach was lovely, but the staff (rude, but rarely seen) ignored us. Nice though.",
+     ["1|The beach was lovely", "1|but the staff (rude, but rarely seen) ignored us.", "2|Nice though."]),
+    ("en", "Dr. Smith liked it although it rained; however the tour (which, however, was short) cost too much! We left early, but ok.",
+     ["1|Dr. Smith liked it", "1|although it rained", "1|however the tour (which, however, was short) cost too much!", "2|We left early, but ok."]),
+    ("fr", "La plage est belle mais la mer est sale. Le guide parlait vite, cependant il connaissait bien les lieux.",
+     ["1|La plage est belle", "1|mais la mer est sale.", "2|Le guide parlait vite", "2|cependant il connaissait bien les lieux."]),
+    ("fr", "Le repas est bon mais aussi un peu cher pour le lieu.", ["1|Le repas est bon mais aussi un peu cher pour le lieu."]),
+    ("de", "Der Strand war schön, aber das Wasser war leider kalt. Wir kamen wieder, obwohl es viel regnete.",
+     ["1|Der Strand war schön", "1|aber das Wasser war leider kalt.", "2|Wir kamen wieder", "2|obwohl es viel regnete."]),
+    ("es", "La playa es bonita pero el agua estaba muy sucia. Nos gustó mucho, sin embargo el precio es alto.",
+     ["1|La playa es bonita", "1|pero el agua estaba muy sucia.", "2|Nos gustó mucho", "2|sin embargo el precio es alto."]),
+    ("it", "Il mare è bello ma la spiaggia è molto sporca. Tornerei volentieri, tuttavia costa troppo per tutti.",
+     ["1|Il mare è bello", "1|ma la spiaggia è molto sporca.", "2|Tornerei volentieri, tuttavia costa troppo per tutti."]),
+    ("pt", "A praia é linda, porém o serviço foi muito lento. Gostamos do passeio, no entanto choveu o dia todo.",
+     ["1|A praia é linda", "1|porém o serviço foi muito lento.", "2|Gostamos do passeio", "2|no entanto choveu o dia todo."]),
+    ("nl", "Het strand was mooi, maar het water was erg koud. De gids was aardig, echter hij sprak te snel.",
+     ["1|Het strand was mooi", "1|maar het water was erg koud.", "2|De gids was aardig", "2|echter hij sprak te snel."]),
+]
+
+
+def test_clauses_of_seven_languages(spark):
+    rows = spark.createDataFrame([(i, lang, text) for i, (lang, text, _) in enumerate(LANGUAGES)], "i int, lang string, text string")
+    for r in rows.select("i", X.split_clauses(F.col("text"), F.col("lang"), 3).alias("c")).collect():
+        assert [f"{c['sentence_no']}|{c['text']}" for c in r["c"]] == LANGUAGES[r["i"]][2]
+
+
 @pytest.mark.parametrize("lang", ["en", "fr"])
 def test_properties_of_clauses(spark, lang):
     """Clauses stand in the text in order, are not cut inside parentheses, have three words unless they are
