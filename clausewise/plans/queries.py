@@ -24,6 +24,7 @@ from clausewise.operators.review_index import search_many, write_review_index
 from clausewise.operators.vector_index import nearest_many, write_vector_balls
 from clausewise.sources import readers, writers
 from clausewise.sources.shared import fresh
+from clausewise.streaming.stateless import first_clauses
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -203,6 +204,18 @@ def dedup_first(spark, d):
     return R.first_occurrences(rows).select("doc_id", "lang")
 
 
+@query(ORACLE_SQL["dedup_first"])
+def stream_first_texts(spark, d):
+    """The documents as a stream of files; the state at its end."""
+    path, files = fresh(spark, "stream-end"), table(spark, d, "documents")
+    stream = spark.readStream.schema(files.schema).option("maxFilesPerTrigger", 1).parquet(f"{d}/documents.parque[t]")  # a pattern may match a file as well as a folder
+    rows = stream.select("doc_id", F.col("doc_id").alias("seq"), F.lit(0).alias("pos"), "lang", "text")
+    query_ = first_clauses(rows).writeStream.outputMode("complete").option("checkpointLocation", fresh(spark, "stream-state")).foreachBatch(
+        lambda batch, _: batch.write.mode("overwrite").parquet(path)).trigger(availableNow=True).start()
+    query_.awaitTermination()
+    return spark.read.parquet(path).select("doc_id", "lang")
+
+
 _STARS = "CAST(turn % 6 AS VARCHAR) || ' stars'"
 _MOOD = "CASE WHEN turn % 6 IN (1, 2) THEN 'negative' WHEN turn % 6 IN (4, 5) THEN 'positive' ELSE 'neutral' END"
 
