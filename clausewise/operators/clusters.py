@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clausewise.functions.arrays import dot, unit
 
-from .metric import best_above, best_other, links_above, pack, pairs_above, stored
+from .metric import best_above, best_other, dropped, links_above, pack, pairs_above, stored
 
 
 def nearest(vectors: DataFrame, query: list[float], k: int = 15) -> DataFrame:
@@ -32,15 +32,17 @@ def components(nodes: DataFrame, edges: DataFrame, rounds: int = 60) -> DataFram
     """(seq, component): the least seq reached, by repeated minimum over neighbours and pointer
     jumping; a round is written to the shared folder and goes when the next one is there."""
     both = stored(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    label = nodes.select("seq", F.col("seq").alias("component"))
+    label = stored(nodes.select("seq", F.col("seq").alias("component")), "labels")
     for _ in range(rounds):
         near = both.join(label.withColumnRenamed("seq", "b"), "b").groupBy("a").agg(F.min("component").alias("m"))
         step = label.join(near, label.seq == near.a, "left").select("seq", F.least("component", F.coalesce("m", "component")).alias("component"))
         jump = stored(step.alias("x").join(step.alias("y"), F.col("x.component") == F.col("y.seq"), "left").select(
             "x.seq", F.coalesce("y.component", "x.component").alias("component")), "labels")
         changed = not jump.join(label.withColumnRenamed("component", "old"), "seq").where("component <> old").isEmpty()
+        dropped(label)
         label = jump
         if not changed:
+            dropped(both)
             return label
     raise RuntimeError("components did not converge")
 
@@ -113,7 +115,9 @@ def linkage_rounds(rows: DataFrame, distance: float) -> DataFrame:
         rest = near.join(gone, "seq", "left_anti").join(vectors, "seq").join(gone.select(F.col("seq").alias("other"), F.lit(True).alias("moved")), "other", "left")
         kept = rest.select("seq", "size", "embedding", F.when(F.col("moved").isNull(), F.col("other")).alias("other"),
                            F.when(F.col("moved").isNull(), F.col("similarity")).alias("similarity"))
-        alive = stored(merged.unionByName(kept), "alive")
+        last, alive = alive, stored(merged.unionByName(kept), "alive")
+        for table in (last, near, left.table, *([] if right is left else [right.table])):
+            dropped(table)
     out = rows.sparkSession.createDataFrame([], "a long, b long")
     for m in merges:
         out = out.unionByName(m)

@@ -27,10 +27,20 @@ MOST_CELLS = 1024
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared folder and read back."""
+    """``df`` written to the shared folder and read back; it goes when the session ends, or by ``dropped``."""
     path = fresh(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._own_path = path
+    return out
+
+
+def dropped(df: DataFrame) -> None:
+    """Delete what ``stored`` wrote for ``df``; only for a table that nothing reads any more."""
+    if not hasattr(df, "_own_path"):  # an empty table that was never written
+        return
+    at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._own_path)
+    at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
 @dataclass
