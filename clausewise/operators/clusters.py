@@ -25,7 +25,7 @@ def unit_vectors(df: DataFrame) -> DataFrame:
 def similar_pairs(df: DataFrame, distance: float) -> DataFrame:
     """(a, b, similarity) with a < b and cosine distance below ``distance``; only chunks of rows that
     can hold such a pair are compared (see ``metric``)."""
-    return pairs_above(unit_vectors(df).select("seq", "embedding"), 1 - distance)
+    return pairs_above(stored(unit_vectors(df).select("seq", "embedding"), "unit-vectors"), 1 - distance)
 
 
 def components(nodes: DataFrame, edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -208,8 +208,8 @@ def largest(sizes: DataFrame, n: int = 5) -> DataFrame:
 def close_centroids(df: DataFrame, above: float = 0.90) -> DataFrame:
     """(a, b, similarity), a < b: pairs of clusters whose centroids are more alike than ``above``; the
     same blocked product as for rows."""
-    rows = centroids(df).select(F.col("cluster").alias("seq"), F.col("centroid").alias("embedding"))
-    return similar_pairs(rows, 1 - above)
+    rows = stored(centroids(df).select(F.col("cluster").alias("seq"), F.col("centroid").alias("embedding")), "centroids")
+    return pairs_above(rows, above)
 
 
 def validation_report(df: DataFrame, least: int = 3) -> DataFrame:

@@ -161,7 +161,7 @@ BLOCK_KEYS = ("clauses", "items", "members", "samples", "text", "issue", "issues
 TEXT_KEYS = ("clause_text", "clause", "text")
 
 
-def block_texts(line: Column, depth: int = 32) -> Column:
+def block_texts(line: Column, depth: int = 16) -> Column:
     """Clauses of one JSON line of any shape.
 
     A string is its own clause.  A list gives its strings and the texts of its objects; other
@@ -205,7 +205,8 @@ def block_texts(line: Column, depth: int = 32) -> Column:
     def step(state, _):
         found = F.filter(F.transform(state["open"], texts), lambda x: F.size(x["texts"]) > 0)
         objects = F.filter(state["open"], lambda x: kind(x["v"]).startswith("OBJECT"))
-        return F.struct(F.flatten(F.transform(objects, under)).alias("open"), F.concat(state["found"], found).alias("found"))
+        more = F.struct(F.flatten(F.transform(objects, under)).alias("open"), F.concat(state["found"], found).alias("found"))
+        return F.when(F.size(state["open"]) > 0, more).otherwise(state)
 
     v = F.try_parse_json(line)
     start = F.struct(
