@@ -133,7 +133,7 @@ def test_toxicity_does_not_depend_on_partitions(spark, data):
 
 
 def test_registered():
-    assert {q.split("_")[0] for q in queries.QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in queries.QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert "pipeline" in __spark_entry__.queries()
 
 
@@ -147,7 +147,18 @@ def test_top_k_sql(spark, data):
     assert [tuple(r) for r in got.collect()] == want
 
 
-@pytest.mark.parametrize("name", ["op2_toxicity", "op3_html_text", "op10_secrets"])
+def test_lexical_sql(spark, data):
+    import duckdb
+
+    c = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        c.sql(f"create view {t} as from '{data}/{t}.parquet'")
+    want = c.sql(f"SELECT item_id, rank, doc_id, score FROM ({queries.ORACLE_SQL['op11_lexical']}) ORDER BY 1, 2").fetchall()
+    got = queries.QUERIES["op11_lexical"](spark, data).orderBy("item_id", "rank")
+    assert [tuple(r) for r in got.collect()] == want
+
+
+@pytest.mark.parametrize("name", ["op12_align", "op2_toxicity", "op3_html_text", "op10_secrets"])
 def test_rows_are_whole(spark, data, name):
     table = "pages" if name.startswith("op3") else "documents"
     assert queries.QUERIES[name](spark, data).select(F.count("*")).first()[0] == spark.read.parquet(f"{data}/{table}.parquet").count()
