@@ -97,3 +97,18 @@ def test_spreading_runs_no_job(spark, data):
     R.spread(rows)
     assert not tracker.getJobIdsForGroup("spread")
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_long_lists_are_not_broadcast(spark):
+    """Exploded tokens are far larger than the file that they come from tells."""
+    from clausewise.operators.ordered_merge import similar_before
+
+    rng = np.random.default_rng(3)
+    sets = [sorted({f"w{x}" for x in rng.integers(0, 60, rng.integers(1, 40))}) for _ in range(300)]
+    for k in range(0, 300, 10):
+        sets[k] = sorted({*sets[k - 1][: len(sets[k - 1]) * 3 // 4], f"x{k}"})
+    df = spark.createDataFrame([("a", i, t) for i, t in enumerate(sets)], "list string, pos long, tokens array<string>")
+    found = similar_before(df, 0.45)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    want = {(i, j) for j in range(300) for i in range(j) if len({*sets[i]} & {*sets[j]}) / len({*sets[i]} | {*sets[j]}) >= 0.45}
+    assert {(r["a"], r["b"]) for r in found.collect()} == want and len(want) > 30
