@@ -890,9 +890,9 @@ def first_column_places(spark, d):
 @query("SELECT lang, doc_id, md5(text) AS body FROM documents WHERE regexp_matches(text, '\\S')")
 def json_array_files(spark, d):
     path = fresh(spark, "arrays")
-    rows = table(spark, d, "documents").groupBy("lang").agg(F.to_json(F.array_sort(F.collect_list(F.struct(
-        F.concat_ws("-", "lang", "doc_id").alias("attraction_id"), F.lit("2020").alias("date"), F.lit(1.5).alias("rating"), F.col("text").alias("review_text"))))).alias("value"))
-    rows.repartition("lang").write.partitionBy("lang").text(path)  # an array a language
+    rows = table(spark, d, "documents").select(
+        F.concat_ws("-", "lang", "doc_id").alias("attraction_id"), F.lit("2020").alias("date"), F.lit(1.5).alias("rating"), F.col("text").alias("review_text"))
+    writers.json_arrays(rows, path, "attraction_id")
     key = F.split("attraction_id", "-")
     return readers.review_array(spark, path).select(key[0].alias("lang"), key[1].cast("long").alias("doc_id"), F.md5("review_text").alias("body"))
 

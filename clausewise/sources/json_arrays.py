@@ -58,9 +58,9 @@ def structure(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return parity.astype(np.int8) + 2 * quote.astype(np.int8), step
 
 
-def read_json_array(spark: SparkSession, path: str, schema: str, split_bytes: int = 16 << 20) -> DataFrame:
+def read_json_array(spark: SparkSession, path: str, schema: str, split_bytes: int = 4 << 20) -> DataFrame:
     """The elements of the JSON array in each file under ``path``, as columns of ``schema``, with ``seq``: unique, and
-    ascending in the order of files and of places in them.  An element that does not fit the schema is a
+    ascending in the order of files and of places in them.  A task takes some 40 bytes of memory for a byte of a range.  An element that does not fit the schema is a
     row of nulls; an empty file, or an empty array, has none.  The rows do not depend on ``split_bytes``."""
     import pyarrow as pa
 

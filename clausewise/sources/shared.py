@@ -27,3 +27,10 @@ def fresh(spark: SparkSession, label: str) -> str:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)
     return path
+
+
+def small_batches(spark: SparkSession, limit: int = 4 << 20) -> None:
+    """Lower the bytes of an Arrow batch that the JVM sends to Python to ``limit``, for rows that hold whole texts."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name, "64m")) > limit:
+        spark.conf.set(name, str(limit))

@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import small_batches
 from .steps import in_steps
 
 
@@ -38,6 +39,26 @@ def jsonl(df: DataFrame, path: str, single: bool = False, by: str | None = None)
     (w.partitionBy(by) if by else w).json(path)
 
 
+def json_arrays(df: DataFrame, path: str, *order: str) -> None:
+    """The rows as JSON objects in arrays, a file each, that follow one another in ``order``; rows pass through
+    their task one after another, so an array may be of any size.  No rows give no file with an array."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def arrays(batches):
+        opened = False
+        for batch in (b for b in batches if b.num_rows):
+            marks = pa.array(["," if opened else "[", *[","] * (batch.num_rows - 1)])
+            opened = True
+            yield pa.RecordBatch.from_arrays([pc.binary_join_element_wise(marks, batch.column(0), "")], names=["value"])
+        if opened:
+            yield pa.RecordBatch.from_pydict({"value": ["]"]})
+
+    small_batches(df.sparkSession)
+    rows = df.repartitionByRange(*order).sortWithinPartitions(*order).select(F.to_json(F.struct(*df.columns)).alias("value"))
+    rows.mapInArrow(arrays, "value string").write.mode("overwrite").text(path)
+
+
 def sentiment_files(nested: DataFrame, path: str) -> None:
     """Reviews with their clauses (``reviews.nest_by_review``), one folder a sentiment."""
     jsonl(nested.select("sentiment", F.nullif("review_key", F.lit("")).alias("review_id"), "place_name", "clauses"), path, by="sentiment")

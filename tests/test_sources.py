@@ -100,3 +100,24 @@ def test_vector_index_is_exact_and_skips(spark, tmp_path, caplog):
     opened, balls = (int(w) for w in caplog.records[-1].message.replace("vector index: ", "").replace(" balls opened", "").split(" of "))
     assert opened < balls / 2
     assert nearest_many(spark, path, questions.where("question < 0"), 5).count() == 0
+
+
+def test_array_files_hold_no_language_in_a_group(spark, data, tmp_path, monkeypatch):
+    """Arrays are written row by row: each file is one array, and no row of the plan holds a language."""
+    import json
+
+    from clausewise.plans import queries
+    from clausewise.sources import writers
+
+    rows = spark.range(500).selectExpr("cast(id as string) id", "repeat('a\"[,]', cast(id % 9 as int)) text").repartition(7)
+    writers.json_arrays(rows, f"file://{tmp_path}/a", "id")
+    parts = [json.loads(p.read_text()) for p in sorted((tmp_path / "a").glob("part-*")) if p.stat().st_size]
+    assert [x for p in parts for x in p] == [r.asDict() for r in rows.orderBy("id").collect()]
+    writers.json_arrays(rows.limit(0), f"file://{tmp_path}/b", "id")
+    assert read_json_array(spark, f"file://{tmp_path}/b", "id string").count() == 0
+
+    monkeypatch.setattr(queries, "fresh", lambda *_: f"file://{tmp_path}/c")
+    queries.json_array_files(spark, data).count()
+    longest = max(len(line) for p in (tmp_path / "c").rglob("part-*") for line in p.read_text().split("\n"))
+    texts = spark.read.parquet(f"{data}/documents.parquet").selectExpr("max(length(to_json(struct(text)))) most", "sum(length(text)) total").first()
+    assert longest < texts["most"] + 200 < texts["total"]
