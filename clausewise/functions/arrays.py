@@ -44,7 +44,8 @@ def norm(a: Column) -> Column:
 def unit(a: Column) -> Column:
     """``a`` at length 1; a vector of length zero has no direction and gets nulls."""
     n = F.nullif(norm(a), F.lit(0.0))
-    return F.transform(a, lambda x: x.cast("double") / n)
+    # an array of one, so that the norm is not taken again for every component
+    return F.element_at(F.transform(F.array(n), lambda m: F.transform(a, lambda x: x.cast("double") / m)), 1)
 
 
 def softmax(a: Column) -> Column:

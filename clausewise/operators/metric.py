@@ -5,8 +5,10 @@ by cell and distance from the pivot, so a cell of any size is cut into chunks of
 one row: its vectors packed as an array, their centre and the radius around it.  Two vectors of norms u and v
 at a distance of at least g have an inner product of at most (u^2 + v^2 - g^2) / 2, and by the triangle
 inequality g is at least the distance of the centres less both radii.  That bound, first against whole
-cells and then against chunks, leaves the chunk pairs that can hold a wanted pair; only those are joined
-and multiplied, as arrays inside a task.  Nothing is lost: the bound is never below a product.
+cells and then against chunks, leaves the chunk pairs that can hold a wanted pair; only those are multiplied,
+as arrays inside a task.  Pairs alone are shuffled: tasks read the vectors from the chunk files, in the
+shared folder, so the disk holds each vector once, however many pairs its chunk has.  Nothing is lost: the
+bound is never below a product.
 """
 
 from __future__ import annotations
@@ -24,12 +26,17 @@ from clausewise.sources.shared import fresh
 log = logging.getLogger(__name__)
 CHUNK = "chunk long, cell int, n int, ids array<long>, vectors binary, centre array<double>, radius double, norm double, reach double"
 MOST_CELLS = 1024
+#: Chunks that a task holds at once, and those that it meets before the next task goes on.
+HELD, MET = 8, 256
+ROW_GROUPS = {"parquet.block.row.count.limit": HELD}
+#: Chunks whose centres may be sent to all executors, some 600 bytes each for vectors of 64.
+MOST_SENT = 16_384
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, **options) -> DataFrame:
     """``df`` written to the shared folder and read back; it goes when the session ends, or by ``dropped``."""
     path = fresh(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._own_path = path
     return out
@@ -45,13 +52,16 @@ def dropped(df: DataFrame) -> None:
 
 @dataclass
 class Chunks:
-    """``table``: one row a chunk; of each cell its pivot, the longest distance from it, the largest squared norm."""
+    """``table``: one row a chunk; of each cell its pivot, the longest distance from it, the largest squared norm;
+    ``place``: the folder of the chunk files, with a folder a chunk if they are ``apart``."""
 
     table: DataFrame
     pivots: np.ndarray
     reach: np.ndarray
     norm: np.ndarray
     count: int
+    place: str = ""
+    apart: bool = False
 
 
 def spread_pivots(sample: np.ndarray, count: int) -> np.ndarray:
@@ -124,13 +134,13 @@ def pack(rows: DataFrame, cells: int | None = None, chunk_bytes: int = 1 << 20)
 
     placed = rows.mapInArrow(assign, "seq long, embedding array<double>, cell int, gap double")
     ranged = placed.repartitionByRange("cell", "gap", "seq").sortWithinPartitions("cell", "gap", "seq")
-    table = stored(ranged.mapInArrow(build, CHUNK), "chunks")
+    table = stored(ranged.mapInArrow(build, CHUNK), "chunks", **ROW_GROUPS)
     reach, norm = np.full(len(pivots), -1.0), np.zeros(len(pivots))
     count = 0
     for r in table.groupBy("cell").agg(F.max("reach").alias("reach"), F.max("norm").alias("norm"), F.count("*").alias("n")).collect():  # a row a cell
         reach[r["cell"]], norm[r["cell"]] = r["reach"], r["norm"]
         count += r["n"]
-    return Chunks(table, pivots, reach, norm, count)
+    return Chunks(table, pivots, reach, norm, count, table._own_path)
 
 
 def bound(far: Column) -> Column:
@@ -163,25 +173,72 @@ def candidates(left: Chunks, right: Chunks, least: float | DataFrame) -> DataFra
     asked = asking.select("chunk", "centre", "radius", "norm", "least").mapInArrow(
         probe, "a long, centre array<double>, radius double, norm double, least double, cell int")
     known = right.table.select("cell", F.col("chunk").alias("b"), F.col("centre").alias("centre2"), F.col("radius").alias("radius2"), F.col("norm").alias("norm2"))
+    # what is asked holds a centre for every live cell, so it should not be shuffled
+    known = F.broadcast(known) if right.count <= MOST_SENT else known
     far = F.sqrt(F.aggregate(F.zip_with("centre", "centre2", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
     return asked.join(known, "cell").withColumn("most", bound(far)).where("most >= least").select("a", "b", "most")
 
 
+def chunks_in(place: str, apart: bool, wanted: np.ndarray):
+    """(chunk, ids, vectors) of the ``wanted`` chunks (ascending) from their files; other row groups are not read."""
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+
+    store, root = fs.FileSystem.from_uri(place if "://" in place else "file://" + place.removeprefix("file:"))
+    # a chunk's number begins with that of the task that wrote it, and so of its file
+    under = [(f"{root}/chunk={c}", "part-", [c]) for c in wanted.tolist()] if apart else [
+        (root, f"part-{part:05d}-", wanted[wanted >> 32 == part].tolist()) for part in np.unique(wanted >> 32).tolist()]
+    listed: dict[str, list[str]] = {}
+    for folder, name, own in under:
+        if folder not in listed:
+            listed = {folder: sorted(x.path for x in store.get_file_info(fs.FileSelector(folder)) if x.path.endswith(".parquet"))}
+        found = 0
+        for path in (x for x in listed[folder] if x.rsplit("/", 1)[1].startswith(name)):
+            with store.open_input_file(path) as f:
+                file = pq.ParquetFile(f)
+                for g in range(file.num_row_groups):
+                    held = own if apart else file.read_row_group(g, ["chunk"]).column(0).to_pylist()
+                    if not (take := [k for k, c in enumerate(held) if c in own]):
+                        continue
+                    rows = file.read_row_group(g, ["ids", "vectors"]).take(take).to_batches()
+                    at = iter(take)
+                    for batch in rows:
+                        for k in range(batch.num_rows):
+                            ids = batch.column("ids")[k].values.to_numpy()
+                            yield held[next(at)], ids, np.frombuffer(batch.column("vectors")[k].as_buffer()).reshape(len(ids), -1)
+                            found += 1
+        if found != len(own):
+            raise RuntimeError(f"{found} of {len(own)} chunks in {folder}")
+
+
 def multiply(pairs: DataFrame, left: Chunks, right: Chunks, run, schema: str) -> DataFrame:
-    """``run`` of the ids and vectors of both chunks of every pair, as record batches of ``schema``."""
-    a = left.table.select(F.col("chunk").alias("a"), F.col("ids").alias("ids_a"), F.col("vectors").alias("vectors_a"))
-    b = right.table.select(F.col("chunk").alias("b"), F.col("ids").alias("ids_b"), F.col("vectors").alias("vectors_b"))
+    """``run`` of the ids and vectors of both chunks of every pair, as record batches of ``schema``.  A task holds
+    ``HELD`` neighbouring chunks of the left and reads those of the right that they meet one after another."""
+    of_left, of_right = (left.place, left.apart), (right.place, right.apart)
+
+    def met(pairs):
+        a = {c: (ids, x) for c, ids, x in chunks_in(*of_left, np.unique(pairs[:, 0]))}
+        for c, y_ids, y in chunks_in(*of_right, np.unique(pairs[:, 1])):
+            for own in pairs[pairs[:, 1] == c, 0].tolist():
+                x_ids, x = a[own]
+                if (out := run(x_ids, y_ids, x @ y.T, own == c)) is not None:
+                    yield out
 
     def products(batches):
+        key, held = None, []
         for batch in batches:
-            for k in range(batch.num_rows):
-                same = batch.column(0)[k].as_py() == batch.column(1)[k].as_py()
-                x_ids, y_ids = (batch.column(c)[k].values.to_numpy() for c in (2, 4))
-                x, y = (np.frombuffer(batch.column(c)[k].as_buffer()).reshape(len(ids), -1) for c, ids in ((3, x_ids), (5, y_ids)))
-                if (out := run(x_ids, y_ids, x @ y.T, same)) is not None:
-                    yield out
+            for row in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                if row[:2] != key:
+                    if held:
+                        yield from met(np.array(held))
+                    key, held = row[:2], []
+                held.append(row[2:])
+        if held:
+            yield from met(np.array(held))
 
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "ids_a", "vectors_a", "ids_b", "vectors_b").mapInArrow(products, schema)
+    keyed = pairs.select(F.shiftright("a", HELD.bit_length() - 1).alias("x"), F.shiftright("b", MET.bit_length() - 1).alias("y"), "a", "b")
+    tasks = min(4096, math.ceil(max(1, left.count) / HELD) * math.ceil(max(1, right.count) / MET) * 2)
+    return keyed.repartition(tasks, "x", "y").sortWithinPartitions("x", "y").mapInArrow(products, schema)
 
 
 def _within(rows: DataFrame, least: float) -> tuple[Chunks, DataFrame]:

@@ -9,7 +9,6 @@ bound reaches it are opened after that.  Results are exact.
 from __future__ import annotations
 
 import logging
-from dataclasses import replace
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -34,7 +33,7 @@ def open_vector_balls(spark: SparkSession, path: str) -> Chunks:
     cells = spark.read.parquet(f"{path}/cells").orderBy("cell").collect()  # 1,024 at most
     schema = "cell int, n int, ids array<long>, vectors binary, centre array<double>, radius double, norm double, reach double, chunk long"
     table = spark.read.schema(schema).parquet(f"{path}/balls") if cells else spark.createDataFrame([], schema)
-    return Chunks(table, np.array([r["pivot"] for r in cells]), np.array([r["reach"] for r in cells]), np.array([r["norm"] for r in cells]), len(cells))
+    return Chunks(table, np.array([r["pivot"] for r in cells]), np.array([r["reach"] for r in cells]), np.array([r["norm"] for r in cells]), table.select("chunk").count() if cells else 0, f"{path}/balls", True)
 
 
 def nearest_many(spark: SparkSession, path: str, questions: DataFrame, k: int = 15) -> DataFrame:
@@ -56,8 +55,7 @@ def nearest_many(spark: SparkSession, path: str, questions: DataFrame, k: int =
 
     def search(pairs):
         balls = [r["b"] for r in pairs.select("b").distinct().collect()]  # a number a file
-        some = replace(index, table=index.table.where(F.col("chunk").isin(balls)))
-        return multiply(pairs, asked, some, top, "question long, seq long, similarity double"), set(balls)
+        return multiply(pairs, asked, index, top, "question long, seq long, similarity double"), set(balls)
 
     def best(found):
         by = Window.partitionBy("question").orderBy(F.desc("similarity"), "seq")
@@ -72,6 +70,6 @@ def nearest_many(spark: SparkSession, path: str, questions: DataFrame, k: int =
         F.min(F.coalesce("kth", F.lit(float("-inf")))).alias("least"))
     rest = stored(candidates(asked, index, stored(floor, "floors")).select("a", "b").join(first, ["a", "b"], "left_anti"), "other-balls")
     more, others = search(rest)
-    log.info("vector index: %d of %d balls opened", len(opened | others), index.table.select("chunk").count())
+    log.info("vector index: %d of %d balls opened", len(opened | others), index.count)
     out = best(found.drop("rank").unionByName(more))
     return out.select("question", F.col("rank").cast("int").alias("rank"), "seq", "similarity")

@@ -71,3 +71,27 @@ def test_linkage_in_rounds_is_that_of_the_matrix(spark):
     dense = {tuple(r) for r in C.clusters(df, distance, most=10_000).collect()}
     assert {tuple(r) for r in C.clusters(df, distance, most=1).collect()} == dense
     assert 1 < len({c for _, c in dense}) < 150
+
+
+def test_vectors_are_not_shuffled_by_pair(spark):
+    """Pairs of chunks are shuffled, vectors are read from the chunk files, a few chunks of a file at a time."""
+    from pathlib import Path
+
+    import pyarrow.parquet as pq
+
+    from clausewise.operators import metric
+
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(700, 8))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i * 3, v.tolist()) for i, v in enumerate(x)], "seq long, embedding array<double>")
+    found = metric.pairs_above(df, 0.9)
+    assert "vectors" not in found._jdf.queryExecution().executedPlan().toString()
+    s = x @ x.T
+    want = {(3 * i, 3 * j) for i, j in zip(*np.nonzero(s > 0.9), strict=True) if i < j}
+    got = [(r["a"], r["b"]) for r in found.collect()]
+    assert len(got) == len(set(got)) and set(got) == want and want
+    chunks = metric.pack(df, 26)
+    files = [pq.ParquetFile(f).metadata for f in Path(chunks.place.removeprefix("file://")).glob("part-*.parquet")]
+    assert sum(f.num_rows for f in files) == chunks.count > 20
+    assert max(f.row_group(g).num_rows for f in files for g in range(f.num_row_groups)) <= metric.HELD
