@@ -336,7 +336,7 @@ def sim_pairs(spark, d):
     SELECT s AS vec_id, min(t) AS component FROM r GROUP BY s""")
 def sim_components(spark, d):
     rows = _vectors(spark, d)
-    return C.components(rows, C.similar_pairs(rows, 0.6)).select(F.col("seq").alias("vec_id"), "component")
+    return C.components(rows, C.similar_links(rows, 0.6)).select(F.col("seq").alias("vec_id"), "component")
 
 
 @query()
