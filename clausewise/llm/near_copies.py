@@ -1,6 +1,9 @@
-"""Near copies by exact shingle similarity, for the pipeline's stage.
+"""Near copies by SimHash and exact shingle similarity, for the pipeline's stage.
 
-Texts are nodes (equal texts are one).  Candidates share one of ``BANDS`` bands of ``ROWS`` min-hashes
+Texts are nodes (equal texts are one).  SimHash comes first: fingerprints over the word shingles are compared
+exactly, in tiles (operator 4), and texts whose fingerprints the tiles link are verified and connected.  A pair at
+similarity 0.8 differs in about ten bits, more than tiles can find without comparing all pairs, so an
+exact check follows for what SimHash leaves apart.  Its candidates share one of ``BANDS`` bands of ``ROWS`` min-hashes
 over word shingles; at similarity 0.8 a pair misses all of them with a chance of 3e-6.  Every candidate is
 verified by the Jaccard similarity of its whole shingle sets.  Inside a band the nodes first meet
 the smallest of it, so a group of copies costs one pair a node.  Those of bands that still hold several
@@ -18,9 +21,11 @@ from pyspark.sql import functions as F
 
 from .common import byte_groups, lean, materialize, small_batches, worker_for
 from .components import connected_components
-from .simhash import shingle_hashes
+from .simhash import majority, near_links, shingle_hashes
 
 BANDS, ROWS = 24, 4
+#: Bits in which linked fingerprints differ at most.
+RADIUS = 4
 
 
 def min_hash_bands(hashes: np.ndarray) -> list[int]:
@@ -108,6 +113,17 @@ def sharing(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
     return materialize(pairs.select(F.col("x.row").alias("a"), F.col("y.row").alias("b")).distinct(), "sharing")
 
 
+def fingerprint_pairs(nodes: DataFrame) -> DataFrame:
+    """(a, b): rows of ``nodes`` (row, fp) that the tiles of SimHash link, each with one that stands for its fingerprint;
+    rows of one fingerprint meet the least of them."""
+    named = materialize(nodes.groupBy("fp").agg(F.min("row").alias("least")), "fingerprints")
+    same = nodes.join(named, "fp").where("row <> least").select(F.col("least").alias("a"), F.col("row").alias("b"))
+    near = near_links(named, RADIUS)
+    x, y = (named.select(F.col("fp").alias(c), F.col("least").alias(r)) for c, r in (("a", "x"), ("b", "y")))
+    other = near.join(x, "a").join(y, "b").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    return materialize(same.unionByName(other).distinct(), "fingerprint-pairs")
+
+
 def similar_components(docs: DataFrame, words: int = 5, least: float = 0.8) -> DataFrame:
     """(row, component) for every distinct text of ``docs`` (columns row, text; no nulls), linked
     where the similarity of the sets of ``words``-word shingles is at least ``least``."""
@@ -118,17 +134,24 @@ def similar_components(docs: DataFrame, words: int = 5, least: float = 0.8) -> D
 
         worker_for("near_copies")
         for batch in (g for b in batches for g in byte_groups(b)):
-            found = [min_hash_bands(shingle_hashes(t, words)) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["row", "bands"])
+            hashes = [shingle_hashes(t, words) for t in batch.column(1).to_pylist()]
+            found = [min_hash_bands(h) for h in hashes]
+            fp = np.array([majority(h) for h in hashes], dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp), pa.array(found, pa.list_(pa.int64()))], names=["row", "fp", "bands"])
 
     small_batches(docs.sparkSession)
-    nodes = materialize(docs.select("row", "text").mapInArrow(sketch, "row long, bands array<long>")
-                        .groupBy("row").agg(F.first("bands").alias("bands")), "sketches")
+    nodes = materialize(docs.select("row", "text").mapInArrow(sketch, "row long, fp long, bands array<long>")
+                        .groupBy("row").agg(F.first("fp").alias("fp"), F.first("bands").alias("bands")), "sketches")
+    links = materialize(verified(fingerprint_pairs(nodes.select("row", "fp")), docs, words, least), "links")
+    linked = materialize(connected_components(links), "known")
     banded = nodes.select("row", F.explode("bands").alias("band"))
     firsts = banded.groupBy("band").agg(F.min("row").alias("a"), F.max("row").alias("last")).where("a < last").select("band", "a")
     met = materialize(banded.join(firsts, "band"), "met")
-    star = materialize(met.where("a < row").select("a", F.col("row").alias("b")).distinct(), "star")
-    links = materialize(verified(star, docs, words, least), "links")
+    star = met.where("a < row").select("a", F.col("row").alias("b")).distinct()
+    # what SimHash has connected needs no more pairs
+    a, b = (linked.select(F.col("node").alias(c), F.col("component").alias(d)) for c, d in (("a", "c"), ("b", "d")))
+    star = star.join(a, "a", "left").join(b, "b", "left").where(F.coalesce("c", "a") != F.coalesce("d", "b")).select("a", "b")
+    links = materialize(links.unionByName(verified(materialize(star, "star"), docs, words, least)), "links")
     known = materialize(connected_components(links), "known")
     parts = met.join(known.withColumnRenamed("node", "row"), "row", "left").select(
         "band", "row", "a", F.coalesce("component", "row").alias("c"))

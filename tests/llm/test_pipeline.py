@@ -60,6 +60,25 @@ def test_near_copies_are_complete(spark, data):
     assert pairs > 40 and len(set(got.values())) == len(set(label))
 
 
+def test_near_copies_go_through_simhash(spark, monkeypatch):
+    """Without any min-hash band the tiles of fingerprints alone still connect the copies within their radius."""
+    from clausewise.llm import near_copies
+    from clausewise.llm.simhash import majority, shingle_hashes
+
+    rng = np.random.default_rng(12)
+    texts = []
+    for _ in range(60):
+        words = [f"w{x}" for x in rng.integers(0, 9999, 400)]
+        texts += [" ".join(words), " ".join(words[:200] + ["new"] + words[201:])]
+    fp = [majority(shingle_hashes(t, 5)) for t in texts]
+    near = [k for k in range(0, len(texts), 2) if (fp[k] ^ fp[k + 1]).bit_count() <= near_copies.RADIUS]
+    docs = spark.createDataFrame(list(enumerate(texts)), "row long, text string")
+    monkeypatch.setattr(near_copies, "min_hash_bands", lambda h: [])
+    got = {r["row"]: r["component"] for r in near_copies.similar_components(docs).collect()}
+    assert len(near) > 40 and all(got[k] == got[k + 1] == k for k in near)
+    assert len({*got.values()}) == len(texts) - len(near)
+
+
 def test_near_duplicates_keep_other_texts(spark):
     rows = [(None, "first of the lone texts here"), (None, "second one has quite other words"), (None, "second one has quite other words"),
             (3, "some text under a hot number"), (3, "unlike words below that same id"), (4, "unlike words below that same id"), (None, "some text under a hot number")]
