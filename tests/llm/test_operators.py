@@ -1,6 +1,7 @@
 """Corpus operators against brute force and on edge cases: nulls, empty and long texts, ties,
 repeated rows, empty tables, clashing columns."""
 
+import cProfile
 import hashlib
 import math
 import re
@@ -72,6 +73,65 @@ def test_samples_edges(spark):
     assert sampling.sample_segmentations(docs_of(spark, []), PIECES).count() == 0
 
 
+def test_samples_of_many_rows_are_searched_together():
+    """Python calls for each further row stay few: lattices, draws and splits are made on arrays of all rows."""
+    v = sampling.Vocabulary.load(PIECES, 0.3)
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.choice(["alpha,", "beta", "gamma.", "delta\nx", "Straße!"], 60)) for _ in range(400)]
+    counts = []
+    for n in (100, 400):
+        with cProfile.Profile() as p:
+            sampling.sample_texts(texts[:n], list(range(n)), v, 2, 7)
+        counts.append(sum(x.callcount for x in p.getstats()))
+    assert (counts[1] - counts[0]) / 300 < 100
+
+
+def test_samples_do_not_depend_on_the_rows_beside_them():
+    v = sampling.Vocabulary.load(PIECES, 0.3)
+    texts = ["one two three. " * n + "é" * n for n in range(12)]
+    together = sampling.sample_texts(texts, list(range(12)), v, 6, 3)
+    for i, text in enumerate(texts):
+        alone = sampling.sample_texts([text], [i], v, 6, 3)[0]
+        assert [(p.tolist(), *rest) for p, *rest in alone] == [(p.tolist(), *rest) for p, *rest in together[i]]
+
+
+@pytest.mark.parametrize("text", ["été.", "a\n\nb", "aaaaaa " + "\U0001f600" * 9 + " aaaaa.", "\U0001f600" * 40])
+def test_all_segmentations_come_once(text):
+    """More are asked than there are: sets opened late, after the first block of edges, lose none and double none."""
+    v = sampling.Vocabulary.load(PIECES, 0.3)
+    found = sampling.sample_texts([text], [9], v, 10_000, 1)[0]
+    assert len({p.tobytes() for p, *_ in found}) == len(found) < 10_000
+    assert sum(math.exp(lp) for _, lp, _, _ in found) == pytest.approx(1) and all(q == 1 for *_, q in found)
+    assert all(v.decode(p.tolist()) == text for p, *_ in found)
+    assert [x[2] for x in found] == sorted((x[2] for x in found), reverse=True)
+
+
+def test_parts_of_words_on_bytes():
+    v = sampling.Vocabulary.load(PIECES, 0.3)
+    rng = np.random.default_rng(3)
+    bits = ["a", "the", "Ç", "日本", "한", ".", ",", "!", "'", "(", " ", "  ", "\n", "\t", "1", "²", "\u0301", "\U0001d4b3", "\U0001f600", "\0"]
+    texts = ["".join(rng.choice(bits, rng.integers(0, 30))) for _ in range(3000)] + ["", " ", ".", "a.", "\U0001d4b3.", "\n", "a\n", "x.\ny."]
+    (chars, sizes), flat, many = sampling.numbered_parts(texts, v)
+    whole = ["".join(map(chr, c)) for c in np.split(chars, np.cumsum(sizes)[:-1])]
+    assert len(set(whole)) == len(whole)
+    for text, own in zip(texts, np.split(flat, np.cumsum(many)[:-1])):
+        assert [whole[i] for i in own] == [x for w in sampling.words_of(text) for x in v.cut(w)], text
+
+
+@pytest.mark.parametrize("alpha", [0.3, 1.0])
+def test_lattice_of_words_beyond_the_range_of_floats(alpha):
+    v = sampling.Vocabulary.load(PIECES, alpha)
+    lat = sampling.lattice(["▁cats", "▁" + "abcé日" * 400, "\U0001f600" * 300], v)
+    assert np.isfinite(lat.logp).all()
+    mass = np.zeros(len(lat.edge))
+    for s in range(len(lat.edge) - 2, -1, -1):
+        e = slice(lat.edge[s], lat.edge[s + 1])
+        value = v.logp[lat.piece[e]] + np.where(lat.to[e] < 0, 0.0, mass[lat.to[e]])
+        mass[s] = np.logaddexp.reduce(value)
+        np.testing.assert_allclose(lat.logp[e], value - mass[s], atol=1e-9)
+        assert lat.ladder[e][-1] == pytest.approx(1) and (np.diff(lat.ladder[e]) > 0).all()
+
+
 # ---- 2 toxicity -------------------------------------------------------------
 
 
