@@ -31,6 +31,8 @@ HELD, MET = 8, 256
 ROW_GROUPS = {"parquet.block.row.count.limit": HELD}
 #: Chunks whose centres may be sent to all executors, some 600 bytes each for vectors of 64.
 MOST_SENT = 16_384
+#: Rows of a product that is held at once, and the most that a task of ``best_above`` asks for.
+TILE, STACK, ASKED = 512, 2048, 8192
 
 
 def stored(df: DataFrame, label: str, **options) -> DataFrame:
@@ -73,27 +75,27 @@ def spread_pivots(sample: np.ndarray, count: int) -> np.ndarray:
     return sample[chosen]
 
 
-def _matrix(column) -> np.ndarray:
+def matrix(column) -> np.ndarray:
     rows = len(column)
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(rows, -1) if rows else np.zeros((0, 0))
 
 
-def pack(rows: DataFrame, cells: int | None = None, chunk_bytes: int = 1 << 20) -> Chunks:
+def pack(rows: DataFrame, cells: int | None = None, chunk_bytes: int = 1 << 20, pivots: np.ndarray | None = None) -> Chunks:
     """``rows``: seq (unique long) and embedding (doubles, one length for all).  ``cells``: by default the square
-    root of the rows, 1,024 at most; pivots come from the four rows a cell of least hash."""
+    root of the rows, 1,024 at most; ``pivots``: by default from the four rows a cell of least hash."""
     import pyarrow as pa
 
     rows = rows.select(F.col("seq").cast("long").alias("seq"), F.col("embedding").cast("array<double>").alias("embedding"))
-    n = rows.count()
-    cells = cells or min(MOST_CELLS, max(1, math.isqrt(n)))
-    sample = rows.orderBy(F.xxhash64("seq"), "seq").limit(4 * cells).select("embedding").collect()  # bounded by the cells
-    if not sample:
-        return Chunks(rows.sparkSession.createDataFrame([], CHUNK), np.zeros((0, 0)), np.zeros(0), np.zeros(0), 0)
-    pivots = spread_pivots(np.array([r["embedding"] for r in sample], dtype=np.float64), cells)
+    if pivots is None:
+        cells = cells or min(MOST_CELLS, max(1, math.isqrt(rows.count())))
+        sample = rows.orderBy(F.xxhash64("seq"), "seq").limit(4 * cells).select("embedding").collect()  # bounded by the cells
+        if not sample:
+            return Chunks(rows.sparkSession.createDataFrame([], CHUNK), np.zeros((0, 0)), np.zeros(0), np.zeros(0), 0)
+        pivots = spread_pivots(np.array([r["embedding"] for r in sample], dtype=np.float64), cells)
 
     def assign(batches):
         for batch in batches:
-            x = _matrix(batch.column(1))
+            x = matrix(batch.column(1))
             if not len(x):
                 continue
             cell = ((pivots**2).sum(axis=1) - 2 * (x @ pivots.T)).argmin(axis=1)
@@ -117,7 +119,7 @@ def pack(rows: DataFrame, cells: int | None = None, chunk_bytes: int = 1 << 20)
 
         held, size, now = [], 0, -1
         for batch in batches:
-            ids, x, cell, gap = batch.column(0).to_numpy(), _matrix(batch.column(1)), batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            ids, x, cell, gap = batch.column(0).to_numpy(), matrix(batch.column(1)), batch.column(2).to_numpy(), batch.column(3).to_numpy()
             most = max(64, chunk_bytes // (8 * max(1, x.shape[1])))
             at = 0
             while at < len(ids):
@@ -160,7 +162,7 @@ def candidates(left: Chunks, right: Chunks, least: float | DataFrame) -> DataFra
 
     def probe(batches):
         for batch in batches:
-            c, r, w, low = _matrix(batch.column(1)), *(batch.column(k).to_numpy() for k in (2, 3, 4))
+            c, r, w, low = matrix(batch.column(1)), *(batch.column(k).to_numpy() for k in (2, 3, 4))
             if not len(c):
                 continue
             far = np.sqrt(np.maximum(0, (c**2).sum(axis=1)[:, None] - 2 * c @ pivots.T + (pivots**2).sum(axis=1)))
@@ -307,10 +309,127 @@ def _reduced(found: DataFrame) -> DataFrame:
 BEST = "seq long, other long, similarity double"
 
 
+def closer(x, x_ids, y, y_ids, best, other, at, base: int = 0) -> None:
+    """Bring ``best`` (at first the product to be exceeded), ``other`` (an id of ``y``, the least among equals) and ``at``
+    (its place in ``y`` plus ``base``, at first -1) of the rows of ``x`` up to date with the rows of ``y``; equal ids do not meet.
+
+    ``x`` and ``y`` are pairs: the doubles, and the floats that ``halved`` makes.  Products of floats, which may be off by
+    ``slack``, tell where a better one can be, and those few are taken again from the doubles, always in the same
+    order, so that a product does not depend on the side or place of its rows.
+    """
+    (x, x32), (y, y32) = x, y
+    if not len(x) or not len(y):
+        return
+    slack = 1e-30 + (x.shape[1] + 8) * 2.0**-22 * math.sqrt(float((x**2).sum(axis=1).max()) * float((y**2).sum(axis=1).max()))
+    for j in range(0, len(y), STACK):
+        ids = y_ids[j : j + STACK]
+        order = np.argsort(ids)
+        for i in range(0, len(x), TILE):
+            s = x32[i : i + TILE] @ y32[j : j + STACK].T
+            own = x_ids[i : i + TILE]
+            k = order[np.minimum(np.searchsorted(ids, own, sorter=order), len(ids) - 1)]
+            same = np.flatnonzero(ids[k] == own)
+            s[same, k[same]] = -np.inf
+            most, now = s.max(axis=1).astype(np.float64), best[i : i + TILE]
+            rows = np.flatnonzero((most >= now - slack) & (most > -np.inf))
+            if not len(rows):
+                continue
+            low = np.maximum(now[rows], most[rows]) - slack
+            r, c = np.nonzero(s[rows] >= low.astype(s.dtype)[:, None])
+            r = rows[r]
+            for e in range(0, len(r), 1 << 16):
+                q, d = r[e : e + (1 << 16)] + i, c[e : e + (1 << 16)] + j
+                p, name = (x[q] * y[d]).sum(axis=1), y_ids[d]
+                turn = np.lexsort((name, -p, q))
+                turn = turn[np.r_[True, np.diff(q[turn]) > 0]]
+                q, d, p, name = q[turn], d[turn], p[turn], name[turn]
+                take = (p > best[q]) | (p == best[q]) & (at[q] >= 0) & (name < other[q])
+                q = q[take]
+                best[q], other[q], at[q] = p[take], name[take], d[take] + base
+
+
+def halved(x: np.ndarray) -> np.ndarray:
+    """``x`` as floats, unless a product could leave their range."""
+    return x if np.abs(x).max(initial=0) > 1e15 else x.astype(np.float32)
+
+
 def best_above(left: Chunks, right: Chunks, least: float) -> DataFrame:
     """(seq, other, similarity): for the rows of ``left`` the row of ``right`` of another seq with the largest
-    product, the least seq among equals, where that is above ``least``."""
-    return _reduced(multiply(candidates(left, right, least).select("a", "b"), left, right, _best, BEST)).where(F.col("similarity") > least)
+    product, the least seq among equals, where that is above ``least``.
+
+    A task asks for a few neighbouring chunks, reads the chunks of the right whose bound reaches ``least`` and what
+    is found already one after another, and returns a row for each of its own that has one, so nothing
+    is shuffled. The centres of up to ``MOST_SENT`` chunks are sent to the tasks; beyond that, pairs are joined.
+    """
+    import pyarrow as pa
+
+    spark = left.table.sparkSession
+    if not left.count or not right.count:
+        return spark.createDataFrame([], BEST)
+    if max(left.count, right.count) > MOST_SENT:
+        return _reduced(multiply(candidates(left, right, least).select("a", "b"), left, right, _best, BEST)).where(F.col("similarity") > least)
+
+    def known(chunks):
+        rows = chunks.table.select("chunk", "n", "centre", "radius", "norm").orderBy("chunk").collect()  # MOST_SENT at most
+        return [np.array([r[k] for r in rows]) for k in range(5)]
+
+    of_left = known(left)
+    of_right = of_left if right is left else known(right)
+    paths = (left.place, left.apart), (right.place, right.apart)
+    total = int(of_left[1].sum())
+    each = min(ASKED, max(TILE, total // (4 * spark.sparkContext.defaultParallelism)))
+    group = (np.cumsum(of_left[1]) - of_left[1]) // each
+    tasks = int(group[-1]) + 1
+
+    def asked(batches):
+        for batch in batches:
+            for task in batch.column(0).to_pylist():
+                yield from answers(np.flatnonzero(group == task))
+
+    def answers(mine):
+        if not len(mine):
+            return
+        _, n, centre, radius, norm = (v[mine] for v in of_left)
+        chunk2, _, centre2, radius2, norm2 = of_right
+        far = np.sqrt(np.maximum(0, (centre**2).sum(axis=1)[:, None] - 2 * centre @ centre2.T + (centre2**2).sum(axis=1)))
+        gap = np.maximum(0, far - 1e-6 * (far + 1) - radius[:, None] - radius2)
+        both = norm[:, None] + norm2
+        most = (both - gap**2) / 2 + 1e-9 * (both + 1)
+        held = list(chunks_in(*paths[0], of_left[0][mine]))
+        ids, x = np.concatenate([h[1] for h in held]), np.concatenate([h[2] for h in held])
+        # the files may give the chunks in another order than their numbers
+        back = {c: k for k, c in enumerate(of_left[0][mine].tolist())}
+        turn = np.array([back[h[0]] for h in held])
+        most, ends = most[turn], np.cumsum([len(h[1]) for h in held])
+        begins = ends - n[turn]
+        held.clear()
+        x32 = halved(x)
+        best, other, at = np.full(len(x), float(least)), np.zeros(len(x), dtype=np.int64), np.full(len(x), -1)
+
+        def meet(stack):
+            y_ids, y = np.concatenate([h[1] for h in stack]), np.concatenate([h[2] for h in stack])
+            reach = most[:, [h[0] for h in stack]].max(axis=1)
+            live = reach >= np.minimum.reduceat(best, begins)
+            y = y, halved(y)
+            run = np.flatnonzero(np.diff(np.r_[False, live, False].astype(np.int8)))
+            for a, b in zip(run[::2], run[1::2], strict=True):  # neighbours together
+                rows = slice(begins[a], ends[b - 1])
+                closer((x[rows], x32[rows]), ids[rows], y, y_ids, best[rows], other[rows], at[rows])
+
+        stack, size = [], 0
+        place = {c: k for k, c in enumerate(chunk2.tolist())}
+        for c, y_ids, y in chunks_in(*paths[1], chunk2[(most >= least).any(axis=0)]):
+            stack.append((place[c], y_ids, y))
+            size += len(y_ids)
+            if size >= STACK:
+                meet(stack)
+                stack, size = [], 0
+        if stack:
+            meet(stack)
+        found = at >= 0
+        yield pa.RecordBatch.from_arrays([pa.array(ids[found]), pa.array(other[found]), pa.array(best[found])], names=["seq", "other", "similarity"])
+
+    return spark.range(0, tasks, 1, tasks).mapInArrow(asked, BEST)
 
 
 def best_other(rows: DataFrame, least: float) -> DataFrame:

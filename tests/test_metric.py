@@ -95,3 +95,55 @@ def test_vectors_are_not_shuffled_by_pair(spark):
     files = [pq.ParquetFile(f).metadata for f in Path(chunks.place.removeprefix("file://")).glob("part-*.parquet")]
     assert sum(f.num_rows for f in files) == chunks.count > 20
     assert max(f.row_group(g).num_rows for f in files for g in range(f.num_row_groups)) <= metric.HELD
+
+
+def counted(monkeypatch):
+    """A list that gets an item for every table that linkage packs."""
+    packed, pack = [], C.pack
+    monkeypatch.setattr(C, "pack", lambda *a, **b: packed.append(1) or pack(*a, **b))
+    return packed
+
+
+def by_brute_force(x, distance):
+    far = 1 - x @ x.T
+    groups = [[i] for i in range(len(x))]
+    while len(groups) > 1:
+        mean = np.array([[far[np.ix_(a, b)].mean() if a is not b else np.inf for b in groups] for a in groups])
+        i, j = sorted(np.unravel_index(mean.argmin(), mean.shape))
+        if not mean[i, j] < distance:
+            break
+        groups[i] += groups.pop(j)
+    return {3 * i + 1: 3 * min(g) + 1 for g in groups for i in g}
+
+
+def test_many_small_rounds_are_merged_by_one_task(spark, monkeypatch):
+    """One component whose linkage has many rounds; the tables are packed for those of over 60 clusters only."""
+    x = clustered(110, 6, 3, 1.5, 7)
+    packed = counted(monkeypatch)
+    assert dict(C.clusters(frame(spark, x), 0.6, most=60).collect()) == by_brute_force(x, 0.6)
+    assert 0 < len(packed) <= 5
+
+
+def test_equal_vectors_are_one_cluster_before_the_rounds(spark, monkeypatch):
+    x = clustered(60, 8, 6, 0.4, 8)
+    x[5:50] = x[5]
+    packed = counted(monkeypatch)
+    assert dict(C.clusters(frame(spark, x), 0.4, most=15).collect()) == by_brute_force(x, 0.4)
+    assert len(packed) <= 3
+
+
+def test_nearest_rows_are_not_shuffled(spark):
+    """A task returns one row for each of its own that has one above the limit; ties go to the least seq."""
+    x = clustered(900, 8, 5, 0.4, 9)
+    x[700:] = x[3]
+    df = frame(spark, x)
+    chunks = M.pack(df)
+    some = M.pack(df.where("seq % 2 = 0"), pivots=chunks.pivots)
+    for left, chosen in ((chunks, range(900)), (some, range(1, 900, 2))):
+        found = M.best_above(left, chunks, 0.9)
+        assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+        got = {r["seq"]: (r["other"], r["similarity"]) for r in found.collect()}
+        s = (x[:, None, :] * x[None, :, :]).sum(axis=2)
+        np.fill_diagonal(s, -np.inf)
+        want = {3 * i + 1: (3 * int(s[i].argmax()) + 1, s[i].max()) for i in chosen if s[i].max() > 0.9}
+        assert got.keys() == want.keys() and all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-12 for k in want)
